@@ -228,14 +228,22 @@ class Bpe:
         return b" ".join(map(self.cut.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_BUILT: dict[str, Bpe] = {}
+class LibraryBpe(Bpe):
+    """The same cuts and memos, with each word's merges made by the tokenizers library's own model."""
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        tokenize = self.library.model.tokenize
+        return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in words]
+
+
+_BUILT: dict[tuple, Bpe] = {}
 
 
-def bpe(path: str) -> Bpe:
+def bpe(path: str, kind: type[Bpe] = Bpe) -> Bpe:
     """The worker's one encoder for a file."""
-    if path not in _BUILT:
-        _BUILT[path] = Bpe(path)
-    return _BUILT[path]
+    if (path, kind) not in _BUILT:
+        _BUILT[path, kind] = kind(path)
+    return _BUILT[path, kind]
 
 
 def _rows(batches: Iterator[pa.RecordBatch], path: str, make, schema: pa.Schema, at: int) -> Iterator[pa.RecordBatch]:
