@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import ship_package
+from .common import ship_package, unused, with_fields
 
 #: White space at which texts are cut (Unicode White_Space), and controls that only str.split() cuts at.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -255,27 +255,21 @@ def _rows(batches: Iterator[pa.RecordBatch], path: str, make, schema: pa.Schema,
         yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *schema.names])
 
 
-def _unused(name: str, columns: list[str]) -> str:
-    while name.lower() in {c.lower() for c in columns}:
-        name += "_"
-    return name
-
-
 def encode(docs: DataFrame, path: str, *, text: str = "text") -> DataFrame:
     """``docs`` with n_tokens (long) and ids (array<int>); names that are taken get a ``_`` appended."""
     ship_package(docs.sparkSession)
-    n, ids = _unused("n_tokens", docs.columns), _unused("ids", docs.columns)
+    n, ids = unused("n_tokens", docs.columns), unused("ids", docs.columns)
     schema = pa.schema([(n, pa.int64()), (ids, pa.list_(pa.int32()))])
     made = lambda coder, b: (len(b) // 4, np.frombuffer(b, "<i4"))
     at = docs.columns.index(text)
-    out = docs.schema.add(n, "long").add(ids, "array<int>")
+    out = with_fields(docs.schema, **{n: "long", ids: "array<int>"})
     return docs.mapInArrow(lambda batches: _rows(batches, path, made, schema, at), out)
 
 
 def decode(frame: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
     """``frame`` with decoded (string), the text of an ``array<int>`` column; null ids decode to empty text."""
     ship_package(frame.sparkSession)
-    name, at = _unused("decoded", frame.columns), frame.columns.index(ids)
+    name, at = unused("decoded", frame.columns), frame.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe(path)
@@ -283,7 +277,7 @@ def decode(frame: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
             texts = [coder.decode(np.array(x.as_py() or [], "<u4").tobytes()).decode() for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
 
-    return frame.mapInArrow(run, frame.schema.add(name, "string"))
+    return frame.mapInArrow(run, with_fields(frame.schema, **{name: "string"}))
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:

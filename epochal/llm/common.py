@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -73,3 +74,18 @@ def commit_file(uri: str, write) -> int:
 
 def id_remainder(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(modulus))
+
+
+def with_fields(schema: StructType, **kinds: str) -> StructType:
+    """A copy of ``schema`` with more fields at its end."""
+    out = StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out.add(name, kind)
+    return out
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or with as many ``_`` behind it as it takes to differ from every column."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
