@@ -139,3 +139,36 @@ def clean(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return docs.mapInArrow(run, schema)
+
+
+def sql() -> str:
+    """``judge`` in DuckDB SQL."""
+    quoted = lambda t: re.escape(t).replace("'", "''").replace("/", "/")
+    blank = r"[\x20\x09-\x0D]"
+    word = r"[^\x20\x09-\x0D]+"
+    closing, terminal = "".join(map(quoted, CLOSING)), "".join(map(quoted, TERMINAL))
+    symbols = f"[{re.escape(SYMBOLS)}]"
+    navigation = ", ".join(f"'{t}'" for t in NAVIGATION)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, line, i, len(regexp_extract_all(line, '{word}')) AS n,
+  regexp_replace(line, '^{blank}+|{blank}+$', '', 'g') AS t
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d)),
+v AS (SELECT *, n > 0 AND (
+    NOT regexp_matches(CASE WHEN regexp_replace(t, '[{closing}]+$', '') = '' THEN t ELSE regexp_replace(t, '[{closing}]+$', '') END, '[{terminal}]$')
+    OR 10 * len(regexp_extract_all(t, '{symbols}')) > {MAX_SYMBOLS_PER_10_WORDS} * n
+    OR regexp_replace(lower(t), '[{terminal}]+$', '') IN ({navigation})
+    OR regexp_matches(lower(t), '{"|".join(map(quoted, BOILERPLATE))}')
+    OR regexp_full_match(t, '([ \\t]*[^|»>]{{1,20}}[|»>]){{2,}}[^|»>]{{0,20}}')) AS fails,
+  n > 0 AND row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again FROM l),
+s AS (SELECT doc_id, sum(n)::BIGINT AS n_words, count_if(again)::BIGINT AS n_dup_lines, coalesce(sum(n) FILTER (fails), 0) AS lost FROM v GROUP BY doc_id),
+w AS (SELECT doc_id, regexp_extract_all(text, '{word}') AS ws FROM d),
+x AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, unnest(list_zip(ws[:-3], ws[2:-2], ws[3:])) AS tri FROM w WHERE len(ws) > 2),
+y AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS c FROM x),
+z AS (SELECT doc_id, count(DISTINCT j)::BIGINT AS r FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM y WHERE c > 1) GROUP BY doc_id),
+a AS (SELECT d.doc_id, n_words, len(regexp_replace(text, '{blank}', '', 'g'))::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '{symbols}'))::BIGINT AS n_symbols, n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words, lost
+  FROM d JOIN s USING (doc_id) LEFT JOIN z USING (doc_id)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100 * lost <= {MAX_LOST_PERCENT} * n_words AS kept FROM b"""

@@ -5,11 +5,11 @@ from __future__ import annotations
 import zlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, token_store
-from .common import ship_package, work_dir
+from . import ann, bpe, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
+from .common import id_remainder, work_dir
 
 
 def tokenizer_path() -> str:
@@ -44,5 +44,64 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
-QUERIES = {"op5_bpe": op5_bpe, "op7_token_store": op7_token_store, "op10_near_dup": op10_near_dup}
-ORACLES: dict[str, str] = {}
+def learning_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that may teach: rows whose crc32(doc_id) mod 3 is not 1."""
+    return _table(spark, sf_dir, "labels").where(id_remainder("doc_id", 3) != 1)
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(_table(spark, sf_dir, "pages"), work_dir(spark, "warc"), min_bytes=0)
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), query=F.col("id") % 50 == 0, k=5)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
+def op4_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.weigh(_table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("copies", "probability")})
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 4) == 2
+    profiles = language_id.profile_arrays(language_id.learn(docs.where(~held_out)))
+    return language_id.predict(docs, profiles, keep={"held_out": held_out})
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, learning_labels(spark, sf_dir))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (id_remainder("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        toxicity.is_toxic(F.col("toxicity")).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_ann": op2_ann,
+    "op3_quality": op3_quality,
+    "op4_url": op4_url,
+    "op5_bpe": op5_bpe,
+    "op6_mixing": op6_mixing,
+    "op7_token_store": op7_token_store,
+    "op8_language": op8_language,
+    "op9_toxicity": op9_toxicity,
+    "op10_near_dup": op10_near_dup,
+}
+
+#: The rest has no SQL: learned models, exact encodings, connected components and binary formats.
+ORACLES: dict[str, str] = {"op1_warc": warc.sql(), "op3_quality": quality.sql(), "op4_url": url_filter.sql(), "op6_mixing": mixing.sql()}
