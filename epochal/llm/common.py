@@ -78,10 +78,7 @@ def id_remainder(column: str, modulus: int) -> Column:
 
 def with_fields(schema: StructType, **kinds: str) -> StructType:
     """A copy of ``schema`` with more fields at its end."""
-    out = StructType(list(schema.fields))
-    for name, kind in kinds.items():
-        out.add(name, kind)
-    return out
+    return StructType(list(schema.fields) + [StructType.fromDDL(f"`{n}` {k}").fields[0] for n, k in kinds.items()])
 
 
 def unused(name: str, columns: list[str]) -> str:

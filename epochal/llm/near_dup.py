@@ -9,9 +9,9 @@ Steps, each a Spark job over all documents:
    only those are listed. A passage that thousands of otherwise different documents share is common,
    hence never listed. Sets of up to ``k`` shingles are kept whole, so their bound is exact.
 3. *Links* come from the lists without spelling out all pairs of a list: members meet the list's hub
-   first, members still apart from the list's main component meet other members of it, and only what is
-   apart even then is compared with the rest of its list. Every pair that could join two components is
-   compared; pairs within one component need no further check.
+   first; members of the hub that are still apart from its largest component are compared with all its
+   other members, in blocks. Every pair that could join two components is compared; pairs within one
+   component need no further check.
 4. *Union-sketch estimate*: the overlap within the bottom-k of the union must reach ``min_shared``.
 5. *Exact Jaccard* on full sets confirms each link; components follow by large-star/small-star rounds.
 
@@ -30,6 +30,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -189,34 +190,16 @@ def near_duplicates(
         right = sketch_of.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"))
         return pairs.join(left, "a").join(right, "b").where(_may_link(percent, k, min_shared)).select("a", "b")
 
-    # round 1: every member against the hub of each of its lists
+    # first every member against the hub of each of its lists: the one with the most common values
     hub = lists.groupBy("value").agg(F.max(F.struct("weight", -F.col("node"))).alias("h"), F.count("*").alias("members"))
     hub = hub.where("members > 1").select("value", (-F.col("h.col2")).alias("hub"))
-    first = lists.join(hub, "value").where("node <> hub").select(*ordered("node", "hub")).distinct()
-    links = confirmed(estimated(first), "links-1")
+    members = materialize(lists.join(hub, "value").where("node <> hub").select("hub", "node").distinct(), folder, "members")
+    links = confirmed(estimated(members.select(*ordered("node", "hub")).distinct()), "links-1")
     labels = connected_components(links, folder, "labels-1")
 
-    # round 2: members apart from the main component of a list against some member of that component
-    apart = materialize(_apart(lists, labels), folder, "apart-2")
-    if not apart.isEmpty():
-        some = apart.where("main").groupBy("value").agg(F.min(F.struct(F.xxhash64("value", "node"), "node")).alias("s"))
-        second = apart.where("not main").join(some, "value").select(*ordered("node", "s.node")).distinct()
-        links = links.unionByName(confirmed(estimated(second), "links-2"))
-        labels = connected_components(links, folder, "labels-2")
-
-        # round 3: whatever is still apart against all that its lists hold outside its own component
-        rest = materialize(_apart(lists, labels).join(sketch_of, "node"), folder, "apart-3")
-        o = rest.where("not main").select("value", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "s")))
-        r = rest.select("value", "main", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "s")))
-        third = (
-            o.join(r, "value")
-            .where((F.col("comp_a") != F.col("comp_b")) & (F.col("main") | (F.col("node_a") < F.col("node_b"))))
-            .where(_may_link(percent, k, min_shared))
-            .select(*ordered("node_a", "node_b"))
-            .distinct()
-        )
-        links = links.unionByName(confirmed(third, "links-3"))
-        labels = connected_components(links, folder, "labels-3")
+    # then, among the members of one hub, whatever is still apart from the main component
+    more = materialize(_block_links(members, labels, sets, percent), folder, "links-2")
+    labels = connected_components(links.unionByName(more), folder, "labels-2")
 
     reach = classes.select("digest", F.col("node")).join(labels, "node", "left")
     reach = reach.select("digest", F.coalesce("label", "node").alias("component"))
@@ -259,13 +242,99 @@ def _may_link(percent: int, k: int, min_shared: int):
     return sizes & enough
 
 
-def _apart(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lists that hold more than one component: value, node, comp, main (in the list's largest)."""
-    member = lists.join(labels, "node", "left").select("value", "node", F.coalesce("label", "node").alias("comp"))
-    parts = member.groupBy("value", "comp").agg(F.count("*").alias("c"))
-    main = parts.groupBy("value").agg(F.count("*").alias("parts"), F.max(F.struct("c", "comp")).alias("m"))
-    main = main.where("parts > 1").select("value", F.col("m.comp").alias("main_comp"))
-    return member.join(main, "value").select("value", "node", "comp", (F.col("comp") == F.col("main_comp")).alias("main"))
+def _block_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = 4 << 20) -> DataFrame:
+    """Links between components among the members of a hub (all were compared with the hub itself).
+
+    Members outside the hub's largest component are compared with all others, exactly and in blocks of
+    about ``block`` bytes of sets: a block pair is a group of its own, so a hub's members never meet in one
+    task, and only links come out.
+    """
+    own = members.join(labels, "node", "left").select("hub", "node", F.coalesce("label", "node").alias("comp"))
+    parts = own.groupBy("hub", "comp").agg(F.count("*").alias("c"))
+    main = parts.groupBy("hub").agg(F.count("*").alias("parts"), F.max(F.struct("c", "comp")).alias("m"))
+    main = main.where("parts > 1").select("hub", F.col("m.comp").alias("main_comp"))
+    rows = own.join(main, "hub").select("hub", "node", "comp", (F.col("comp") == F.col("main_comp")).alias("main"))
+    rows = rows.join(sets, "node")
+    size = F.octet_length("items").cast("long")
+    blocks = rows.groupBy("hub").agg(*(F.ceil((F.sum(F.when(c, size)) + 1) / block).cast("int").alias(n) for n, c in (("n_main", F.col("main")), ("n_rest", ~F.col("main")))))
+    rows = rows.join(blocks, "hub")
+    at = F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
+    rows = rows.withColumn("at", at)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = ["hub", "node", "comp", "items"]
+    of_main = rows.where("main").select(*kept, F.lit(True).alias("left"), F.lit(0).alias("kind"), F.col("at").alias("i"), every("n_rest").alias("j"))
+    of_rest = rows.where("not main").select(*kept, F.lit(False).alias("left"), F.lit(0).alias("kind"), every("n_main").alias("i"), F.col("at").alias("j"))
+    rest = rows.where("not main").select(*kept, "at", every("n_rest").alias("other"))
+    in_rest = rest.select(*kept, (F.col("at") <= F.col("other")).alias("left"), F.lit(1).alias("kind"), F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        same = frame["kind"].iloc[0] == 1 and frame["i"].iloc[0] == frame["j"].iloc[0]
+        x = frame if same else frame[frame["left"]]
+        y = frame if same else frame[~frame["left"]]
+        found = _links_between(x, y, percent) if len(x) and len(y) else []
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return of_main.unionByName(of_rest).unionByName(in_rest).groupBy("hub", "kind", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of two lists of sets: frequent values by a matrix product, rare ones one by one."""
+    common = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
+    out = np.zeros(len(x) * len(y), np.int64)
+    if not len(common):
+        return out.reshape(len(x), len(y))
+
+    def entries(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), list(map(len, sets)))
+        at = np.searchsorted(common, values)
+        at[at == len(common)] = 0
+        hit = common[at] == values
+        order = np.argsort(at[hit], kind="stable")
+        return at[hit][order], row[hit][order], np.bincount(at[hit], minlength=len(common))
+
+    (vx, rx, fx), (vy, ry, fy) = entries(x), entries(y)
+    heavy = np.flatnonzero(fx * fy >= 4096)
+    for start in range(0, len(heavy), 2048):
+        chosen = np.full(len(common), -1)
+        chosen[heavy[start : start + 2048]] = np.arange(len(heavy[start : start + 2048]))
+        sides = []
+        for v, r, n in ((vx, rx, len(x)), (vy, ry, len(y))):
+            one = np.zeros((n, 2048), np.float32)
+            keep = chosen[v] >= 0
+            one[r[keep], chosen[v[keep]]] = 1
+            sides.append(one)
+        out += (sides[0] @ sides[1].T).astype(np.int64).ravel()
+    light = (fx * fy < 4096)[vx]
+    vx, rx = vx[light], rx[light]
+    begin, times = np.concatenate([[0], np.cumsum(fy)])[vx], fy[vx]
+    for start in range(0, len(vx), 1 << 16):
+        b, t = begin[start : start + (1 << 16)], times[start : start + (1 << 16)]
+        inner = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t) + np.repeat(b, t)
+        out += np.bincount(np.repeat(rx[start : start + (1 << 16)], t) * len(y) + ry[inner], minlength=len(out))
+    return out.reshape(len(x), len(y))
+
+
+def _links_between(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of different components, no more than it takes to join these."""
+    sets = [[np.frombuffer(b, np.int64) for b in f["items"]] for f in (x, y)]
+    sizes = [np.array(list(map(len, s))) for s in sets]
+    shared = overlaps(*sets)
+    linked = 100 * shared >= percent * (sizes[0][:, None] + sizes[1][None, :] - shared)
+    linked &= x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :]
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    found, nodes, comps = [], (x["node"].to_numpy(), y["node"].to_numpy()), (x["comp"].to_numpy(), y["comp"].to_numpy())
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = root(int(comps[0][i])), root(int(comps[1][j]))
+        if a != b:
+            parent[b] = a
+            found.append(tuple(sorted((int(nodes[0][i]), int(nodes[1][j])))))
+    return found
 
 
 def max_miss_probability(k: int = 64, min_shared: int = 32, similarity: float = 0.8) -> float:
