@@ -1,0 +1 @@
+"""Per-entity event and interval histories as Spark DataFrame operators."""
