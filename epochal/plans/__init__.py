@@ -1,6 +1,6 @@
 """Registered queries over the role tables, and their SQL counterparts."""
 
-from . import features
+from . import features, evaluation, operations  # in the order in which tables build on each other
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "features"]
+__all__ = ["ORACLES", "QUERIES", "evaluation", "features", "operations"]
