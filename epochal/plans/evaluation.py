@@ -84,9 +84,9 @@ FROM gold WHERE index_stop < TIMESTAMP '2000-01-01' AND label_horizon < TIMESTAM
     lambda p: rounded(evaluate.settled_rates(p.gold, F.lit("2000-01-01").cast("timestamp_ntz")))
 )
 
-_BOOT = (_LOOK, f"""eix AS (SELECT patient_id, row_number() OVER (ORDER BY patient_id % 64, patient_id) - 1 AS at, count(*) OVER () AS n FROM (SELECT DISTINCT patient_id FROM tst)),
-drw AS (SELECT b, ('0x' || substr(md5('1|' || b || '|' || k), 1, 15))::BIGINT % n AS at, count(*) AS w FROM range({RESAMPLES}) r(b), (SELECT max(n) AS n FROM eix), LATERAL (SELECT unnest(range(n)) AS k) GROUP BY ALL),
-wgt AS MATERIALIZED (SELECT b, w, is_readmitted AS y, p, q, lookup FROM drw JOIN eix USING (at) JOIN lok USING (patient_id)),
+_BOOT = (_LOOK, f"""eix AS (SELECT patient_id, row_number() OVER (ORDER BY patient_id % 64, patient_id) - 1 AS place, count(*) OVER () AS n FROM (SELECT DISTINCT patient_id FROM tst)),
+drw AS (SELECT b, ('0x' || substr(md5('1|' || b || '|' || k), 1, 15))::BIGINT % n AS place, count(*) AS w FROM range({RESAMPLES}) r(b), (SELECT max(n) AS n FROM eix), LATERAL (SELECT unnest(range(n)) AS k) GROUP BY ALL),
+wgt AS MATERIALIZED (SELECT b, w, is_readmitted AS y, p, q, lookup FROM drw JOIN eix USING (place) JOIN lok USING (patient_id)),
 lng AS (SELECT b, w, y, 'p' AS arm, p FROM wgt UNION ALL SELECT b, w, y, 'q', q FROM wgt UNION ALL SELECT b, w, y, 'lookup', lookup FROM wgt),
 are AS (SELECT b, arm, sum(pos * (below + neg / 2)) / nullif(sum(pos) * sum(neg), 0) AS auc FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY b, arm ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
 FROM (SELECT b, arm, p, sum(w * y)::DOUBLE AS pos, sum(w * (1 - y))::DOUBLE AS neg FROM lng GROUP BY ALL)) GROUP BY ALL),

@@ -17,7 +17,7 @@ from .registry import query
 class Plans(registry.Plans):
     @cached_property
     def flagged(self) -> DataFrame:
-        return intervals.flag_stays(self.stays, self.procedures, PLANNED_CODES)
+        return self.landed("flagged", lambda: intervals.flag_stays(self.stays, self.procedures, PLANNED_CODES))
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -33,7 +33,7 @@ class Plans(registry.Plans):
 
     @cached_property
     def index(self) -> DataFrame:
-        return intervals.observable(self.labelled, self.entities, instant(REFERENCE_END))
+        return self.landed("index", lambda: intervals.observable(self.labelled, self.entities, instant(REFERENCE_END)))
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -42,11 +42,11 @@ class Plans(registry.Plans):
 
     @cached_property
     def gold(self) -> DataFrame:
-        return enrich.gold_table(self.index, self.horizons, self.counts, self.entities, self.payers, self.suppliers)
+        return self.landed("gold", lambda: enrich.gold_table(self.index, self.horizons, self.counts, self.entities, self.payers, self.suppliers))
 
     @cached_property
     def split(self) -> DataFrame:
-        return split.chronological_split(self.gold, instant(TEST_START), instant(REFERENCE_END))
+        return self.landed("split", lambda: split.chronological_split(self.gold, instant(TEST_START), instant(REFERENCE_END)))
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -32,11 +32,12 @@ class Plans(registry.Plans):
         at = F.col("d").cast("timestamp_ntz")
         inside = (F.col("index_stop") >= at - F.expr(f"INTERVAL {WINDOW - 1} DAYS")) & (F.col("index_stop") < at + F.expr("INTERVAL 1 DAY"))
         rank = F.row_number().over(W.partitionBy("d").orderBy(F.desc("p"), "encounter_id"))
-        return self.test.join(g, inside).select(
+        ranked = self.test.join(g, inside).select(
             F.col("d").alias("as_of_date"), rank.alias("rank"), (rank <= TOP_N).alias("is_top_n"), "patient_id", "encounter_id", F.col("index_stop").alias("discharge_time"),
             "admission_reason_code", F.col("p").alias("risk_score"), F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"),
             F.concat(F.lit("run-"), F.date_format("d", "yyyyMMdd")).alias("scoring_run_id"), F.lit(TOP_N).alias("top_n"), F.lit(WINDOW).alias("scoring_window_days"), "partition",
         )
+        return self.landed("predictions", lambda: ranked)
 
     @cached_property
     def runs(self) -> DataFrame:
@@ -98,7 +99,8 @@ class Plans(registry.Plans):
         out = self.grid.select("d").join(stats, "d", "left").join(cover, "d").join(area, "d", "left")
         zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_matured", "observed")]
         verdict = F.when(F.col("coverage_found") < F.col("coverage_required"), "incomplete_cohort").otherwise("complete")
-        return out.select("d", *zero, F.coalesce("expected", F.lit(0.0)).alias("expected"), F.coalesce("n_label_after_sim", F.lit(0)).alias("n_label_after_sim"), "coverage_required", "coverage_found", "auc", verdict.alias("coverage"))
+        rows = out.select("d", *zero, F.coalesce("expected", F.lit(0.0)).alias("expected"), F.coalesce("n_label_after_sim", F.lit(0)).alias("n_label_after_sim"), "coverage_required", "coverage_found", "auc", verdict.alias("coverage"))
+        return self.landed("cohorts", lambda: rows)
 
     @cached_property
     def ticks(self) -> DataFrame:
@@ -107,12 +109,13 @@ class Plans(registry.Plans):
         start = F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 8 HOURS")
         kept = lambda c: F.when(good, F.col(c)).alias(c)
         last = self.runs.groupBy(F.col("run_date").alias("d")).agg(F.max_by("scoring_run_id", F.struct("started_at", "scoring_run_id")).alias("scoring_run_id"))
-        return self.grid.join(self.cohorts, "d").join(last, "d").select(
+        rows = self.grid.join(self.cohorts, "d").join(last, "d").select(
             F.concat(F.lit("tick-"), F.date_format("d", "yyyyMMdd")).alias("monitoring_run_id"), F.col("d").alias("sim_date"), start.alias("started_at"), (start + F.expr("INTERVAL 10 MINUTES")).alias("finished_at"),
             F.when(good, "succeeded").otherwise("failed").alias("status"), F.when(~good, "evaluate").alias("failed_stage"), F.lit("weekly").alias("cadence"), "scoring_run_id",
             F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"), F.when(good, F.when(F.col("coverage") == "incomplete_cohort", F.col("coverage")).otherwise("insufficient_data")).alias("verdict"),
             kept("n_matured"), kept("observed"), kept("expected"), kept("coverage_required"), kept("coverage_found"), F.lit(True).alias("history_tests_passed"),
         )
+        return self.landed("ticks", lambda: rows)
 
 
 registry.Plans = Plans
@@ -168,22 +171,14 @@ FROM grid LEFT JOIN spl ON index_stop >= d::TIMESTAMP - INTERVAL 6 DAY AND index
 )
 
 # --- sinks: written below the shared folder, read again
-def _folder(p, name: str) -> str:
-    import tempfile
-    import uuid
-
-    base = p.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="epochal-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 query("gold_roundtrip", "SELECT encounter_id, patient_id, index_start, is_readmitted FROM gold")(
-    lambda p: tables.write_once(p.gold, _folder(p, "gold")).select("encounter_id", "patient_id", "index_start", "is_readmitted")
+    lambda p: tables.write_once(p.gold, p.shared_path("gold")).select("encounter_id", "patient_id", "index_start", "is_readmitted")
 )
 
 
 @query("predictions_partition", "SELECT as_of_date, count(*)::BIGINT AS n FROM prd GROUP BY 1")
 def predictions_partition(p):
-    path = _folder(p, "predictions")
+    path = p.shared_path("predictions")
     rows = tables.write_once(p.predictions, path + "-source")
     tables.replace_partition(rows, path, "as_of_date")
     tables.replace_partition(rows.where("as_of_date = date'2000-05-01'"), path, "as_of_date")  # again: no change
@@ -192,7 +187,7 @@ def predictions_partition(p):
 
 @query("run_log_append", "SELECT count(*)::BIGINT AS n, count(DISTINCT scoring_run_id) AS ids FROM runs")
 def run_log_append(p):
-    path = _folder(p, "runs")
+    path = p.shared_path("runs")
     tables.append_rows(p.runs.where("status = 'failed'"), path)
     tables.append_rows(p.runs.where("status <> 'failed'"), path)
     return p.spark.read.parquet(path).agg(F.count("*").alias("n"), F.countDistinct("scoring_run_id").alias("ids"))
@@ -201,20 +196,20 @@ def run_log_append(p):
 @query("wap_predictions", "SELECT as_of_date, count(*)::BIGINT AS n FROM prd WHERE as_of_date = DATE '2000-05-01' GROUP BY 1")
 def wap_predictions(p):
     """Stage a date, audit it, publish it only if every rule passes."""
-    staged = tables.write_once(p.predictions.where("as_of_date = date'2000-05-01'"), _folder(p, "staged"))
+    staged = tables.write_once(p.predictions.where("as_of_date = date'2000-05-01'"), p.shared_path("staged"))
     passed = assertions.verdict(assertions.run(staged, prediction_rules())).first()["passed"]  # one row
-    path = _folder(p, "serving")
+    path = p.shared_path("serving")
     tables.replace_partition(staged if passed else staged.limit(0), path, "as_of_date")
     return p.spark.read.schema(staged.schema).parquet(path).groupBy("as_of_date").agg(F.count("*").alias("n"))
 
 
 @query("wap_gold", "SELECT count(*)::BIGINT AS n_rows, sum(is_readmitted)::BIGINT AS n_positive FROM gold")
 def wap_gold(p):
-    staged = tables.write_once(p.gold, _folder(p, "gold-staged"))
+    staged = tables.write_once(p.gold, p.shared_path("gold-staged"))
     passed = assertions.verdict(assertions.run(staged, gold_rules())).first()["passed"]
-    served = tables.write_once(staged if passed else staged.limit(0), _folder(p, "gold-served"))
+    served = tables.write_once(staged if passed else staged.limit(0), p.shared_path("gold-served"))
     stats = served.agg(F.count("*").alias("n_rows"), F.sum("is_readmitted").alias("n_positive"))
-    tables.write_marker(stats, _folder(p, "gold-marker"))
+    tables.write_marker(stats, p.shared_path("gold-marker"))
     return stats
 
 
@@ -392,7 +387,8 @@ query("cohort_eval", _COHORT, COH)(lambda p: rounded(p.cohorts))
 query("monitor_replay", "SELECT coverage, count(*)::BIGINT AS n, sum(n_matured)::BIGINT AS n_matured, sum(observed)::BIGINT AS observed FROM coh GROUP BY 1", COH)(
     lambda p: p.cohorts.groupBy("coverage").agg(F.count("*").alias("n"), F.sum("n_matured").alias("n_matured"), F.sum("observed").alias("observed"))
 )
-_CI = ", ".join(f"({k}, {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for k in range(400) for lo, hi in [garwood(k)])
+#: The SQL counterpart holds the intervals as a literal table; counts at its scale stay far below 60.
+_CI = ", ".join(f"({k}, {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for k in range(60) for lo, hi in [garwood(k)])
 
 
 @query("oe_rule", """SELECT d, round(observed / expected, 6) AS ratio, round(lo / expected, 6) AS ci_low, round(hi / expected, 6) AS ci_high, CASE WHEN expected <= 0 THEN NULL WHEN observed < 10 THEN 'insufficient_data'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,5 +26,34 @@ def query(name: str, sql: str | None = None, *ctes: str):
     return add
 
 
+#: Landed tables by application, input folder and name.
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def forget() -> None:
+    """Let later queries land their tables anew (a benchmark does this between queries)."""
+    _LANDED.clear()
+
+
 class Plans(Roles):
-    """Roles and the tables derived from them, each defined once."""
+    """Roles and the tables derived from them, each defined once.
+
+    Tables that several others build on are landed: written once to the folder that driver and executors share
+    and read from there. Without that, every use would repeat the self-joins below it, and plans would grow
+    with the product of their uses.
+    """
+
+    def shared_path(self, name: str) -> str:
+        base = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not base:  # a local session without a shared folder
+            base = "file://" + tempfile.mkdtemp(prefix="epochal-")
+            self.spark.conf.set("spark.checkpoint.dir", base)
+        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def landed(self, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _LANDED:
+            path = self.shared_path(name)
+            frame().write.parquet(path)
+            _LANDED[key] = path
+        return self.spark.read.parquet(_LANDED[key])
