@@ -18,7 +18,7 @@ def _below(k: int, mean: float) -> float:
 
 def _solve(f, low: float, high: float) -> float:
     """The zero of a falling function."""
-    for _ in range(100):
+    for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if f(middle) > 0 else (low, middle)
     return (low + high) / 2
