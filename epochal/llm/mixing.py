@@ -60,7 +60,8 @@ def corpus_targets(cells: DataFrame, flatten: float) -> dict[str, DataFrame]:
     out = {}
     for m in MARGINS:
         sums = cells.groupBy(m).agg(F.sum("tokens").alias("n")).where("n > 0").withColumn("n", F.pow(F.col("n").cast("double"), F.lit(flatten)))
-        out[m] = sums.crossJoin(F.broadcast(sums.agg(F.sum("n").alias("all")))).select(m, (F.col("n") / F.col("all")).alias("share"))
+        whole = sums.agg(F.sum("n")).first()[0] or 1.0
+        out[m] = sums.select(m, (F.col("n") / F.lit(whole)).alias("share"))
     return out
 
 
@@ -80,20 +81,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], folder: str, rounds: i
     return out.select(*MARGINS, "tokens", product.alias("factor"))
 
 
-def _expected(docs: DataFrame, targets: dict[str, DataFrame] | None, rounds: int, flatten: float, rate: float) -> DataFrame:
-    """Cells with the expected copies of each of their documents (``copies``)."""
-    folder = work_dir(docs.sparkSession, "mixing")
-    cells = docs.select(*described(docs)).groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens"))
+def _expected(own: DataFrame, folder: str, targets: dict[str, DataFrame] | None, rounds: int, flatten: float, rate: float) -> DataFrame:
+    """Cells of described documents with the expected copies of each of their documents (``copies``)."""
+    cells = own.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens"))
     cells = materialize(cells.select(*(F.col(f"_{m}").alias(m) for m in MARGINS), "tokens"), folder, "cells")
     raked = materialize(rake(cells, targets or corpus_targets(cells, flatten), folder, rounds), folder, "raked")
-    total = raked.agg(F.sum("tokens").alias("all"))
-    return raked.crossJoin(F.broadcast(total)).select(*(F.col(m).alias(f"_{m}") for m in MARGINS), (F.col("factor") * F.col("all") * rate).alias("_copies"))
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    return raked.select(*(F.col(m).alias(f"_{m}") for m in MARGINS), (F.col("factor") * total * rate).alias("_copies"))
 
 
 def weigh(docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, flatten: float = FLATTEN, rate: float = RATE) -> DataFrame:
     """Per document: doc_id, source, lang, topic, n_tokens, copies (expected), probability, kept."""
-    own = docs.select("doc_id", *described(docs))
-    out = own.join(_expected(docs, targets, rounds, flatten, rate), ["_source", "_lang", "_topic"])
+    folder = work_dir(docs.sparkSession, "mixing")
+    own = materialize(docs.select("doc_id", *described(docs)), folder, "described")  # texts are searched once
+    out = own.join(_expected(own, folder, targets, rounds, flatten, rate), ["_source", "_lang", "_topic"])
     chance = F.least(F.col("_copies"), F.lit(1.0))
     return out.select(
         "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
@@ -103,10 +104,10 @@ def weigh(docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, round
 
 def sample(docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, flatten: float = FLATTEN, rate: float = RATE) -> DataFrame:
     """The drawn rows of ``docs``, columns unchanged."""
-    source, lang, subject, _ = described(docs)
-    own = docs.select("*", source, lang, subject)
-    out = own.join(_expected(docs, targets, rounds, flatten, rate), ["_source", "_lang", "_topic"])
-    return out.where(draw(F.col("doc_id")) < F.least(F.col("_copies"), F.lit(1.0))).select(*docs.columns)
+    folder = work_dir(docs.sparkSession, "mixing")
+    own = materialize(docs.select(F.struct(*docs.columns).alias("row"), *described(docs)), folder, "described")
+    out = own.join(_expected(own, folder, targets, rounds, flatten, rate), ["_source", "_lang", "_topic"])
+    return out.where(draw(F.col("row.doc_id")) < F.least(F.col("_copies"), F.lit(1.0))).select("row.*")
 
 
 def sql(rounds: int = ROUNDS, flatten: float = FLATTEN, rate: float = RATE) -> str:
