@@ -54,7 +54,7 @@ class Memo:
     ``fixed`` holds values that aren't computed.
     """
 
-    def __init__(self, compute, size: int = 450_000, longest: int = 48):
+    def __init__(self, compute, size: int, longest: int = 48):
         self.compute, self.size, self.longest, self.new, self.old, self.fixed = compute, size, longest, {}, {}, {}
 
     def of(self, keys: list[str]) -> list[bytes]:
@@ -74,6 +74,9 @@ class Memo:
 class Bpe:
     """Encoder and decoder of one tokenizer file (byte-level BPE with an end-of-word suffix)."""
 
+    #: Entries of a memo's generation and of the pairs' table; a worker keeps them for its lifetime, beside other stages' data.
+    N_WORDS, N_PIECES, N_PAIRS = 50_000, 100_000, 100_000
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -91,9 +94,9 @@ class Bpe:
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._tables([m if isinstance(m, list) else m.split(" ") for m in model["merges"]])
         self._offsets()
-        self.words = Memo(self._coded, 250_000)
+        self.words = Memo(self._coded, self.N_WORDS)
         self.words.fixed = {t: array("I", [i]).tobytes() for t, i in self.special.items()}
-        self.memo = Memo(self._pieces)
+        self.memo = Memo(self._pieces, self.N_PIECES)
 
     def _symbols(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix):
@@ -185,7 +188,7 @@ class Bpe:
         return out
 
     def _fits(self, key: tuple[int, int]) -> bool:
-        if len(self.known) > 500_000:
+        if len(self.known) > self.N_PAIRS:
             self.known.clear()
         ok = self.known[key] = self.compatible(*key)
         return ok
@@ -231,6 +234,8 @@ class Bpe:
 class LibraryBpe(Bpe):
     """The same cuts and memos, with each word's merges made by the tokenizers library's own model."""
 
+    N_WORDS, N_PIECES = 250_000, 450_000
+
     def _coded(self, words: list[str]) -> list[bytes]:
         tokenize = self.library.model.tokenize
         return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in words]

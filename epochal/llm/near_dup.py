@@ -72,7 +72,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, k: int) -> Iterator
             s = shingle_hashes(text.as_py(), words)
             counts.append(len(s))
             digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            flat.append(s[:k])
+            flat.append(s[:k].copy())  # a view would keep the whole set
             offsets.append(offsets[-1] + min(k, len(s)))
         values = np.concatenate(flat) if flat else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
