@@ -36,7 +36,8 @@ MAX_LOST_PERCENT, MIN_WORDS, MAX_REPEAT_PERCENT, MAX_SYMBOLS_PER_10_WORDS = 30,
 _SYMBOL = str.maketrans("", "", SYMBOLS)
 _BLANK = bytes([32, *range(9, 14)])
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
-_LABELS = re.compile(r"(?:[ \t]*[^|»>]{1,20}[|»>]){2,}[^|»>]{0,20}")
+#: Possessive, as blanks that fit two parts would be tried in every combination; equal to the plain pattern in ``sql``.
+_LABELS = re.compile(r"(?:(?=[^|»>])[ \t]*+[^|»>]{0,20}+[|»>]){2,}+[^|»>]{0,20}")
 
 
 def line_passes(line: str, n_words: int) -> bool:
