@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -107,24 +109,46 @@ def entity_index(rows: DataFrame, entity: str) -> DataFrame:
     return ids.withColumn("place", place).join(F.broadcast(base), "bucket").select("entity", (F.col("base") + F.col("place")).alias("at"))
 
 
-def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int, seed: str = "1") -> DataFrame:
-    """(b, arm, auc, brier, oe): every arm on the same entity resamples; auc is null where one class is missing.
+def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int, seed: str = "1", bins: int | None = None, keep: Callable[[DataFrame], DataFrame] = lambda f: f) -> DataFrame:
+    """(b, arm, auc, brier, oe, gap): every arm on the same entity resamples; auc is null where one class is missing.
+
+    With ``bins`` also ``ece``, over each resample's own quantile bins. ``keep`` may land the draws, whose
+    number Spark can't foresee: without that it may take them for the small side of a join.
 
     Draw k of resample b is entity md5(seed|b|k) mod n, so resamples are the same on any cluster.
     """
     spark = rows.sparkSession
     at = entity_index(rows, entity)
     n = at.agg(F.count("*").alias("n_entities"))
-    draws = spark.range(resamples).withColumnRenamed("id", "b").crossJoin(F.broadcast(n)).select("b", "n_entities", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_entities") - 1)).alias("k"))
+    every = spark.range(0, resamples, 1, max(1, resamples // 20)).withColumnRenamed("id", "b")  # a task holds few resamples
+    draws = every.crossJoin(F.broadcast(n)).select("b", "n_entities", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_entities") - 1)).alias("k"))
     number = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("b").cast("string"), F.col("k").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
     times = draws.groupBy("b", F.pmod(number, F.col("n_entities")).alias("at")).agg(F.count("*").alias("w"))
+    times = keep(times)
     weights = times.join(at, "at").select("b", "entity", "w")
     long = rows.select(F.col(entity).alias("entity"), F.col(y).alias("y"), F.explode(F.array(*(F.struct(F.lit(a).alias("arm"), F.col(a).cast("double").alias("p")) for a in arms))).alias("x"))
     long = weights.join(long.select("entity", "y", "x.arm", "x.p"), "entity")
-    areas = auc(long, "y", "p", ("b", "arm"), F.col("w"))
-    p, t, w = F.col("p"), F.col("y"), F.col("w")
-    others = long.groupBy("b", "arm").agg((F.sum(w * (p - t) * (p - t)) / F.sum(w)).alias("brier"), (F.sum(w * t) / F.sum(w * p)).alias("oe"))
-    return areas.join(others, ["b", "arm"])
+    # one pass: weighted counts of both classes by distinct score hold all that the metrics need
+    p, w, pos, neg = (F.col(c) for c in ("p", "w", "pos", "neg"))
+    g = long.groupBy("b", "arm", "p").agg(F.sum(w * F.col("y")).alias("pos"), F.sum(w * (1 - F.col("y"))).alias("neg"))
+    own = W.partitionBy("b", "arm")
+    below = F.coalesce(F.sum("neg").over(own.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    both, n_rows = F.sum("pos") * F.sum("neg"), F.sum(pos + neg)
+    g = g.withColumn("below", below)
+    metrics = [
+        F.when(both > 0, F.sum(pos * (F.col("below") + neg / 2)) / both).alias("auc"),
+        (F.sum(pos * (p - 1) * (p - 1) + neg * p * p) / n_rows).alias("brier"),
+        (F.sum(pos) / F.sum((pos + neg) * p)).alias("oe"),
+        ((F.sum((pos + neg) * p) - F.sum(pos)) / n_rows).alias("gap"),
+    ]
+    if bins is None:
+        return g.groupBy("b", "arm").agg(*metrics)
+    shares = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
+    g = g.withColumn("edges", F.array_distinct(F.percentile("p", shares, pos + neg).over(own)))
+    at = F.size(F.filter("edges", lambda e: e <= F.col("p"))) - 1
+    g = g.withColumn("bin", F.greatest(F.lit(0), F.least(at, F.size("edges") - 2)))
+    off = [F.abs(F.sum(F.when(F.col("bin") == i, (pos + neg) * p - pos))) for i in range(bins)]
+    return g.groupBy("b", "arm").agg(*metrics, (sum((F.coalesce(c, F.lit(0.0)) for c in off), F.lit(0.0)) / n_rows).alias("ece"))
 
 
 def interval(samples: DataFrame, value: Column, alpha: float = 0.05) -> tuple[Column, Column]:

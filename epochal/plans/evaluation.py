@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import enrich, evaluate, models, split
+from ..operators.fingerprint import union_all
+from ..sources import tables
 from . import registry
 from .registry import query
 
-RESAMPLES = 20
+RESAMPLES, FOLDS, ROUNDS = 2000, 5, 300  # of the reference
 NUMBERS = ("organization_utilization", *enrich.NAMES, "age_at_index_years")
 
 
@@ -24,11 +26,14 @@ class Plans(registry.Plans):
     def arms(self) -> DataFrame:
         """Test rows with a challenger p, a champion q and the smoothed code rate."""
         q = (F.col("encounter_id") * 104729 % 1000 + F.lit(0.5)) / 1000 * 0.11
-        return evaluate.reason_lookup(self.train, self.test.withColumn("q", q), "is_readmitted", "admission_reason_code")
+        return self.landed("arms", lambda: evaluate.reason_lookup(self.train, self.test.withColumn("q", q), "is_readmitted", "admission_reason_code"))
 
     @cached_property
     def samples(self) -> DataFrame:
-        return evaluate.bootstrap(self.arms, "is_readmitted", ["p", "q", "lookup"], "patient_id", RESAMPLES)
+        return self.landed("samples", lambda: evaluate.bootstrap(self.arms, "is_readmitted", ["p", "q", "lookup"], "patient_id", RESAMPLES, keep=self.draws))
+
+    def draws(self, frame: DataFrame) -> DataFrame:
+        return tables.write_once(frame, self.shared_path("draws"))
 
     @cached_property
     def curve(self) -> DataFrame:
@@ -133,7 +138,7 @@ def _prepared(p):
     ready = []
     for rows in (p.train, p.test):
         x = models.standardize(enrich.prepare_features(p.train), enrich.prepare_features(rows), enrich.NAMES, ("organization_utilization", "age_at_index_years"))
-        y = split.grouped_folds(rows, 3).select("encounter_id", F.col("is_readmitted").cast("double").alias("label"), "fold")
+        y = split.grouped_folds(rows, FOLDS).select("encounter_id", "patient_id", F.col("is_readmitted").cast("double").alias("label"), "fold")
         ready.append(x.na.fill(0.0).join(y, "encounter_id"))
     return ready
 
@@ -144,11 +149,16 @@ def train_lr(p):
     return models.score_logistic(models.fit_logistic(train.cache(), NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
 
 
+def _boosted(p, train: DataFrame) -> list:
+    if p.spark.sparkContext.getCheckpointDir() is None:  # rounds cut their lineage there
+        p.spark.sparkContext.setCheckpointDir(p.shared_path("boosting"))
+    return models.fit_boosted(train, NUMBERS, enrich.CATEGORICAL, "label", "fold", FOLDS, ROUNDS)
+
+
 @query("train_gbt_cal")
 def train_gbt_cal(p):
     train, test = _prepared(p)
-    fitted = models.fit_boosted(train.cache(), NUMBERS, enrich.CATEGORICAL, "label", "fold", 3, rounds=5)
-    return models.score_boosted(fitted, test, "encounter_id")
+    return models.score_boosted(_boosted(p, train.cache()), test, "encounter_id")
 
 
 @query("score_batch")
@@ -159,9 +169,41 @@ def score_batch(p):
     return scored.agg(F.count("*").alias("n"), F.count_if(~F.col("risk_score").between(0, 1) | F.isnan("risk_score")).alias("bad"))
 
 
+def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rate: float, resamples: int = RESAMPLES, **how) -> DataFrame:
+    """(model, metric, value, low, high, n_used): both arms' metrics, and the second's less the first's as ``difference``.
+
+    Intervals are of the clustered bootstrap, paired for the difference; metrics that it doesn't hold have none.
+    """
+    points = []
+    for a in arms:
+        one = evaluate.scalars(rows, y, a, F.lit(base_rate)).crossJoin(evaluate.auc(rows, y, a)).crossJoin(evaluate.average_precision(rows, y, a))
+        one = one.crossJoin(evaluate.ece(evaluate.calibration(rows, y, a)))
+        points.append(one.select(F.lit(a).alias("model"), *(F.col(c).cast("double").alias(c) for c in one.columns)))
+    metrics = [c for c in points[0].columns if c != "model"]
+    pair = points[0].alias("x").crossJoin(points[1].alias("y"))
+    points.append(pair.select(F.lit("difference").alias("model"), *((F.col(f"y.{c}") - F.col(f"x.{c}")).alias(c) for c in metrics if c not in ("n", "n_positive", "prevalence"))))
+    value = union_all([f.unpivot("model", [c for c in f.columns if c != "model"], "metric", "value") for f in points])
+
+    samples = evaluate.bootstrap(rows, y, list(arms), entity, resamples, bins=10, **how).where("auc is not null")
+    samples = samples.select("b", F.col("arm").alias("model"), "auc", "brier", F.col("oe").alias("oe_ratio"), "gap", F.abs("gap").alias("abs_gap"), "ece")
+    drawn = samples.unpivot(["b", "model"], ["auc", "brier", "oe_ratio", "gap", "abs_gap", "ece"], "metric", "v")
+    paired = drawn.groupBy("b", "metric").pivot("model", list(arms)).agg(F.first("v"))
+    drawn = drawn.unionByName(paired.select("b", F.lit("difference").alias("model"), "metric", (F.col(arms[1]) - F.col(arms[0])).alias("v")))
+    low, high = evaluate.interval(drawn, F.col("v"))
+    ends = drawn.groupBy("model", "metric").agg(low.alias("low"), high.alias("high"), F.count("v").alias("n_used"))
+    return value.join(ends, ["model", "metric"], "left")
+
+
 @query("train_report")
 def train_report(p):
+    """Both models fitted on train, their metrics on test and the paired intervals."""
     train, test = _prepared(p)
-    scored = models.score_logistic(models.fit_logistic(train.cache(), NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
-    rows = test.select("encounter_id", F.col("label").cast("int").alias("y")).join(scored, "encounter_id")
-    return evaluate.scalars(rows, "y", "risk_score", F.lit(0.05)).crossJoin(evaluate.auc(rows, "y", "risk_score"))
+    train = train.cache()
+    linear = models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
+    boosted = models.score_boosted(_boosted(p, train), test, "encounter_id")
+    names = ("logistic_regression", "boosted_calibrated")
+    scored = linear.withColumnRenamed("risk_score", names[0]).join(boosted.withColumnRenamed("risk_score", names[1]), "encounter_id")
+    rows = test.select("encounter_id", "patient_id", F.col("label").cast("int").alias("y")).join(scored, "encounter_id")
+    rows = tables.write_once(rows, p.shared_path("report-scores"))
+    base = train.agg(F.avg("label").alias("v")).first()["v"]  # one number
+    return report(rows, "y", names, "patient_id", base, keep=p.draws)
