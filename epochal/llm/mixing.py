@@ -3,9 +3,11 @@
 Documents are counted into cells (source, language, topic) of tokens. Raking scales the cells to each
 marginal in turn; as its result is a product of one factor per category, only the three small factor tables
 change: a step joins the cells with the other two factors, sums per category and divides the target by that.
-A cell's weight over its tokens is its documents' expected number of copies, times ``rate``; a document
-is drawn by comparing it (at most 1) with a number in [0, 1) made from the md5 of its id, so that draws
-are the same wherever and whenever they happen.
+A cell's weight over its tokens is its documents' expected number of copies, times ``rate``. A document is
+drawn as often as the whole part of that, and once more if a number in [0, 1) made from the md5 of its id is
+below the rest: expected shares are the raked ones, also where they ask for more than each document once,
+and draws are the same wherever and whenever they happen. ``probability`` and ``kept`` are those of at
+least one copy.
 
 Targets are given as shares per category, or follow the corpus: share ** ``flatten``, scaled to sum to 1,
 which lifts rare categories. Categories without a given share get none.
@@ -50,6 +52,12 @@ def draw(doc_id: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+def drawn(doc_id: Column, copies: Column) -> Column:
+    """How often a document is drawn: ``copies`` on average."""
+    whole = F.floor(copies)
+    return whole + (draw(doc_id) < copies - whole).cast("long")
+
+
 def described(docs: DataFrame) -> list[Column]:
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)")).alias(f"_{c}")
     tokens = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
@@ -91,7 +99,7 @@ def _expected(own: DataFrame, folder: str, targets: dict[str, DataFrame] | None,
 
 
 def weigh(docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, flatten: float = FLATTEN, rate: float = RATE) -> DataFrame:
-    """Per document: doc_id, source, lang, topic, n_tokens, copies (expected), probability, kept."""
+    """Per document: doc_id, source, lang, topic, n_tokens, copies (expected), probability, kept, drawn (copies)."""
     folder = work_dir(docs.sparkSession, "mixing")
     own = materialize(docs.select("doc_id", *described(docs)), folder, "described")  # texts are searched once
     out = own.join(_expected(own, folder, targets, rounds, flatten, rate), ["_source", "_lang", "_topic"])
@@ -99,19 +107,21 @@ def weigh(docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, round
     return out.select(
         "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
         F.col("_copies").alias("copies"), chance.alias("probability"), (draw(F.col("doc_id")) < chance).alias("kept"),
+        drawn(F.col("doc_id"), F.col("_copies")).alias("drawn"),
     )
 
 
 def sample(docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, flatten: float = FLATTEN, rate: float = RATE) -> DataFrame:
-    """The drawn rows of ``docs``, columns unchanged."""
+    """The drawn rows of ``docs``, each as often as it is drawn, columns unchanged."""
     folder = work_dir(docs.sparkSession, "mixing")
     own = materialize(docs.select(F.struct(*docs.columns).alias("row"), *described(docs)), folder, "described")
     out = own.join(_expected(own, folder, targets, rounds, flatten, rate), ["_source", "_lang", "_topic"])
-    return out.where(draw(F.col("row.doc_id")) < F.least(F.col("_copies"), F.lit(1.0))).select("row.*")
+    out = out.withColumn("_drawn", drawn(F.col("row.doc_id"), F.col("_copies"))).where("_drawn > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "_drawn")).alias("_copy")).select("row.*")
 
 
 def sql(rounds: int = ROUNDS, flatten: float = FLATTEN, rate: float = RATE) -> str:
-    """``weigh`` in DuckDB SQL."""
+    """``weigh`` without ``drawn`` in DuckDB SQL."""
     quoted = lambda p: p.replace("'", "''")
     cases = " ".join(f"WHEN regexp_matches(text, '{quoted(p)}') THEN '{n}'" for n, p in TOPICS)
     parts = [f"""d AS MATERIALIZED (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,

@@ -67,7 +67,7 @@ def op4_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.weigh(_table(spark, sf_dir, "documents"))
+    out = mixing.weigh(_table(spark, sf_dir, "documents")).drop("drawn")  # follows from copies and doc_id
     return out.withColumns({c: F.round(c, 6) for c in ("copies", "probability")})
 
 
