@@ -18,11 +18,11 @@ def constant(column: str) -> Column:
     return F.when((F.countDistinct(column) == 1) & (F.count_if(F.col(column).isNull()) == 0), 0).otherwise(1).cast("long")
 
 
-def run(frame: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """(rule, n_bad, passed) from one pass over ``frame``; ``rules`` map names to aggregates that must be 0."""
-    counted = frame.agg(*(F.coalesce(c.cast("long"), F.lit(1)).alias(n) for n, c in rules.items()))
+def run(frame: DataFrame, rules: Mapping[str, Column], by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, rule, n_bad, passed) from one pass over ``frame``; ``rules`` map names to aggregates that must be 0."""
+    counted = frame.groupBy(*by).agg(*(F.coalesce(c.cast("long"), F.lit(1)).alias(n) for n, c in rules.items()))
     named = F.array(*(F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("n_bad")) for n in rules))
-    return counted.select(F.explode(named).alias("x")).select("x.rule", "x.n_bad", (F.col("x.n_bad") == 0).alias("passed"))
+    return counted.select(*by, F.explode(named).alias("x")).select(*by, "x.rule", "x.n_bad", (F.col("x.n_bad") == 0).alias("passed"))
 
 
 def verdict(results: DataFrame) -> DataFrame:

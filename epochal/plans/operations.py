@@ -193,14 +193,25 @@ def run_log_append(p):
     return p.spark.read.parquet(path).agg(F.count("*").alias("n"), F.countDistinct("scoring_run_id").alias("ids"))
 
 
+def publish_predictions(p, rows: DataFrame) -> DataFrame:
+    """Stage all dates, audit each, publish those that pass every rule; returns what is served."""
+    staged = tables.write_once(rows, p.shared_path("staged"))
+    good = prediction_verdicts(staged).groupBy("as_of_date").agg(F.bool_and("passed").alias("passed")).where("passed").select("as_of_date")
+    path = p.shared_path("serving")
+    tables.replace_partition(staged.join(good, "as_of_date", "left_semi"), path, "as_of_date")
+    return p.spark.read.schema(staged.schema).parquet(path)
+
+
 @query("wap_predictions", "SELECT as_of_date, count(*)::BIGINT AS n FROM prd WHERE as_of_date = DATE '2000-05-01' GROUP BY 1")
 def wap_predictions(p):
-    """Stage a date, audit it, publish it only if every rule passes."""
-    staged = tables.write_once(p.predictions.where("as_of_date = date'2000-05-01'"), p.shared_path("staged"))
-    passed = assertions.verdict(assertions.run(staged, prediction_rules())).first()["passed"]  # one row
-    path = p.shared_path("serving")
-    tables.replace_partition(staged if passed else staged.limit(0), path, "as_of_date")
-    return p.spark.read.schema(staged.schema).parquet(path).groupBy("as_of_date").agg(F.count("*").alias("n"))
+    """All dates are staged, audited and published; the SQL holds this one date, wap_predictions_dates all."""
+    served = publish_predictions(p, p.predictions).where("as_of_date = date'2000-05-01'")
+    return served.groupBy("as_of_date").agg(F.count("*").alias("n"))
+
+
+query("wap_predictions_dates", "SELECT as_of_date, count(*)::BIGINT AS n FROM prd GROUP BY 1")(
+    lambda p: publish_predictions(p, p.predictions).groupBy("as_of_date").agg(F.count("*").alias("n"))
+)
 
 
 @query("wap_gold", "SELECT count(*)::BIGINT AS n_rows, sum(is_readmitted)::BIGINT AS n_positive FROM gold")
@@ -229,6 +240,13 @@ def prediction_rules():
     }
 
 
+def prediction_verdicts(rows: DataFrame) -> DataFrame:
+    """(as_of_date, rule, n_bad, passed): PRED-01 to 10 for each date that ``rows`` hold."""
+    prev = F.lag("risk_score").over(W.partitionBy("as_of_date").orderBy("rank"))
+    order = assertions.bad(F.col("prev").isNull() | (F.col("risk_score") <= F.col("prev")))
+    return assertions.run(rows.withColumn("prev", prev), prediction_rules() | {"PRED-07": order}, ("as_of_date",))
+
+
 def run_rules():
     c, bad = F.col, assertions.bad
     return {
@@ -287,10 +305,15 @@ _ORDER = " UNION ALL SELECT 'PRED-07', count_if(prev IS NOT NULL AND NOT risk_sc
 
 @query("dq_predictions", _rules_sql(_PRED, PRED_SQL) + _ORDER)
 def dq_predictions(p):
-    rows = p.predictions.where("as_of_date = date'2000-05-01'")
-    prev = F.lag("risk_score").over(W.partitionBy("as_of_date").orderBy("rank"))
-    order = assertions.run(rows.withColumn("prev", prev), {"PRED-07": assertions.bad(F.col("prev").isNull() | (F.col("risk_score") <= F.col("prev")))})
-    return assertions.run(rows, prediction_rules()).unionByName(order)
+    """The rules over all dates: bad counts are summed, so a rule passes only if it does on every date."""
+    return prediction_verdicts(p.predictions).groupBy("rule").agg(F.sum("n_bad").alias("n_bad"), F.bool_and("passed").alias("passed"))
+
+
+_LAG = "(SELECT *, lag(risk_score) OVER (PARTITION BY as_of_date ORDER BY rank) AS prev FROM prd)"
+_DATED = PRED_SQL | {"PRED-07": "count_if(prev IS NOT NULL AND NOT risk_score <= prev)", "PRED-10": "count_if((scoring_run_id = 'run-' || strftime(as_of_date, '%Y%m%d')) IS NOT TRUE)"}
+query("dq_predictions_dates", " UNION ALL ".join(f"SELECT as_of_date, '{k}' AS rule, ({v})::BIGINT AS n_bad, ({v}) = 0 AS passed FROM {_LAG} GROUP BY as_of_date" for k, v in _DATED.items()))(
+    lambda p: prediction_verdicts(p.predictions)
+)
 
 
 RUNS_SQL = {
