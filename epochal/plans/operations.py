@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -12,7 +12,7 @@ from ..functions.poisson import garwood, garwood_interval
 from ..operators import assertions, evaluate
 from ..operators.fingerprint import table_diff, union_all
 from ..sources import tables
-from ..sources.adapter import FIRST_DATE, LAST_DATE, STEP, TOP_N, WINDOW
+from ..sources.adapter import FIRST_DATE, LAST_DATE, REFERENCE_END, STEP, TEST_START, TOP_N, WINDOW
 from . import registry
 from .evaluation import rounded
 from .registry import query
@@ -348,7 +348,7 @@ query("dq_runner", "SELECT true AS passed, NULL::VARCHAR AS first_failure FROM (
 
 @query("dq_mutations", "SELECT unnest(['clean', 'label', 'stop', 'twice']) AS mutation, unnest([NULL, 'GOLD-06', 'GOLD-01', 'GOLD-04']) AS first_failure FROM (SELECT count(*) FROM gold)")
 def dq_mutations(p):
-    """One change for each rule; each must fire exactly its rule."""
+    """A clean copy and three changes of the gold table, as the SQL has them; dq_mutations_all has every rule."""
     g = p.gold
     first = g.agg(F.min("encounter_id").alias("m"))
     marked = g.crossJoin(F.broadcast(first))
@@ -362,6 +362,54 @@ def dq_mutations(p):
     return union_all([assertions.verdict(assertions.run(f, gold_rules())).select(F.lit(n).alias("mutation"), "first_failure") for n, f in changed.items()])
 
 
+def mutations(p) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Name of each rule (or ``clean-`` and a suite) to the rule table of a copy with one targeted change."""
+    c, bad = F.col, assertions.bad
+    out = {}
+
+    def suite(name: str, rows: DataFrame, key: list, judge, changes: dict, add: dict | None = None) -> None:
+        """``changes``: rule to {column: value at the one marked row}; ``add``: rule to a whole changed table."""
+        one = F.broadcast(rows.orderBy(*key).limit(1).select(*(c(k).alias(f"_{k}") for k in key)))
+        marked = rows.crossJoin(one)
+        at = reduce(lambda a, b: a & b, (c(k) == c(f"_{k}") for k in key))
+        keep = lambda f: f.select(*rows.columns)
+        out[f"clean-{name}"] = judge(rows)
+        for rule, new in changes.items():
+            kinds = dict(rows.dtypes)
+            out[rule] = judge(keep(marked.withColumns({k: F.when(at, F.lit(v) if not isinstance(v, Column) else v).otherwise(c(k)).cast(kinds[k]) for k, v in new.items()})))
+        for rule, make in (add or {}).items():
+            out[rule] = judge(make(rows, keep(marked.where(at))))
+
+    def judge_gold(rows: DataFrame) -> DataFrame:
+        missing = p.predictions.join(rows.select("encounter_id"), "encounter_id", "left_anti")
+        return assertions.run(rows, gold_rules()).unionByName(assertions.run(missing, {"GOLD-07": F.count("*")}))
+
+    twice = lambda rows, one: rows.unionByName(one)
+    known = p.predictions.agg(F.min("encounter_id").alias("encounter_id"))
+    suite("gold", p.gold, ["encounter_id"], judge_gold, {"GOLD-01": {"index_stop": None}, "GOLD-05": {"patient_id": None}, "GOLD-06": {"is_readmitted": 2}},
+          {"GOLD-04": twice, "GOLD-07": lambda rows, one: rows.join(F.broadcast(known), "encounter_id", "left_anti")})
+
+    dated = p.predictions.where("as_of_date = date'2000-05-01'")  # one date is enough to fire a rule
+    judge = lambda rows: assertions.run(rows.withColumn("prev", F.lag("risk_score").over(W.orderBy("rank"))), prediction_rules() | {"PRED-07": bad(c("prev").isNull() | (c("risk_score") <= c("prev")))})
+    suite("predictions", dated, ["rank"], judge, {"PRED-02": {"rank": 0}, "PRED-04": {"risk_score": 2.0}, "PRED-05": {"is_top_n": False}, "PRED-06": {"model_bundle_id": "other"},
+          "PRED-07": {"risk_score": 0.0}, "PRED-08": {"partition": "train"}, "PRED-09": {"discharge_time": F.lit("1999-01-01").cast("timestamp_ntz")}, "PRED-10": {"scoring_run_id": "other"}},
+          {"PRED-01": lambda rows, one: rows.limit(0), "PRED-03": lambda rows, one: rows.withColumn("encounter_id", F.when(c("rank") == 2, F.first("encounter_id").over(W.orderBy("rank"))).otherwise(c("encounter_id")))})
+
+    suite("runs", p.runs.where("status = 'succeeded'"), ["scoring_run_id"], lambda rows: assertions.run(rows, run_rules()), {"RUNS-02": {"status": "other", "error_message": "x"}, "RUNS-03": {"finished_at": c("started_at") - F.expr("INTERVAL 1 HOUR")},
+          "RUNS-04": {"n_predictions": 0}, "RUNS-05": {"status": "failed"}, "RUNS-06": {"status": "failed", "error_message": "x", "predictions_tests_passed": False}, "RUNS-07": {"status": "refused", "error_message": "x"}}, {"RUNS-01": twice})
+    suite("ticks", p.ticks.where("status = 'succeeded'"), ["monitoring_run_id"], lambda rows: assertions.run(rows, tick_rules()), {"MON-02": {"status": "other", "verdict": None, "failed_stage": "clock"}, "MON-03": {"finished_at": c("started_at") - F.expr("INTERVAL 1 HOUR")},
+          "MON-04": {"verdict": None}, "MON-05": {"n_matured": None}, "MON-06": {"sim_date": F.date_add("sim_date", 1)}, "MON-09": {"verdict": "other"}, "MON-10": {"sim_date": F.date_sub("sim_date", 70000)},
+          "MON-11": {"cadence": "other"}, "MON-12": {"failed_stage": "clock"}}, {"MON-01": twice})
+    return out
+
+
+@query("dq_mutations_all")
+def dq_mutations_all(p):
+    """(mutation, fired): every rule of the four suites by the change that is made for it, and the rules that it fires."""
+    fired = F.concat_ws(",", F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("rule")))))  # at most a suite's rules
+    return union_all([f.agg(fired.alias("fired")).select(F.lit(n).alias("mutation"), "fired") for n, f in mutations(p).items()])
+
+
 # --- population checks
 query("check_structure", "SELECT count(*)::BIGINT AS n, round(avg(is_readmitted), 8) AS positive_rate, round(avg((admission_reason_code IS NULL)::INT), 8) AS null_reason FROM gold")(
     lambda p: rounded(p.gold.agg(F.count("*").alias("n"), F.avg("is_readmitted").alias("positive_rate"), F.avg(F.col("admission_reason_code").isNull().cast("int")).alias("null_reason")))
@@ -397,6 +445,28 @@ def population_checks(p):
     return union_all([f.select(F.lit(n).alias("check_name"), F.when(ok, "PASS").otherwise(bad).alias("status"), "n") for n, f, ok, bad in checks])
 
 
+@query("population_checks_all")
+def population_checks_all(p):
+    """population_checks, whose SQL holds four, with structure, latest start, label horizon and disjointness."""
+    end = F.lit(REFERENCE_END).cast("timestamp_ntz")
+    start = F.lit(TEST_START).cast("timestamp_ntz")
+    g, s = p.gold, p.split
+    empty = reduce(lambda a, b: a + b, (F.when(F.count(c) == 0, 1).otherwise(0) for c in g.columns))
+    rate = F.avg("is_readmitted")
+    both = s.where("partition = 'train'").select("patient_id").intersect(s.where("partition = 'test'").select("patient_id"))
+    late = F.count_if((F.col("label_horizon") > F.col("index_stop") + F.expr("INTERVAL 30 DAYS")) & (F.col("partition") == "test"))
+    exposed = F.count_if((F.col("partition") == "train") & (F.col("label_horizon") >= start))
+    checks = (
+        ("structure", g.agg((empty + F.when((rate > 0) & (rate < 1), 0).otherwise(1)).cast("long").alias("n")), "FAIL"),
+        ("latest", p.stays.agg((F.count_if(F.col("start").isNull()) + F.count_if(F.col("start") >= end)).alias("n")), "WARN"),
+        ("horizon", s.agg(exposed.alias("n")), "FAIL"),
+        ("late_labels", s.agg(late.alias("n")), "INFO"),
+        ("disjoint", both.agg(F.count("*").alias("n")), "FAIL"),
+    )
+    more = [f.select(F.lit(n).alias("check_name"), F.when(F.col("n") == 0, "PASS").otherwise(bad).alias("status"), "n") for n, f, bad in checks]
+    return union_all([population_checks(p), *more])
+
+
 query("run_constants", "SELECT as_of_date, count(DISTINCT model_bundle_id) = 1 AND count(DISTINCT scoring_run_id) = 1 AND count_if(partition <> 'test') = 0 AS constant FROM prd GROUP BY 1")(
     lambda p: p.predictions.groupBy("as_of_date").agg(((assertions.constant("model_bundle_id") + assertions.constant("scoring_run_id") == 0) & (F.count_if(F.col("partition") != "test") == 0)).alias("constant"))
 )

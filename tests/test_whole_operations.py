@@ -21,3 +21,20 @@ def test_a_bad_date_fails_and_is_not_published(p):
     assert failed - before == {("2000-08-07", "PRED-04")}
     served = {str(r["as_of_date"]) for r in operations.publish_predictions(p, rows).select("as_of_date").distinct().collect()}
     assert "2000-08-07" not in served and "2000-05-01" in served
+
+
+def test_every_mutation_fires_its_rule(p):
+    got = {r["mutation"]: r["fired"].split(",") for r in operations.dq_mutations_all(p).collect()}
+    rules = operations.gold_rules() | operations.prediction_rules() | operations.run_rules() | operations.tick_rules()
+    assert set(rules) | {"GOLD-07", "PRED-07"} == {m for m in got if not m.startswith("clean")}
+    for m, fired in got.items():
+        if m == "PRED-01":  # an empty table has no ranks and no constants either
+            assert m in fired
+        else:
+            assert fired == ([""] if m.startswith("clean") else [m])
+
+
+def test_population_checks_are_whole(p):
+    got = {r["check_name"]: r["status"] for r in operations.population_checks_all(p).collect()}
+    assert {"ids", "posthumous", "power", "label", "structure", "latest", "horizon", "disjoint"} <= set(got)
+    assert got["disjoint"] == got["horizon"] == "PASS"
