@@ -242,11 +242,21 @@ def _may_link(percent: int, k: int, min_shared: int):
     return sizes & enough
 
 
-def _block_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = 4 << 20) -> DataFrame:
+def _blocks(rows: DataFrame, block: int = 4 << 20, most: int = 2048) -> DataFrame:
+    """(hub, n_main, n_rest): numbers of blocks, bounded by bytes of sets and, as a pair of blocks makes a matrix, by rows."""
+
+    def number(side):
+        by_bytes = F.ceil((F.sum(F.when(side, F.octet_length("items").cast("long"))) + 1) / block)
+        return F.greatest(by_bytes, F.ceil(F.count_if(side) / most)).cast("int")
+
+    return rows.groupBy("hub").agg(number(F.col("main")).alias("n_main"), number(~F.col("main")).alias("n_rest"))
+
+
+def _block_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components among the members of a hub (all were compared with the hub itself).
 
     Members outside the hub's largest component are compared with all others, exactly and in blocks of
-    about ``block`` bytes of sets: a block pair is a group of its own, so a hub's members never meet in one
+    limited bytes and rows (see ``_blocks``): a block pair is a group of its own, so a hub's members never meet in one
     task, and only links come out.
     """
     own = members.join(labels, "node", "left").select("hub", "node", F.coalesce("label", "node").alias("comp"))
@@ -255,9 +265,7 @@ def _block_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent
     main = main.where("parts > 1").select("hub", F.col("m.comp").alias("main_comp"))
     rows = own.join(main, "hub").select("hub", "node", "comp", (F.col("comp") == F.col("main_comp")).alias("main"))
     rows = rows.join(sets, "node")
-    size = F.octet_length("items").cast("long")
-    blocks = rows.groupBy("hub").agg(*(F.ceil((F.sum(F.when(c, size)) + 1) / block).cast("int").alias(n) for n, c in (("n_main", F.col("main")), ("n_rest", ~F.col("main")))))
-    rows = rows.join(blocks, "hub")
+    rows = rows.join(_blocks(rows), "hub")
     at = F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
     rows = rows.withColumn("at", at)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
