@@ -3,10 +3,12 @@
 A sparse logistic model over the distinct words of a text, with classes weighted equally and an L1
 penalty. Where a labelled text names an identity group, each such term is swapped for the others of its
 group; the squared change of the model's logit is penalised, so that neutral mentions of a group don't
-raise the score. The model is fitted on the driver from a bounded sample of labelled rows (``per_class``
-of each label, by a hash of doc_id; the smallest hashes); its few weights score all documents.
+raise the score. Spark counts words by class over a sample of labelled rows (``per_class`` of each label: the
+smallest hashes of doc_id) and picks ``features`` of them; the model is fitted on the driver from these rows, of
+which only their places among the picked words get there. Its few weights score all documents.
 
-Edge cases: null and empty texts get the model's base score; labels other than 0 and 1 don't teach; a
+Edge cases: labels of a doc_id that several rows share teach each of these texts, of which the fit takes the
+first ``4 * per_class`` by a hash of their words; null and empty texts get the model's base score; labels other than 0 and 1 don't teach; a
 label whose document is missing teaches nothing; several labels of one document all count; with one
 class only, every score is that class's share (0 or 1), and 0.5 with no label at all.
 """
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, unused, with_fields
+from .common import materialize, ship_package, unused, with_fields, work_dir
 
 # fixed values: terms that may stand for each other in a neutral sentence
 IDENTITY = (
@@ -72,8 +74,8 @@ class Model:
         return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, per_class: int, groups) -> tuple[list, np.ndarray]:
-    """Word numbers, swaps and labels of a bounded sample; one small row per labelled text."""
+def _labelled(docs: DataFrame, labels: DataFrame, per_class: int, groups) -> DataFrame:
+    """(toxic, numbers, swaps, place) of the labelled sample; ``place`` orders rows by their content alone."""
     labels = labels.where("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     near = F.xxhash64("doc_id")
     chosen = [labels.where(F.col("toxic") == c).orderBy(near, "doc_id").limit(per_class) for c in (0, 1)]
@@ -83,41 +85,58 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int, groups) -> tuple
         for batch in batches:
             sets = [words(t.as_py()) for t in batch.column(1)]
             swapped = [_numbers([w for pair in swaps(s, groups) for w in pair]).tobytes() for s in sets]
+            numbers = [np.sort(_numbers(s)) for s in sets]
+            place = [xxhash.xxh3_64_intdigest(n.tobytes()) >> 1 for n in numbers]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_numbers(s).tobytes() for s in sets], pa.binary()), pa.array(swapped, pa.binary())],
-                ["toxic", "numbers", "swaps"],
+                [batch.column(0), pa.array([n.view(np.int64) for n in numbers], pa.list_(pa.int64())), pa.array(swapped, pa.binary()), pa.array(place, pa.int64())],
+                ["toxic", "numbers", "swaps", "place"],
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    rows = rows.mapInArrow(features, "toxic int, numbers binary, swaps binary").limit(4 * per_class).toArrow()
-    as_numbers = lambda name: [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column(name).combine_chunks()]
-    return list(zip(as_numbers("numbers"), as_numbers("swaps"), strict=True)), rows.column("toxic").to_numpy()
+    return rows.mapInArrow(features, "toxic int, numbers array<long>, swaps binary, place long")
 
 
-def fit(rows: list, y: np.ndarray, groups, *, features: int, min_texts: int, l1: float, swap: float, rounds: int) -> Model:
-    """Accelerated proximal gradient on the weighted log loss, the swap penalty and an L1 penalty."""
+def select_words(rows: DataFrame, features: int, min_texts: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Numbers of the words that part the classes most (two-proportion z-score), and texts by class; counted by Spark."""
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
+    pos, neg = sizes.get(1, 0), sizes.get(0, 0)
+    if not pos or not neg:
+        return np.empty(0, np.uint64), sizes
+    counts = rows.select("toxic", F.explode("numbers").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    p = F.col("n") / F.lit(pos + neg)
+    spread = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * F.lit(1 / pos + 1 / neg))
+    z = F.abs(F.col("t") / F.lit(pos) - (F.col("n") - F.col("t")) / F.lit(neg)) / spread
+    top = counts.where(F.col("n") >= min_texts).orderBy(z.desc(), "word").limit(features).select("word")
+    return np.array([r["word"] for r in top.collect()], np.int64).view(np.uint64), sizes  # at most ``features`` rows
+
+
+def _sample(rows: DataFrame, chosen: np.ndarray, most: int) -> tuple[list, np.ndarray]:
+    """(words' places in ``chosen``, swaps) and labels of at most ``most`` rows, in order of content: a short row each."""
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.flatnonzero(np.isin(chosen, n.values.to_numpy(zero_copy_only=False).view(np.uint64))).astype(np.int16) for n in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([o.tobytes() for o in own], pa.binary()), batch.column(2), batch.column(3)], ["toxic", "own", "swaps", "place"]
+            )
+
+    got = rows.mapInArrow(narrow, "toxic int, own binary, swaps binary, place long").orderBy("place", "toxic", "own").limit(most).toArrow()
+    column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for c in got.column(name).chunks for x in c]
+    return list(zip(column("own", np.int16), column("swaps", np.uint64), strict=True)), got.column("toxic").to_numpy()
+
+
+def fit(rows: list, y: np.ndarray, chosen: np.ndarray, *, l1: float, swap: float, rounds: int) -> Model:
+    """Accelerated proximal gradient on the weighted log loss, the swap penalty and an L1 penalty.
+
+    ``rows`` hold each text's places in ``chosen`` (sorted word numbers) and the numbers of its swapped terms.
+    """
     if len(y) == 0 or y.min() == y.max():
         share = 0.5 if len(y) == 0 else float(y[0])
         return Model(float(np.clip(60 * (share - 0.5), -30, 30)), {})
-    order = np.argsort([xxhash.xxh3_64_intdigest(r[0].tobytes()) for r in rows], kind="stable")  # whatever order tasks end in
-    rows, y = [rows[i] for i in order], y[order].astype(float)
-    flat = np.concatenate([r[0] for r in rows])
-    kinds, column, texts = np.unique(flat, return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    toxic = np.bincount(column, y[row], len(kinds))
-    # words that part the classes most (two-proportion z-score), and all identity terms
+    y = y.astype(float)
     pos, neg = y.sum(), len(y) - y.sum()
-    p = texts / len(y)
-    z = np.abs(toxic / pos - (texts - toxic) / neg) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / pos + 1 / neg))
-    z[texts < min_texts] = -1
-    named = np.array([xxhash.xxh3_64_intdigest(t) for g in groups for t in g], np.uint64)
-    top = kinds[np.lexsort((kinds, -z))][: min(features, int((z >= 0).sum()))]
-    chosen = np.unique(np.concatenate([top, named]))
-    at = np.searchsorted(chosen, kinds)
-    at[at == len(chosen)] = 0
-    to = np.where(chosen[at] == kinds, at, -1)[column]
-    row, to = row[to >= 0], to[to >= 0]
+    row, to = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows]), np.concatenate([r[0] for r in rows]).astype(np.int64)
     pairs = np.concatenate([r[1] for r in rows]).reshape(-1, 2)
     gone, come = (np.searchsorted(chosen, pairs[:, i]) for i in (0, 1))
     weight = np.where(y == 1, 0.5 / pos, 0.5 / neg)
@@ -155,9 +174,15 @@ def fit(rows: list, y: np.ndarray, groups, *, features: int, min_texts: int, l1:
 def learn(docs: DataFrame, labels: DataFrame, *, groups=IDENTITY, per_class: int = PER_CLASS, features: int = FEATURES,
           min_texts: int = MIN_TEXTS, l1: float = L1, swap: float = SWAP, rounds: int = ROUNDS) -> Model:
     """A model from (doc_id, text) and (doc_id, toxic)."""
-    ship_package(docs.sparkSession)
-    rows, y = _sample(docs, labels, per_class, groups)
-    return fit(rows, y, groups, features=features, min_texts=min_texts, l1=l1, swap=swap, rounds=rounds)
+    spark = docs.sparkSession
+    ship_package(spark)
+    rows = materialize(_labelled(docs, labels, per_class, groups), work_dir(spark, "toxicity"), "labelled")
+    top, sizes = select_words(rows, features, min_texts)
+    named = np.array([xxhash.xxh3_64_intdigest(t) for g in groups for t in g], np.uint64)
+    chosen = np.unique(np.concatenate([top, named]))
+    if len(sizes) < 2:  # nothing to tell apart
+        return fit([], np.array(list(sizes)), chosen, l1=l1, swap=swap, rounds=rounds)
+    return fit(*_sample(rows, chosen, 4 * per_class), chosen, l1=l1, swap=swap, rounds=rounds)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

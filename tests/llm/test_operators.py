@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from epochal.llm import ann, bpe, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
@@ -167,8 +168,10 @@ def test_counterfactual_penalty_lowers_identity_weights():
         bad = i % 2
         rows.append((" ".join(["idiot"] * bad + (["muslim"] if rnd.random() < (0.8 if bad else 0.1) else []) + rnd.sample(WORDS, 5)), bad))
     y = np.array([b for _, b in rows])
-    made = [(toxicity._numbers(toxicity.words(t)), toxicity._numbers([w for p in toxicity.swaps(toxicity.words(t), toxicity.IDENTITY) for w in p])) for t, _ in rows]
-    fit = lambda swap: toxicity.fit(made, y, toxicity.IDENTITY, features=500, min_texts=2, l1=1e-4, swap=swap, rounds=400)
+    named = [xxhash.xxh3_64_intdigest(t) for g in toxicity.IDENTITY for t in g]
+    chosen = np.unique(np.concatenate([toxicity._numbers(["idiot", *WORDS]), np.array(named, np.uint64)]))
+    made = [(np.searchsorted(chosen, np.sort(toxicity._numbers(toxicity.words(t)))).astype(np.int16), toxicity._numbers([w for p in toxicity.swaps(toxicity.words(t), toxicity.IDENTITY) for w in p])) for t, _ in rows]
+    fit = lambda swap: toxicity.fit(made, y, chosen, l1=1e-4, swap=swap, rounds=400)
     gap = lambda m: abs(m.score("a muslim lives here") - m.score("a christian lives here"))
     assert gap(fit(5.0)) < 0.5 * gap(fit(0.0))
     assert fit(5.0).score("you idiot") > 0.7 > fit(5.0).score(None)
