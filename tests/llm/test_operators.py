@@ -71,7 +71,7 @@ def test_near_duplicates(docs, words):
     force = near_dup_by_force(rows, words)
     for r in found:
         assert r["component_id"] == (force[r["doc_id"]] if r["doc_id"] is not None else None)
-        assert r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"])
+        assert r["kept"] == (r["component_id"] is None or r["doc_id"] == r["component_id"])
 
 
 def test_near_duplicates_of_nothing(docs):
