@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Working folders of this process, in the order of their making.
+MADE: list[str] = []
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let executors import this package, once for each Spark application.
 
@@ -33,14 +37,25 @@ def ship_package(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, the store that driver and executors share.
 
-    Only where the session has no such setting (a local test session) is one chosen here.
+    Only in a local session (tests) that has no such setting is one chosen here; elsewhere it is an error,
+    as other machines don't see this one's folders.
     """
     ship_package(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="epochal-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    MADE.append(f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}")
+    return MADE[-1]
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders whose tables nobody reads any more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -70,8 +85,6 @@ def commit_file(uri: str, write) -> int:
     return fs.get_file_info(path).size
 
 
-
-
 def id_remainder(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(modulus))
 
