@@ -75,7 +75,7 @@ class Bpe:
     """Encoder and decoder of one tokenizer file (byte-level BPE with an end-of-word suffix)."""
 
     #: Entries of a memo's generation and of the pairs' table; a worker keeps them for its lifetime, beside other stages' data.
-    N_WORDS, N_PIECES, N_PAIRS = 50_000, 100_000, 100_000
+    N_WORDS, N_PIECES, N_PAIRS = 100_000, 200_000, 100_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

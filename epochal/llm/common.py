@@ -17,12 +17,18 @@ from pyspark.sql.types import StructType
 MADE: list[str] = []
 
 
+#: Texts are long: more rows at a time than this would fill a Python worker.
+BATCH_ROWS, _BATCH = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let executors import this package, once for each Spark application.
+    """Let executors import this package, once for each Spark application, and keep the session's Arrow batches short.
 
     Functions of the Python stages are then found by name, and what they keep between tasks
     (tables of a tokenizer, memos) is built once in a worker.
     """
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
     if getattr(sc, "_epochal_shipped", False):
         return

@@ -345,10 +345,11 @@ def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     light = (fx * fy < 4096)[vx]
     vx, rx = vx[light], rx[light]
     begin, times = np.concatenate([[0], np.cumsum(fy)])[vx], fy[vx]
-    for start in range(0, len(vx), 1 << 16):
-        b, t = begin[start : start + (1 << 16)], times[start : start + (1 << 16)]
+    step = 1 << 13  # a few MB of indices at a time
+    for start in range(0, len(vx), step):
+        b, t = begin[start : start + step], times[start : start + step]
         inner = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t) + np.repeat(b, t)
-        out += np.bincount(np.repeat(rx[start : start + (1 << 16)], t) * len(y) + ry[inner], minlength=len(out))
+        out += np.bincount(np.repeat(rx[start : start + step], t) * len(y) + ry[inner], minlength=len(out))
     return out.reshape(len(x), len(y))
 
 
@@ -377,18 +378,7 @@ def candidates(x: list[np.ndarray], y: list[np.ndarray], percent: int, k: int, m
 def _links_between(x: pd.DataFrame, y: pd.DataFrame, percent: int, k: int, min_shared: int) -> list[tuple[int, int]]:
     """Links between rows of different components, no more than it takes to join these."""
     sets = [[np.frombuffer(b, np.int64) for b in f["items"]] for f in (x, y)]
-    i, j = candidates(*sets, percent, k, min_shared)
-    apart = x["comp"].to_numpy()[i] != y["comp"].to_numpy()[j]
-    i, j = i[apart], j[apart]
-    if not len(i):
-        return []
-    # exact overlaps of the rows that are in any candidate pair
-    (some_i, at_i), (some_j, at_j) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
-    own = [sets[0][a] for a in some_i], [sets[1][b] for b in some_j]
-    shared = overlaps(*own)[at_i, at_j]
-    size = lambda s: np.array(list(map(len, s)))
-    linked = 100 * shared >= percent * (size(own[0])[at_i] + size(own[1])[at_j] - shared)
-    i, j = i[linked], j[linked]
+    comps = x["comp"].to_numpy(), y["comp"].to_numpy()
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -396,15 +386,33 @@ def _links_between(x: pd.DataFrame, y: pd.DataFrame, percent: int, k: int, min_s
             parent[c] = c = parent[parent[c]]
         return c
 
-    found, nodes, comps = [], (x["node"].to_numpy(), y["node"].to_numpy()), (x["comp"].to_numpy(), y["comp"].to_numpy())
-    for m, n in zip(i.tolist(), j.tolist(), strict=True):
-        a, b = root(int(comps[0][m])), root(int(comps[1][n]))
-        if a != b:
-            parent[b] = a
-            found.append(tuple(sorted((int(nodes[0][m]), int(nodes[1][n])))))
+    found, nodes = [], (x["node"].to_numpy(), y["node"].to_numpy())
+    for start in range(0, len(x), 256):  # so that matrices stay small
+        i, j = _linked(sets[0][start : start + 256], sets[1], comps[0][start : start + 256], comps[1], percent, k, min_shared)
+        for m, n in zip((i + start).tolist(), j.tolist(), strict=True):
+            a, b = root(int(comps[0][m])), root(int(comps[1][n]))
+            if a != b:
+                parent[b] = a
+                found.append(tuple(sorted((int(nodes[0][m]), int(nodes[1][n])))))
     return found
 
 
+def _linked(x: list[np.ndarray], y: list[np.ndarray], comp_x: np.ndarray, comp_y: np.ndarray, percent: int, k: int, min_shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of linked sets of different components."""
+    i, j = candidates(x, y, percent, k, min_shared)
+    apart = comp_x[i] != comp_y[j]
+    i, j = i[apart], j[apart]
+    if not len(i):
+        return i, j
+    # exact overlaps of the rows that are in any candidate pair
+    (some_i, at_i), (some_j, at_j) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+    own = [x[a] for a in some_i], [y[b] for b in some_j]
+    shared = overlaps(*own)[at_i, at_j]
+    size = lambda s: np.array(list(map(len, s)))
+    linked = 100 * shared >= percent * (size(own[0])[at_i] + size(own[1])[at_j] - shared)
+    return i[linked], j[linked]
+
+
 def max_miss_probability(k: int = 64, min_shared: int = 32, similarity: float = 0.8) -> float:
     """Chance that a pair at ``similarity`` shares fewer than ``min_shared`` of ``k`` sampled union values."""
     return sum(math.comb(k, i) * similarity**i * (1 - similarity) ** (k - i) for i in range(min_shared))
