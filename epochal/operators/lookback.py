@@ -1,6 +1,9 @@
-"""Counts of an index stay's history in a look-back window.
+"""Counts of an index stay's history in a look-back window, as spans that cover the stay's start.
 
-Index rows have id, entity, start; the window is [add_months(date of start, -12 * years), start).
+The window of a stay that starts at t is [add_months(date of t, -12 * years), t). Whether a fact counts for t
+is a condition on t alone: from a first instant on, and up to the last date whose window still reaches it.
+So a fact is a span of instants, a count is the number of spans that cover t, and a count of distinct codes
+is that of each code's merged spans.
 """
 
 from __future__ import annotations
@@ -10,63 +13,68 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import timeline
+from .timeline import micros
 
-def with_window(index: DataFrame, years: int = 1) -> DataFrame:
-    begin = F.add_months(F.to_date("start"), -12 * years).cast("timestamp_ntz")
-    return index.select("id", "entity", F.col("start").alias("t"), begin.alias("ws"))
+# fixed values: names of the counts, in the order of the feature table
+NAMES = (
+    "prior_encounter_count", "prior_inpatient_count", "prior_emergency_count", "active_condition_count",
+    "active_medication_count", "procedure_count_window", "active_careplan_count", "observation_count_window",
+)
 
 
-def _facts(index: DataFrame, facts: DataFrame, when: Column) -> DataFrame:
-    """(id, fact columns f_*) of each index row's facts; the entity's facts stream through one join."""
-    f = facts.select("entity", *(F.col(c).alias(f"f_{c}") for c in facts.columns if c != "entity"))
-    return with_window(index).join(f, "entity").where(when)
+def reached_until(c: Column | str, years: int = 1) -> Column:
+    """The first instant whose window no longer holds ``c``: midnight after the last date that looks back so far.
 
+    Of a month's last days several dates may look back to one date, or none; the later of two candidates is right.
+    """
+    day, months = F.to_date(c), 12 * years
+    last = F.greatest(F.add_months(day, months), F.date_sub(F.add_months(F.date_add(day, 1), months), 1))
+    return micros(F.date_add(last, 1).cast("timestamp_ntz"))
 
-def encounters(index: DataFrame, stays: DataFrame) -> DataFrame:
-    """(id, name, n) of three counts of finished encounters, from one join."""
-    hit = _facts(index, stays.select("entity", "start", "stop", "class"), (F.col("f_start") >= F.col("ws")) & (F.col("f_start") < F.col("t")) & (F.col("f_stop") <= F.col("t")))
-    named = F.array(
-        F.lit("prior_encounter_count"),
-        F.when(F.col("f_class") == "inpatient", "prior_inpatient_count"),
-        F.when(F.col("f_class") == "emergency", "prior_emergency_count"),
-    )
-    counts = hit.groupBy("id", "f_class").agg(F.count("*").alias("n"))
-    return counts.select("id", F.explode(named).alias("name"), "n").where("name is not null").groupBy("id", "name").agg(F.sum("n").alias("n"))
 
+def after(c: Column | str) -> Column:
+    """The first instant later than ``c``."""
+    return micros(c) + 1
 
-def active_codes(index: DataFrame, facts: DataFrame, name: str, by_day: bool) -> DataFrame:
-    """Distinct codes active before the index start; ``by_day`` leaves out records of the same day."""
-    before = F.to_date("f_start") < F.to_date("t") if by_day else F.col("f_start") < F.col("t")
-    hit = _facts(index, facts.select("entity", "code", "start", "stop"), before & (F.col("f_stop").isNull() | (F.col("f_stop") >= F.col("ws"))))
-    return hit.groupBy("id").agg(F.countDistinct("f_code").alias("n")).select("id", F.lit(name).alias("name"), "n")
 
+def encounters(stays: DataFrame) -> DataFrame:
+    """Finished encounters that started in the window: all, inpatient and emergency ones."""
+    named = F.array_compact(F.array(
+        F.lit("prior_encounter_count"), F.when(F.col("class") == "inpatient", "prior_inpatient_count"), F.when(F.col("class") == "emergency", "prior_emergency_count")
+    ))
+    done = stays.where("stop is not null")
+    return done.select("entity", F.explode(named).alias("name"), F.greatest(after("start"), micros("stop")).alias("lo"), reached_until("start").alias("hi"))
 
-def rows_in_window(index: DataFrame, facts: DataFrame, name: str) -> DataFrame:
-    hit = _facts(index, facts.select("entity", "start"), (F.col("f_start") >= F.col("ws")) & (F.col("f_start") < F.col("t")))
-    return hit.groupBy("id").agg(F.count("*").alias("n")).select("id", F.lit(name).alias("name"), "n")
 
+def started(facts: DataFrame, name: str) -> DataFrame:
+    """Facts that started in the window."""
+    return facts.select("entity", F.lit(name).alias("name"), after("start").alias("lo"), reached_until("start").alias("hi"))
 
-NAMES = (
-    "prior_encounter_count", "prior_inpatient_count", "prior_emergency_count", "active_condition_count",
-    "active_medication_count", "procedure_count_window", "active_careplan_count", "observation_count_window",
-)
+
+def active_codes(facts: DataFrame, name: str, by_day: bool) -> DataFrame:
+    """Codes with a record that began before t and had not ended before the window; ``by_day``: before the day of t."""
+    begins = micros(F.date_add(F.to_date("start"), 1).cast("timestamp_ntz")) if by_day else after("start")
+    spans = facts.select("entity", "code", begins.alias("lo"), reached_until("stop").alias("hi"))
+    return timeline.merged(spans, ["entity", "code"]).select("entity", F.lit(name).alias("name"), "lo", "hi")
+
+
+def spans_of(roles: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Spans by name of the count; the three counts of encounters come together."""
+    return {
+        "prior_": encounters(roles["stays"]),
+        "active_condition_count": active_codes(roles["conditions"], "active_condition_count", True),
+        "active_careplan_count": active_codes(roles["careplans"], "active_careplan_count", True),
+        "active_medication_count": active_codes(roles["medications"], "active_medication_count", False),
+        "procedure_count_window": started(roles["procedures"], "procedure_count_window"),
+        "observation_count_window": started(roles["observations"], "observation_count_window"),
+    }
 
 
-def zero_filled(index: DataFrame, counts: list[DataFrame], names=NAMES) -> DataFrame:
-    """(id, one column per count), 0 where nothing matched; counts meet as long rows in one aggregation."""
-    long = reduce(DataFrame.unionByName, counts, index.select("id", F.lit(None).cast("string").alias("name"), F.lit(0).cast("long").alias("n")))
-    return long.groupBy("id").agg(*(F.sum(F.when(F.col("name") == n, F.col("n")).otherwise(0)).alias(n) for n in names))
+def counts(index: DataFrame, spans: DataFrame, names: tuple[str, ...] = NAMES) -> DataFrame:
+    """(id, one column per name) for index rows (id, entity, start), 0 where nothing is covered."""
+    return timeline.count_covering(index.select("id", "entity", micros("start").alias("at")), spans, names)
 
 
 def all_counts(index: DataFrame, roles: dict[str, DataFrame]) -> DataFrame:
-    return zero_filled(
-        index,
-        [
-            encounters(index, roles["stays"]),
-            active_codes(index, roles["conditions"], "active_condition_count", True),
-            active_codes(index, roles["careplans"], "active_careplan_count", True),
-            active_codes(index, roles["medications"], "active_medication_count", False),
-            rows_in_window(index, roles["procedures"], "procedure_count_window"),
-            rows_in_window(index, roles["observations"], "observation_count_window"),
-        ],
-    )
+    return counts(index, reduce(DataFrame.unionByName, spans_of(roles).values()))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import enrich, fingerprint, intervals, lookback, split
+from ..operators.fingerprint import union_all
 from ..sources import tables
 from ..sources.adapter import PLANNED_CODES, REFERENCE_END, TEST_START, instant
 from . import registry
@@ -17,7 +18,7 @@ from .registry import query
 class Plans(registry.Plans):
     @cached_property
     def flagged(self) -> DataFrame:
-        return self.landed("flagged", lambda: intervals.flag_stays(self.stays, self.procedures, PLANNED_CODES))
+        return self.landed("flagged", lambda: intervals.flag_stays(self.stays, self.procedures, PLANNED_CODES, reference_end=instant(REFERENCE_END)))
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -29,20 +30,23 @@ class Plans(registry.Plans):
 
     @cached_property
     def horizons(self) -> DataFrame:
-        return intervals.label_horizon(self.candidates, self.flagged, self.procedures, PLANNED_CODES, instant(REFERENCE_END))
+        return intervals.label_horizon(self.candidates, self.flagged, instant(REFERENCE_END))
 
     @cached_property
     def index(self) -> DataFrame:
         return self.landed("index", lambda: intervals.observable(self.labelled, self.entities, instant(REFERENCE_END)))
 
+    @cached_property
+    def spans(self) -> dict[str, DataFrame]:
+        return lookback.spans_of({n: getattr(self, n) for n in ("stays", "conditions", "careplans", "medications", "procedures", "observations")})
+
     @cached_property
     def counts(self) -> DataFrame:
-        names = ("stays", "conditions", "careplans", "medications", "procedures", "observations")
-        return lookback.all_counts(self.index, {n: getattr(self, n) for n in names})
+        return lookback.counts(self.index, union_all(list(self.spans.values())))
 
     @cached_property
     def gold(self) -> DataFrame:
-        return self.landed("gold", lambda: enrich.gold_table(self.index, self.horizons, self.counts, self.entities, self.payers, self.suppliers))
+        return self.landed("gold", lambda: enrich.gold_table(self.index, self.horizons, self.counts, entities=self.entities, payers=self.payers, suppliers=self.suppliers))
 
     @cached_property
     def split(self) -> DataFrame:
@@ -108,7 +112,7 @@ def readmit_label(p):
 
 @query("readmit_label_window", "SELECT id, label FROM lab")
 def readmit_label_window(p):
-    return intervals.outcome_by_window(p.candidates, p.flagged).select("id", "label")
+    return intervals.last_start(p.candidates, p.flagged).select("id", F.col("last_start").isNotNull().cast("int").alias("label"))
 
 
 @query("label_horizon", "SELECT id, label_horizon FROM hor")
@@ -122,19 +126,7 @@ def observable_index(p):
 
 
 def _lookback(name):
-    def one(p):
-        kinds = {
-            "prior_": lambda: lookback.encounters(p.index, p.stays),
-            "active_condition": lambda: lookback.active_codes(p.index, p.conditions, name, True),
-            "active_careplan": lambda: lookback.active_codes(p.index, p.careplans, name, True),
-            "active_medication": lambda: lookback.active_codes(p.index, p.medications, name, False),
-            "procedure": lambda: lookback.rows_in_window(p.index, p.procedures, name),
-            "observation": lambda: lookback.rows_in_window(p.index, p.observations, name),
-        }
-        found = next(f for k, f in kinds.items() if name.startswith(k))()
-        return lookback.zero_filled(p.index, [found], (name,))
-
-    return one
+    return lambda p: lookback.counts(p.index, next(f for k, f in p.spans.items() if name.startswith(k)), (name,))
 
 
 for _key, _name in (
@@ -149,7 +141,7 @@ query("lb_all", "SELECT * FROM lb")(lambda p: p.counts)
 @query("dim_attributes", """SELECT o.id, ownership AS payer_ownership, specialty AS provider_specialty, utilization AS organization_utilization
 FROM obs o LEFT JOIN pay ON pay.id = o.payer LEFT JOIN sup ON sup.id = o.provider""")
 def dim_attributes(p):
-    return enrich.with_attributes(p.index, p.payers, p.suppliers).select("id", "payer_ownership", "provider_specialty", "organization_utilization")
+    return enrich.with_star(p.index, payers=p.payers, suppliers=p.suppliers).select("id", "payer_ownership", "provider_specialty", "organization_utilization")
 
 
 @query("age_at_index", "SELECT encounter_id, round(age_at_index_years, 9) AS age FROM gold")
