@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -40,31 +43,62 @@ def scalars(rows: DataFrame, y: str, score: str, base_rate: Column) -> DataFrame
     return out.withColumn("brier_skill", 1 - F.col("brier") / F.col("_base")).withColumn("gap", gap).withColumn("abs_gap", F.abs(gap)).drop("_base")
 
 
-def auc(rows: DataFrame, y: str, score: str, by: tuple[str, ...] = (), weight: Column | None = None) -> DataFrame:
+CHUNKS = 256
+
+
+def ranked(rows: DataFrame, score: str, values: dict[str, Column], by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per distinct score (within ``by``): sums of ``values``, and of each its total and its sum ``below_*`` the score.
+
+    Scores are cut into about ``CHUNKS`` ranges of equally many distinct ones, and sums of whole ranges are added
+    to those within a range, so no task orders more than a range.
+    """
+    g = rows.groupBy(*by, score).agg(*(c.alias(n) for n, c in values.items()))
+    edges = g.agg(F.percentile_approx(score, F.array(*(F.lit(i / CHUNKS) for i in range(1, CHUNKS))), F.lit(10 * CHUNKS)).alias("_edges"))  # one row
+    g = g.crossJoin(F.broadcast(edges)).withColumn("_chunk", F.size(F.filter("_edges", lambda e: e < F.col(score)))).drop("_edges")
+    own = g.groupBy(*by, "_chunk").agg(*(F.sum(n).alias(n) for n in values))  # at most CHUNKS rows for each ``by``
+    everything = W.partitionBy(*by)
+    before = everything.orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    base = own.select(*by, "_chunk", *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in values), *(F.sum(n).over(everything).alias(f"total_{n}") for n in values))
+    inside = W.partitionBy(*by, "_chunk").orderBy(score).rowsBetween(W.unboundedPreceding, -1)
+    g = g.withColumns({f"below_{n}": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in values}).join(base, [*by, "_chunk"])
+    return g.withColumns({f"below_{n}": F.col(f"below_{n}") + F.col(f"_{n}") for n in values}).drop("_chunk", *(f"_{n}" for n in values))
+
+
+def auc(rows: DataFrame, y: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null with one class. Rows shrink to distinct scores first."""
-    w = F.lit(1) if weight is None else weight
-    g = rows.groupBy(*by, score).agg(F.sum(w * F.col(y)).alias("pos"), F.sum(w * (1 - F.col(y))).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(W.partitionBy(*by).orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    pairs = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
+    g = ranked(rows, score, {"pos": F.sum(y), "neg": F.sum(1 - F.col(y))}, by)
+    pairs = F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2))
     all_pairs = F.sum("pos") * F.sum("neg")
-    return g.withColumn("below", below).groupBy(*by).agg(F.when(all_pairs > 0, pairs / all_pairs).alias("auc"))
+    return g.groupBy(*by).agg(F.when(all_pairs > 0, pairs / all_pairs).alias("auc"))
 
 
 def average_precision(rows: DataFrame, y: str, score: str) -> DataFrame:
     """Sum of recall steps times precision over distinct thresholds, from the highest score down."""
-    g = rows.groupBy(score).agg(F.sum(y).alias("pos"), F.count("*").alias("n"))
-    down = W.orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)  # one row per distinct score
-    g = g.withColumn("precision", F.sum("pos").over(down) / F.sum("n").over(down))
-    return g.agg((F.sum(F.col("pos") * F.col("precision")) / F.sum("pos")).alias("average_precision"))
+    g = ranked(rows, score, {"pos": F.sum(y), "n": F.count("*")})
+    precision = (F.col("total_pos") - F.col("below_pos")) / (F.col("total_n") - F.col("below_n"))
+    return g.agg((F.sum(F.col("pos") * precision) / F.sum("pos")).alias("average_precision"))
+
+
+def quantile_edges(g: DataFrame, score: str, bins: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, edges): distinct interpolated quantiles i / bins of rows counted by score (n, below_n, total_n)."""
+    out = []
+    for i in range(bins + 1):
+        place = (F.col("total_n") - 1) * i / bins
+        at = lambda k: F.min(F.when((F.col("below_n") <= k) & (k < F.col("below_n") + F.col("n")), F.col(score)))
+        low, high, part = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
+        out.append(low + (high - low) * part)
+    return g.groupBy(*by).agg(F.array_distinct(F.array(*out)).alias("edges"))
+
+
+def bin_of(score: Column, edges: Column) -> Column:
+    """Left-closed bins, the last closed; equal edges make one bin."""
+    return F.greatest(F.lit(0), F.least(F.size(F.filter(edges, lambda e: e <= score)) - 1, F.size(edges) - 2))
 
 
 def calibration(rows: DataFrame, y: str, score: str, bins: int = 10) -> DataFrame:
     """(bin, n, mean_score, rate) over quantile bins, left-closed, the last closed; equal edges merge."""
-    shares = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
-    edges = rows.agg(F.array_distinct(F.percentile(score, shares)).alias("edges"))  # one row
-    at = F.size(F.filter("edges", lambda e: e <= F.col(score))) - 1
-    at = F.greatest(F.lit(0), F.least(at, F.size("edges") - 2)).alias("bin")
-    binned = rows.crossJoin(F.broadcast(edges)).select(F.col(y).alias("y"), F.col(score).alias("p"), at)
+    edges = quantile_edges(ranked(rows, score, {"n": F.count("*")}), score, bins)  # one row
+    binned = rows.crossJoin(F.broadcast(edges)).select(F.col(y).alias("y"), F.col(score).alias("p"), bin_of(F.col(score), F.col("edges")).alias("bin"))
     return binned.groupBy("bin").agg(F.count("*").alias("n"), F.sum("y").alias("n_positive"), F.avg("p").alias("mean_score"), F.avg("y").alias("rate"))
 
 
@@ -96,59 +130,106 @@ def settled_rates(gold: DataFrame, cutoff: Column, least: int = 30) -> DataFrame
     return g.agg(F.count("*").alias("n"), F.avg("is_readmitted").alias("rate")).withColumn("rate", F.when(F.col("n") >= least, F.col("rate")))
 
 
-BUCKETS = 64
+#: Rows that one task of the bootstrap holds (ties of one score go to several tasks).
+BLOCK_ROWS = 4_096
+# fixed values: multipliers of a 32-bit mixing function
+_GOLDEN, _MIX_1, _MIX_2 = 0x9E3779B9, 0x85EBCA6B, 0xC2B2AE35
+#: A 32-bit number below the k-th of these has a Poisson(1) weight of at most k.
+POISSON = tuple(int(2**32 * math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1))) for k in range(10))
 
 
-def entity_index(rows: DataFrame, entity: str) -> DataFrame:
-    """(entity, at) with at = 0 .. n-1, dealt over buckets so that no single task numbers all entities."""
-    ids = rows.select(F.col(entity).alias("entity")).distinct().withColumn("bucket", F.pmod("entity", F.lit(BUCKETS)))
-    sizes = ids.groupBy("bucket").agg(F.count("*").alias("n"))
-    offset = F.coalesce(F.sum("n").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    base = sizes.select("bucket", offset.alias("base"))  # at most BUCKETS rows
-    place = F.row_number().over(W.partitionBy("bucket").orderBy("entity")) - 1
-    return ids.withColumn("place", place).join(F.broadcast(base), "bucket").select("entity", (F.col("base") + F.col("place")).alias("at"))
+def entity_words(entity: Column) -> list[Column]:
+    """Two 32-bit numbers of an entity's text, from its md5."""
+    digest = F.md5(entity.cast("string").cast("binary"))
+    return [F.conv(F.substring(digest, i, 8), 16, 10).cast("long") for i in (1, 9)]
 
 
-def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int, seed: str = "1", bins: int | None = None, keep: Callable[[DataFrame], DataFrame] = lambda f: f) -> DataFrame:
-    """(b, arm, auc, brier, oe, gap): every arm on the same entity resamples; auc is null where one class is missing.
+def poisson_weights(e1: np.ndarray, e2: np.ndarray, resamples: np.ndarray) -> np.ndarray:
+    """Weights (entities, resamples), drawn by mixing an entity's numbers with the resample's."""
 
-    With ``bins`` also ``ece``, over each resample's own quantile bins. ``keep`` may land the draws, whose
-    number Spark can't foresee: without that it may take them for the small side of a join.
+    def mix(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint32(16))) * np.uint32(_MIX_1)
+        x = (x ^ (x >> np.uint32(13))) * np.uint32(_MIX_2)
+        return x ^ (x >> np.uint32(16))
 
-    Draw k of resample b is entity md5(seed|b|k) mod n, so resamples are the same on any cluster.
+    x = mix(mix(e1[:, None] + resamples[None, :] * np.uint32(_GOLDEN)) ^ e2[:, None])
+    return np.searchsorted(np.array(POISSON, np.uint64), x.ravel(), side="right").reshape(x.shape)
+
+
+def _long(rows: DataFrame, y: str, arms: list[str], entity: str) -> DataFrame:
+    """(arm, p, y, e1, e2): a row of each arm."""
+    e1, e2 = entity_words(F.col(entity))
+    kinds = F.explode(F.array(*(F.struct(F.lit(a).alias("arm"), F.col(a).cast("double").alias("p")) for a in arms)))
+    return rows.select(F.col(y).cast("double").alias("y"), e1.alias("e1"), e2.alias("e2"), kinds.alias("x")).select("x.arm", "x.p", "y", "e1", "e2")
+
+
+def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int) -> DataFrame:
+    """(b, arm, auc, brier, oe, gap): every arm on the same entity resamples; auc is null where one class is missing.
+
+    An entity's weight in a resample is Poisson(1), the limit of drawing with replacement: it follows from a hash
+    of the two, so no draws are stored or joined. Rows lie in blocks of neighbouring scores. A block gives, for each
+    resample, its weighted sums and the pairs it orders by itself; sums over blocks give the rest.
     """
-    spark = rows.sparkSession
-    at = entity_index(rows, entity)
-    n = at.agg(F.count("*").alias("n_entities"))
-    every = spark.range(0, resamples, 1, max(1, resamples // 20)).withColumnRenamed("id", "b")  # a task holds few resamples
-    draws = every.crossJoin(F.broadcast(n)).select("b", "n_entities", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_entities") - 1)).alias("k"))
-    number = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("b").cast("string"), F.col("k").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
-    times = draws.groupBy("b", F.pmod(number, F.col("n_entities")).alias("at")).agg(F.count("*").alias("w"))
-    times = keep(times)
-    weights = times.join(at, "at").select("b", "entity", "w")
-    long = rows.select(F.col(entity).alias("entity"), F.col(y).alias("y"), F.explode(F.array(*(F.struct(F.lit(a).alias("arm"), F.col(a).cast("double").alias("p")) for a in arms))).alias("x"))
-    long = weights.join(long.select("entity", "y", "x.arm", "x.p"), "entity")
-    # one pass: weighted counts of both classes by distinct score hold all that the metrics need
-    p, w, pos, neg = (F.col(c) for c in ("p", "w", "pos", "neg"))
-    g = long.groupBy("b", "arm", "p").agg(F.sum(w * F.col("y")).alias("pos"), F.sum(w * (1 - F.col("y"))).alias("neg"))
+    long = _long(rows, y, arms, entity)
+    places = ranked(long, "p", {"n": F.count("*")}, ("arm",)).select("arm", "p", "n", F.floor(F.col("below_n") / BLOCK_ROWS).alias("block"), (F.col("n") > BLOCK_ROWS).alias("tied"))
+    part = F.when(F.col("tied"), F.pmod(F.xxhash64("e1", "e2"), F.ceil(F.col("n") / BLOCK_ROWS))).otherwise(0)
+    blocks = long.join(places, ["arm", "p"]).select("arm", "p", "y", "e1", "e2", "block", "tied", part.alias("part"))
+
+    def sums(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("p", kind="stable")
+        p, y = frame["p"].to_numpy(), frame["y"].to_numpy()
+        e1, e2 = (frame[c].to_numpy().astype(np.uint32) for c in ("e1", "e2"))
+        first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))  # of each distinct score
+        found = []
+        for start in range(0, resamples, 256):
+            b = np.arange(start, min(start + 256, resamples), dtype=np.uint32)
+            w = poisson_weights(e1, e2, b).astype(np.float64)
+            pos, neg = (np.add.reduceat(w * side[:, None], first, axis=0) for side in (y, 1 - y))
+            within = (pos * (np.cumsum(neg, axis=0) - neg / 2)).sum(axis=0)
+            found.append(np.column_stack([b, pos.sum(axis=0), neg.sum(axis=0), within, p @ w, ((p - y) ** 2) @ w]))
+        out = pd.DataFrame(np.vstack(found), columns=["b", "pos", "neg", "within", "wp", "wsq"]).astype({"b": "int64"})
+        return out.assign(arm=frame["arm"].iloc[0], block=frame["block"].iloc[0], tied=frame["tied"].iloc[0])
+
+    kinds = "b long, pos double, neg double, within double, wp double, wsq double, arm string, block long, tied boolean"
+    g = blocks.groupBy("arm", "block", "tied", "part").applyInPandas(sums, kinds)
+    g = g.groupBy("arm", "b", "block", "tied").agg(*(F.sum(c).alias(c) for c in ("pos", "neg", "within", "wp", "wsq")))
+    before = W.partitionBy("arm", "b").orderBy("block", "tied").rowsBetween(W.unboundedPreceding, -1)
+    pairs = F.when(F.col("tied"), F.col("pos") * F.col("neg") / 2).otherwise(F.col("within")) + F.col("pos") * F.coalesce(F.col("below"), F.lit(0.0))
+    n, both = F.sum(F.col("pos") + F.col("neg")), F.sum("pos") * F.sum("neg")
+    return g.withColumn("below", F.sum("neg").over(before)).groupBy("b", "arm").agg(
+        F.when(both > 0, F.sum(pairs) / both).alias("auc"),
+        F.try_divide(F.sum("wsq"), n).alias("brier"),
+        F.try_divide(F.sum("pos"), F.sum("wp")).alias("oe"),
+        F.try_divide(F.sum("wp") - F.sum("pos"), n).alias("gap"),
+    )
+
+
+def bootstrap_ece(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int, bins: int = 10) -> DataFrame:
+    """(b, arm, ece) over each resample's own quantile bins, for the resamples of :func:`bootstrap`."""
+
+    def counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Weighted counts of a batch's scores in each resample."""
+        for frame in frames:
+            frame = frame.sort_values(["arm", "p"], kind="stable")
+            e1, e2 = (frame[c].to_numpy().astype(np.uint32) for c in ("e1", "e2"))
+            y, kinds = frame["y"].to_numpy(), frame[["arm", "p"]].drop_duplicates()
+            first = np.flatnonzero(~frame[["arm", "p"]].duplicated().to_numpy())
+            for start in range(0, resamples, 64):
+                b = np.arange(start, min(start + 64, resamples), dtype=np.uint32)
+                w = poisson_weights(e1, e2, b)
+                n, pos = (np.add.reduceat(x, first, axis=0) for x in (w, w * y[:, None].astype(np.int64)))
+                at, k = np.nonzero(n)
+                yield pd.DataFrame({"b": b[k].astype(np.int64), "arm": kinds["arm"].to_numpy()[at], "p": kinds["p"].to_numpy()[at], "n": n[at, k], "pos": pos[at, k]})
+
+    g = _long(rows, y, arms, entity).mapInPandas(counts, "b long, arm string, p double, n long, pos long")
+    g = g.groupBy("b", "arm", "p").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     own = W.partitionBy("b", "arm")
-    below = F.coalesce(F.sum("neg").over(own.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    both, n_rows = F.sum("pos") * F.sum("neg"), F.sum(pos + neg)
-    g = g.withColumn("below", below)
-    metrics = [
-        F.when(both > 0, F.sum(pos * (F.col("below") + neg / 2)) / both).alias("auc"),
-        (F.sum(pos * (p - 1) * (p - 1) + neg * p * p) / n_rows).alias("brier"),
-        (F.sum(pos) / F.sum((pos + neg) * p)).alias("oe"),
-        ((F.sum((pos + neg) * p) - F.sum(pos)) / n_rows).alias("gap"),
-    ]
-    if bins is None:
-        return g.groupBy("b", "arm").agg(*metrics)
-    shares = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
-    g = g.withColumn("edges", F.array_distinct(F.percentile("p", shares, pos + neg).over(own)))
-    at = F.size(F.filter("edges", lambda e: e <= F.col("p"))) - 1
-    g = g.withColumn("bin", F.greatest(F.lit(0), F.least(at, F.size("edges") - 2)))
-    off = [F.abs(F.sum(F.when(F.col("bin") == i, (pos + neg) * p - pos))) for i in range(bins)]
-    return g.groupBy("b", "arm").agg(*metrics, (sum((F.coalesce(c, F.lit(0.0)) for c in off), F.lit(0.0)) / n_rows).alias("ece"))
+    below = F.coalesce(F.sum("n").over(own.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    g = g.withColumns({"below_n": below, "total_n": F.sum("n").over(own)})
+    edges = quantile_edges(g, "p", bins, ("b", "arm"))
+    binned = g.join(edges, ["b", "arm"]).groupBy("b", "arm", bin_of(F.col("p"), F.col("edges")).alias("bin"))
+    off = binned.agg(F.abs(F.sum(F.col("n") * F.col("p") - F.col("pos"))).alias("off"), F.sum("n").alias("n"))
+    return off.groupBy("b", "arm").agg((F.sum("off") / F.sum("n")).alias("ece"))
 
 
 def interval(samples: DataFrame, value: Column, alpha: float = 0.05) -> tuple[Column, Column]:

@@ -30,10 +30,7 @@ class Plans(registry.Plans):
 
     @cached_property
     def samples(self) -> DataFrame:
-        return self.landed("samples", lambda: evaluate.bootstrap(self.arms, "is_readmitted", ["p", "q", "lookup"], "patient_id", RESAMPLES, keep=self.draws))
-
-    def draws(self, frame: DataFrame) -> DataFrame:
-        return tables.write_once(frame, self.shared_path("draws"))
+        return self.landed("samples", lambda: evaluate.bootstrap(self.arms, "is_readmitted", ["p", "q", "lookup"], "patient_id", RESAMPLES))
 
     @cached_property
     def curve(self) -> DataFrame:
@@ -89,9 +86,17 @@ FROM gold WHERE index_stop < TIMESTAMP '2000-01-01' AND label_horizon < TIMESTAM
     lambda p: rounded(evaluate.settled_rates(p.gold, F.lit("2000-01-01").cast("timestamp_ntz")))
 )
 
-_BOOT = (_LOOK, f"""eix AS (SELECT patient_id, row_number() OVER (ORDER BY patient_id % 64, patient_id) - 1 AS place, count(*) OVER () AS n FROM (SELECT DISTINCT patient_id FROM tst)),
-drw AS (SELECT b, ('0x' || substr(md5('1|' || b || '|' || k), 1, 15))::BIGINT % n AS place, count(*) AS w FROM range({RESAMPLES}) r(b), (SELECT max(n) AS n FROM eix), LATERAL (SELECT unnest(range(n)) AS k) GROUP BY ALL),
-wgt AS MATERIALIZED (SELECT b, w, is_readmitted AS y, p, q, lookup FROM drw JOIN eix USING (place) JOIN lok USING (patient_id)),
+def _mixed(rows: str) -> str:
+    """``rows`` with their column x mixed; 32-bit numbers multiply without overflow as unsigned 64-bit ones."""
+    for shift, times in ((16, evaluate._MIX_1), (13, evaluate._MIX_2), (16, 1)):
+        rows = f"(SELECT * REPLACE ((xor(x, x >> {shift}) * {times}::UBIGINT) % 4294967296::UBIGINT AS x) FROM {rows})"
+    return rows
+
+
+_WEIGHT = " + ".join(f"(x >= {t})::BIGINT" for t in evaluate.POISSON)
+_BOOT = (_LOOK, f"""eix AS (SELECT patient_id, ('0x' || substr(h, 1, 8))::UBIGINT AS e1, ('0x' || substr(h, 9, 8))::UBIGINT AS e2 FROM (SELECT DISTINCT patient_id, md5(patient_id::VARCHAR) AS h FROM tst)),
+mxd AS (SELECT patient_id, b, {_WEIGHT} AS w FROM {_mixed("(SELECT * REPLACE (xor(x, e2) AS x) FROM " + _mixed(f"(SELECT *, (e1 + b::UBIGINT * {evaluate._GOLDEN}::UBIGINT) % 4294967296::UBIGINT AS x FROM eix, range({RESAMPLES}) r(b))") + ")")}),
+wgt AS MATERIALIZED (SELECT b, w, is_readmitted AS y, p, q, lookup FROM mxd JOIN lok USING (patient_id) WHERE w > 0),
 lng AS (SELECT b, w, y, 'p' AS arm, p FROM wgt UNION ALL SELECT b, w, y, 'q', q FROM wgt UNION ALL SELECT b, w, y, 'lookup', lookup FROM wgt),
 are AS (SELECT b, arm, sum(pos * (below + neg / 2)) / nullif(sum(pos) * sum(neg), 0) AS auc FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY b, arm ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
 FROM (SELECT b, arm, p, sum(w * y)::DOUBLE AS pos, sum(w * (1 - y))::DOUBLE AS neg FROM lng GROUP BY ALL)) GROUP BY ALL),
@@ -169,7 +174,7 @@ def score_batch(p):
     return scored.agg(F.count("*").alias("n"), F.count_if(~F.col("risk_score").between(0, 1) | F.isnan("risk_score")).alias("bad"))
 
 
-def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rate: float, resamples: int = RESAMPLES, **how) -> DataFrame:
+def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rate: float, resamples: int = RESAMPLES) -> DataFrame:
     """(model, metric, value, low, high, n_used): both arms' metrics, and the second's less the first's as ``difference``.
 
     Intervals are of the clustered bootstrap, paired for the difference; metrics that it doesn't hold have none.
@@ -184,7 +189,8 @@ def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rat
     points.append(pair.select(F.lit("difference").alias("model"), *((F.col(f"y.{c}") - F.col(f"x.{c}")).alias(c) for c in metrics if c not in ("n", "n_positive", "prevalence"))))
     value = union_all([f.unpivot("model", [c for c in f.columns if c != "model"], "metric", "value") for f in points])
 
-    samples = evaluate.bootstrap(rows, y, list(arms), entity, resamples, bins=10, **how).where("auc is not null")
+    samples = evaluate.bootstrap(rows, y, list(arms), entity, resamples).where("auc is not null")
+    samples = samples.join(evaluate.bootstrap_ece(rows, y, list(arms), entity, resamples), ["b", "arm"])
     samples = samples.select("b", F.col("arm").alias("model"), "auc", "brier", F.col("oe").alias("oe_ratio"), "gap", F.abs("gap").alias("abs_gap"), "ece")
     drawn = samples.unpivot(["b", "model"], ["auc", "brier", "oe_ratio", "gap", "abs_gap", "ece"], "metric", "v")
     paired = drawn.groupBy("b", "metric").pivot("model", list(arms)).agg(F.first("v"))
@@ -206,4 +212,4 @@ def train_report(p):
     rows = test.select("encounter_id", "patient_id", F.col("label").cast("int").alias("y")).join(scored, "encounter_id")
     rows = tables.write_once(rows, p.shared_path("report-scores"))
     base = train.agg(F.avg("label").alias("v")).first()["v"]  # one number
-    return report(rows, "y", names, "patient_id", base, keep=p.draws)
+    return report(rows, "y", names, "patient_id", base)

@@ -2,6 +2,7 @@
 
 import hashlib
 import inspect
+import math
 
 import numpy as np
 import pytest
@@ -16,9 +17,22 @@ def rows_of(n=60, entities=13):
 
 
 def one_resample(rows, b, entities):
-    order = sorted(entities, key=lambda e: (e % 64, e))
-    drawn = [order[int(hashlib.md5(f"1|{b}|{k}".encode()).hexdigest()[:15], 16) % len(order)] for k in range(len(order))]
-    return [r for e in drawn for r in rows if r[1] == e]
+    """Rows as often as their entity is drawn: Poisson counts of a mixed hash, in plain integers."""
+
+    def mix(x):
+        for shift, times in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            x = (x ^ (x >> shift)) * times % 2**32
+        return x
+
+    times = {}
+    for e in entities:
+        h = hashlib.md5(str(e).encode()).hexdigest()
+        u, k, cdf = mix(mix((int(h[:8], 16) + b * 0x9E3779B9) % 2**32) ^ int(h[8:16], 16)) / 2**32, 0, math.exp(-1)
+        while u >= cdf:
+            k += 1
+            cdf += math.exp(-1) / math.factorial(k)
+        times[e] = k
+    return [r for r in rows for _ in range(times[r[1]])]
 
 
 def metrics(y, p):
@@ -30,10 +44,13 @@ def metrics(y, p):
     return {"auc": area, "brier": np.mean((p - y) ** 2), "oe": y.sum() / p.sum(), "gap": p.mean() - y.mean(), "ece": ece}
 
 
-def test_bootstrap_equals_brute_force(spark):
+@pytest.mark.parametrize("block", [4096, 5])
+def test_bootstrap_equals_brute_force(spark, monkeypatch, block):
+    """Also where a block holds few rows and ties of one score lie in several tasks."""
+    monkeypatch.setattr(evaluate, "BLOCK_ROWS", block)
     rows = rows_of()
     frame = spark.createDataFrame(rows, "id long, e long, y int, p double, q double")
-    got = evaluate.bootstrap(frame, "y", ["p", "q"], "e", 40, bins=10).collect()
+    got = evaluate.bootstrap(frame, "y", ["p", "q"], "e", 40).join(evaluate.bootstrap_ece(frame, "y", ["p", "q"], "e", 40), ["b", "arm"]).collect()
     assert len(got) == 80
     for g in got:
         drawn = one_resample(rows, g["b"], {r[1] for r in rows})
@@ -42,6 +59,27 @@ def test_bootstrap_equals_brute_force(spark):
             assert g[name] == (None if v is None else pytest.approx(v, abs=1e-9)), name
 
 
+def test_weights_are_poisson():
+    e1, e2 = np.random.default_rng(1).integers(0, 2**32, (2, 500)).astype(np.uint32)
+    w = evaluate.poisson_weights(e1, e2, np.arange(400, dtype=np.uint32))
+    assert w.mean() == pytest.approx(1, abs=0.01) and w.var() == pytest.approx(1, abs=0.02) and (w == 0).mean() == pytest.approx(np.exp(-1), abs=0.005)
+    assert abs(np.corrcoef(w[:, 0], w[:, 1])[0, 1]) < 0.15 and abs(np.corrcoef(w[0], w[1])[0, 1]) < 0.15
+
+
+def test_ranges_of_scores_against_numpy(spark):
+    r = np.random.default_rng(8)
+    y, p = r.integers(0, 2, 3000), np.round(r.random(3000), 3)
+    frame = spark.createDataFrame(list(zip(y.tolist(), p.tolist(), strict=True)), "y int, p double").repartition(5)
+    order = np.argsort(-p, kind="stable")
+    _, last = np.unique(-p[order], return_index=True)
+    ends = np.append(last[1:], len(p)) - 1
+    hits = np.cumsum(y[order])[ends]
+    ap = (np.diff(hits, prepend=0) * hits / (ends + 1)).sum() / y.sum()
+    assert evaluate.average_precision(frame, "y", "p").first()[0] == pytest.approx(ap, abs=1e-12)
+    assert evaluate.auc(frame, "y", "p").first()[0] == pytest.approx(metrics(y, p)["auc"], abs=1e-12)
+    assert evaluate.ece(evaluate.calibration(frame, "y", "p")).first()[0] == pytest.approx(metrics(y, p)["ece"], abs=1e-12)
+
+
 def test_sizes_of_the_reference():
     assert (evaluation.RESAMPLES, evaluation.FOLDS, evaluation.ROUNDS) == (2000, 5, 300)
     full = {k: v.default for k, v in inspect.signature(models.fit_boosted).parameters.items()}
