@@ -33,7 +33,7 @@ from pyspark.sql.window import Window as W
 
 from .common import materialize, ship_package, work_dir
 
-SAMPLE, MAX_PARTS, GRAPH, AIM = 8_192, 256, 10, 0.98
+SAMPLE, MAX_PARTS, GRAPH, AIM = 8_192, 512, 10, 0.95
 QUERY_BLOCK, SHARD = 1_024, 8_192
 _SLACK = 1.15
 
@@ -153,20 +153,25 @@ def exact_scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def nearest(q_ids, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """(query, id, score) of each query's k nearest rows of another id."""
+    """(query, id, score) of each query's k nearest other ids; rows of one id count once, by their best score."""
     out = []
     ux, uq = _unit(x), _unit(q)
+    own, of = np.unique(ids, return_inverse=True)
+    repeated = len(own) < len(ids)
     for a in range(0, len(q), 256):
         near = uq[a : a + 256] @ ux.T
         for i, row in enumerate(near, a):
             row[ids == q_ids[i]] = -np.inf
-            some = min(k, len(row))
-            least = np.partition(row, len(row) - some)[len(row) - some]
+            best = row
+            if repeated:
+                best = np.full(len(own), -np.inf)
+                np.maximum.at(best, of, row)
+            some = min(k, len(best))
+            least = np.partition(best, len(best) - some)[len(best) - some]
             at = np.flatnonzero(row >= max(least, -2.0) - 1e-9)
             score = exact_scores(q[i], x[at])
-            first = np.lexsort((ids[at], -score))
             seen = set()
-            for j in first:
+            for j in np.lexsort((ids[at], -score)):
                 if ids[at[j]] not in seen:
                     seen.add(ids[at[j]])
                     out.append((q_ids[i], ids[at[j]], score[j]))
@@ -206,9 +211,11 @@ def search(table: DataFrame, *, query: Column, k: int = 5, id_column: str = "vec
 
     indexed = materialize(rows.mapInArrow(home, "id long, v array<double>, part int"), folder, "index")
     parts = len(router.weights)
-    sizes = np.zeros(parts, np.int64)
-    for r in indexed.groupBy("part").count().collect():  # at most MAX_PARTS rows
-        sizes[r["part"]] = r["count"]
+    sizes, held_ids = np.zeros(parts, np.int64), np.zeros(parts, np.int64)
+    for r in indexed.groupBy("part").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).collect():  # at most MAX_PARTS rows
+        sizes[r["part"]], held_ids[r["part"]] = r["n"], r["ids"]
+    # ids that lie in several parts are counted in each: so many more must be reached to be sure of k others
+    twice = int(held_ids.sum()) - indexed.select("id").distinct().count()
     shard_rows = int(np.clip(2 * -(-sizes.sum() // parts), 64, SHARD))
     shards = np.maximum(1, -(-sizes // shard_rows))
 
@@ -218,7 +225,7 @@ def search(table: DataFrame, *, query: Column, k: int = 5, id_column: str = "vec
             who, where = [], []
             if len(x):
                 order = np.argsort(-router.logits(x), axis=1, kind="stable")
-                enough = (np.cumsum(sizes[order], axis=1) <= k).sum(axis=1) + 1
+                enough = (np.cumsum(held_ids[order], axis=1) <= k + twice).sum(axis=1) + 1
                 for i, n in enumerate(np.maximum(enough, router.probes)):
                     chosen = order[i, :n][sizes[order[i, :n]] > 0]
                     who += [i] * len(chosen)
