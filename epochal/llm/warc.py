@@ -1,7 +1,8 @@
 """WARC archives: a writer with revisit records and a splittable reader.
 
-*Writing*: pages are joined with the largest page_id of their payload digest (a pre-aggregated table), so
-equal payloads are told apart from first copies without gathering them anywhere. Each task writes one
+*Writing*: ids and digests alone settle which pages revisit which: the largest page_id of each digest is
+aggregated in parts, and only the revisits' ids go back to the payloads, joined by page. Equal payloads are never
+gathered; writing needs payloads moved only if there are many revisits. Each task writes one
 ``.warc.gz`` file, a gzip member per record; a Parquet list names the files of the tasks that succeeded.
 
 *Reading*: files are cut into byte ranges, one row each. A task looks for the gzip magic in its range,
@@ -11,8 +12,9 @@ record it goes to the next at the end of its member; where that fails it scans o
 
 Edge cases: a null payload is empty; a null page_id never stands for other pages, and its record has no
 page id; rows that share the largest page_id of a payload are all responses; blanks and control
-characters in a url are percent-encoded in its header, null ones are left out; a damaged member is
-skipped; an empty table gives no file.
+characters in a url are percent-encoded in its header, null ones are left out; a damaged member, one whose
+header doesn't parse and one without a type or with a length that is no number are skipped; ids of other
+writers are read as null; an empty table gives no file; further columns are left out.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ RANGE = 32 << 20
 _ID = "urn:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
+_PAGE = re.compile(f"<{_ID}(-?[0-9]{{1,19}})>")
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -47,24 +50,22 @@ def payload_digest(payload: Column) -> Column:
     return F.translate(F.concat(*quads), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def with_revisits(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, digest, refers_to); refers_to is null for responses."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", payload_digest(F.col("payload")))
-    first = (
-        rows.where((F.length("payload") >= min_bytes) & F.col("page_id").isNotNull())
-        .groupBy("digest")
-        .agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("digest", "first")
-    )
-    other = F.when(F.col("page_id") != F.col("first"), F.col("first"))
-    # a payload of several pages also holds pages without an id; they revisit it too
-    other = F.when(F.col("page_id").isNull() & (F.length("payload") >= min_bytes), F.col("first")).otherwise(other)
-    return rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", other.alias("refers_to"))
+    # which pages revisit which is settled on ids and digests alone; payloads then meet the revisits' few bytes
+    keys = rows.where(F.length("payload") >= min_bytes).select("page_id", "digest")
+    first = keys.where("page_id is not null").groupBy("digest").agg(F.max("page_id").alias("first"))
+    again = keys.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    first = materialize(first.join(again, "digest", "left_semi"), folder, "first")
+    revisits = keys.join(first, "digest").where("page_id is null or page_id <> first")
+    revisits = materialize(revisits.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "first").distinct(), folder, "revisits")
+    same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
+    return rows.join(revisits, same, "left").select("page_id", "url", "payload", "digest", F.col("first").alias("refers_to"))
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -112,7 +113,7 @@ def write(pages: DataFrame, folder: str, *, min_bytes: int = 0) -> DataFrame:
         size = commit_file(uri, save)
         yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([size], pa.int64()), pa.array([n], pa.int64())], ["path", "bytes", "records"])
 
-    rows = with_revisits(pages, min_bytes)
+    rows = with_revisits(pages, folder, min_bytes)
     return materialize(rows.mapInArrow(run, "path string, bytes long, records long"), folder, "list")
 
 
@@ -142,13 +143,18 @@ def parse(content: bytes) -> dict | None:
     if not gap:
         return None
     fields = dict((k.strip().lower(), v.strip()) for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:]))
-    block = block[: int(fields.get("content-length", len(block)))]
+    lengths = [fields.get(n, "0") for n in ("content-length", "x-payload-length")]
+    if "warc-type" not in fields or not all(n.isascii() and n.isdigit() and len(n) < 19 for n in lengths):
+        return None
+    if "content-length" in fields:
+        block = block[: int(fields["content-length"])]
     fields["payload"] = block.partition(b"\r\n\r\n")[2]
     return fields
 
 
 def _page(value: str | None) -> int | None:
-    return int(value[len(_ID) + 1 : -1]) if value and value.startswith(f"<{_ID}") else None
+    found = _PAGE.fullmatch(value or "")
+    return int(found[1]) if found and -(2**63) <= int(found[1]) < 2**63 else None
 
 
 def read_range(uri: str, start: int, end: int, size: int, step: int = 1 << 20) -> Iterator[dict]:
@@ -234,5 +240,5 @@ def sql(min_bytes: int = 0) -> str:
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM p)
 SELECT page_id, payload_bytes, {bits} AS payload_digest,
-  CASE WHEN payload_bytes >= {min_bytes} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= {min_bytes} AND page_id <> first THEN first END AS refers_to, true AS intact FROM m"""
+  CASE WHEN payload_bytes >= {min_bytes} AND page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {min_bytes} AND page_id IS DISTINCT FROM first THEN first END AS refers_to, true AS intact FROM m"""
