@@ -27,7 +27,7 @@ from pyspark.sql.window import Window as W
 from .common import ship_package, with_fields
 
 TOP = 300
-MAX_LANGUAGES = 2_000
+MAX_LANGUAGES = 1_000
 _FOLD: list[np.ndarray] = []
 
 
@@ -104,10 +104,11 @@ def learn(docs: DataFrame, *, top: int = TOP) -> DataFrame:
 
 
 def profile_arrays(profiles: DataFrame, max_languages: int = MAX_LANGUAGES) -> dict[str, np.ndarray]:
-    """Profiles on the driver, where their size is bounded: at most ``max_languages`` of ``top`` n-grams."""
-    if profiles.select("lang").distinct().count() > max_languages:
+    """Profiles on the driver, where their size is bounded: ``max_languages`` of ``TOP`` n-grams each; more raise an error."""
+    most = max_languages * TOP
+    rows = profiles.orderBy("lang", "rank").limit(most + 1).toPandas()
+    if len(rows) > most or rows["lang"].nunique() > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    rows = profiles.orderBy("lang", "rank").toPandas()
     return {lang: g["gram"].to_numpy(np.int64) for lang, g in rows.groupby("lang")}
 
 
