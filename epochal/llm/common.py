@@ -76,19 +76,47 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else f"file://{uri}")
 
 
-def commit_file(uri: str, write) -> int:
-    """Write a file under a name of its own attempt, then rename it; returns its size.
+class NewFile:
+    """A file that is written under a name of its own attempt and takes its own by ``commit``; opened by its first bytes.
 
     Two attempts of one task never touch the same bytes, and readers follow a manifest that
     only successful tasks have written, so a lost executor leaves at worst an unread file.
     """
-    fs, path = file_system(uri)
-    fs.create_dir(path.rpartition("/")[0], recursive=True)
-    temporary = f"{path}.{uuid.uuid4().hex}.tmp"
-    with fs.open_output_stream(temporary) as out:
+
+    def __init__(self, uri: str):
+        self.uri, self.out = uri, None
+        self.fs, self.path = file_system(uri)
+        self.temporary = f"{self.path}.{uuid.uuid4().hex}.tmp"
+
+    @property
+    def opened(self) -> bool:
+        return self.out is not None
+
+    def write(self, data: bytes) -> None:
+        if self.out is None:
+            self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
+            self.out = self.fs.open_output_stream(self.temporary)
+        self.out.write(data)
+
+    def commit(self) -> int:
+        """Close and rename; returns the size."""
+        self.out.close()
+        self.fs.move(self.temporary, self.path)
+        return self.fs.get_file_info(self.path).size
+
+    def __enter__(self) -> NewFile:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.out is not None and not self.out.closed:
+            self.out.close()
+
+
+def commit_file(uri: str, write) -> int:
+    """A :class:`NewFile` that ``write`` fills; returns its size."""
+    with NewFile(uri) as out:
         write(out)
-    fs.move(temporary, path)
-    return fs.get_file_info(path).size
+        return out.commit()
 
 
 def id_remainder(column: str, modulus: int) -> Column:

@@ -11,7 +11,8 @@ hash index; two Parquet tables (``shards``, ``indexes``) name the files of the t
   reads one displacement and one slot, and a wrong key is told apart by its fingerprint.
 
 Documents are dealt by ranges of doc_id, so shards follow each other in ascending order, and a
-record's start is its shard's start (a sum over the short shard list) plus its offset in the shard.
+record's start is its shard's start (a sum over the short shard list) plus its offset in the shard. Their number
+grows with the text, so what a task holds of a shard (8 bytes a record) is bounded.
 
 Edge cases: null and empty texts hold the end id alone; rows with a null doc_id come first; rows that
 share a doc_id are records side by side in one shard, in order of their text; an empty table makes an
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .bpe import LibraryBpe, bpe
-from .common import commit_file, file_system, materialize, ship_package
+from .common import NewFile, commit_file, file_system, materialize, ship_package
 
 _HEAD = struct.Struct("<8sIIQQ")
 _SHARD, _INDEX = b"EPTOKEN1", b"EPINDEX1"
@@ -41,6 +43,7 @@ _SLOT = np.dtype([("print", "<u8"), ("shard", "<u4"), ("records", "<u4"), ("reco
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)  # fixed values: hash multipliers
 _PER_GROUP = 4
 _READ = 8 << 20
+SHARD_BYTES = 128 << 20
 
 
 def _hashes(column: str) -> list:
@@ -87,48 +90,41 @@ def find_slots(h: np.ndarray, displacement: np.ndarray, slots: int) -> np.ndarra
 
 
 def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Writes one shard; yields a row per distinct document and one for the shard (``path`` set)."""
+    """Writes one shard; yields a row per distinct document, batch by batch, and one for the shard (``path`` set)."""
     shard, coder = TaskContext.get().partitionId(), bpe(path, LibraryBpe)
     end = np.array([end_id], f"<u{width}").tobytes()
-    first = next((b for b in batches if b.num_rows), None)
-    if first is None:
-        return
-    keys, counts, ends, total = [], [], [], 0
-    uri = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.bin"
-
-    def write(out) -> None:
-        nonlocal total
-        out.write(_HEAD.pack(_SHARD, width, 0, 0, 0))
-        batch = first
-        while batch is not None:
-            made = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+    names = ["doc_id", "shard", "record", "records", "path", "ids"]
+
+    def rows(keys: list, records: list, counts: list, uri: str | None = None, total: int | None = None) -> pa.RecordBatch:
+        n = len(keys)
+        columns = [(keys, pa.int64()), ([shard] * n, pa.int32()), (records, pa.int64()), (counts, pa.int64()), ([uri] * n, pa.string()), ([total] * n, pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names)
+
+    with NewFile(f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.bin") as out:
+        ends, key, begin = array("Q"), None, None  # end offsets; the last document, which the next batch may continue
+        for batch in batches:
+            made, done = [], ([], [], [])
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if begin is None or own != key:
+                    if begin is not None:
+                        for column, value in zip(done, (key, begin, len(ends) - begin), strict=True):
+                            column.append(value)
+                    key, begin = own, len(ends)
                 ids = np.frombuffer(coder.encode(text.as_py()), "<u4")
                 made += [ids.astype(f"<u{width}").tobytes(), end]
-                total += len(ids) + 1
-                ends.append(total)
-                if keys and keys[-1] == key:
-                    counts[-1] += 1
-                else:
-                    keys.append(key)
-                    counts.append(1)
+                ends.append((ends[-1] if ends else 0) + len(ids) + 1)
+            if not len(ends):
+                continue
+            if not out.opened:
+                out.write(_HEAD.pack(_SHARD, width, 0, 0, 0))
             out.write(b"".join(made))
-            batch = next(batches, None)
-        out.write(np.array(ends, "<u8").tobytes())
-
-    commit_file(uri, write)
-    begins = np.cumsum([0, *counts[:-1]])
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array([*keys, None], pa.int64()),
-            pa.array([shard] * (len(keys) + 1), pa.int32()),
-            pa.array([*begins.tolist(), len(ends)], pa.int64()),
-            pa.array([*counts, 0], pa.int64()),
-            pa.array([None] * len(keys) + [uri], pa.string()),
-            pa.array([None] * len(keys) + [total], pa.int64()),
-        ],
-        ["doc_id", "shard", "record", "records", "path", "ids"],
-    )
+            if done[0]:
+                yield rows(*done)
+        if len(ends):
+            out.write(np.array(ends, "<u8").tobytes())
+            out.commit()
+            yield rows([key], [begin], [len(ends) - begin])
+            yield rows([None], [len(ends)], [0], out.uri, ends[-1])
 
 
 def _write_index(frame: pd.DataFrame, folder: str) -> pd.DataFrame:
@@ -223,13 +219,19 @@ class TokenStore:
         return got.select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "start", "ids", "width")
 
 
+def shard_count(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES) -> int:
+    """So many shards that each holds about ``shard_bytes`` of text, however large the table, and ``least`` at least."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(least, -(-total // shard_bytes))
+
+
 def write_store(
     docs: DataFrame, path: str, folder: str, *, end_id: int, vocabulary: int, shards: int | None = None, bucket: int = 32_768
 ) -> TokenStore:
     """Encode (doc_id, text), append ``end_id`` to each document and write a store below ``folder``."""
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or shard_count(docs, int(spark.conf.get("spark.sql.shuffle.partitions")))
     width = 2 if vocabulary <= 1 << 16 else 4
     written = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
