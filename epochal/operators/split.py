@@ -59,6 +59,11 @@ def split_consistency(split: DataFrame, test_start: Column) -> DataFrame:
     return rows.crossJoin(F.broadcast(both))  # one row each
 
 
+def absent_ids(assignment: DataFrame, gold: DataFrame) -> DataFrame:
+    """One row: how many assigned ids the feature table lacks."""
+    return assignment.select("encounter_id").join(gold.select("encounter_id"), "encounter_id", "left_anti").agg(F.count("*").alias("n_absent"))
+
+
 def assignment_parity(stored: DataFrame, computed: DataFrame) -> DataFrame:
     """One row: ids on one side only, and ids on different sides of two (encounter_id, partition) tables."""
     both = stored.withColumnRenamed("partition", "p").join(computed.withColumnRenamed("partition", "q"), "encounter_id", "full")

@@ -119,6 +119,19 @@ def promotion_gate(p):
     return rounded(evaluate.promotion_gate(p.samples, "p", "q", "lookup", F.lit(brier)))
 
 
+@query("negative_control", """SELECT round(a, 8) AS auc_gain_low, round(b, 8) AS auc_over_lookup_low, round(c, 8) AS brier_loss_high, n_used, CASE WHEN a > 0 AND b > 0 AND c <= 0.05 * (SELECT avg((q - is_readmitted) ** 2) FROM lok) THEN 'PROMOTE' ELSE 'REFUSE' END AS decision
+FROM (SELECT quantile_cont(CASE WHEN two THEN 0.5 END - q.auc, 0.025) AS a, quantile_cont(CASE WHEN two THEN 0.5 END - l.auc, 0.025) AS b, quantile_cont(k.brier - q.brier, 0.975) AS c, count(CASE WHEN two THEN 0.5 END - q.auc) AS n_used
+FROM (SELECT b, sum(w * y) * sum(w * (1 - y)) > 0 AS two, sum(w * (base - y) ** 2) / sum(w) AS brier FROM wgt, (SELECT avg(is_readmitted) AS base FROM spl WHERE partition = 'train') GROUP BY b) k
+JOIN smp q ON q.b = k.b AND q.arm = 'q' JOIN smp l ON l.b = k.b AND l.arm = 'lookup')""", *_BOOT)
+def negative_control(p):
+    """The constant score of the train prevalence as challenger: the gate must refuse it."""
+    base = p.train.agg(F.avg("is_readmitted").alias("v")).first()["v"]  # one number
+    constant = evaluate.bootstrap(p.arms.withColumn("constant", F.lit(base)), "is_readmitted", ["constant"], "patient_id", RESAMPLES)
+    samples = p.samples.where("arm <> 'p'").unionByName(constant)
+    brier = p.arms.agg(F.avg((F.col("q") - F.col("is_readmitted")) * (F.col("q") - F.col("is_readmitted"))).alias("v")).first()["v"]  # one number
+    return rounded(evaluate.promotion_gate(samples, "constant", "q", "lookup", F.lit(brier)))
+
+
 query("acceptance", """SELECT round(a, 8) AS auc_low, round(l, 8) AS oe_low, round(h, 8) AS oe_high, a >= 0.4 AND l <= 1.25 AND h >= 0.8 AS accepted
 FROM (SELECT quantile_cont(auc, 0.025) AS a, quantile_cont(oe, 0.025) AS l, quantile_cont(oe, 0.975) AS h FROM smp WHERE arm = 'p')""", *_BOOT)(
     lambda p: rounded(evaluate.acceptance(p.samples, "p", 0.4, (0.8, 1.25)))
@@ -138,20 +151,24 @@ query("linear_score", """SELECT encounter_id, round(1 / (1 + exp(-(-3 + 0.4 * ln
 )
 
 
-def _prepared(p):
-    """Train and test model inputs with label and fold."""
-    ready = []
-    for rows in (p.train, p.test):
-        x = models.standardize(enrich.prepare_features(p.train), enrich.prepare_features(rows), enrich.NAMES, ("organization_utilization", "age_at_index_years"))
+def _prepared(p, linear: bool = True) -> list[DataFrame]:
+    """Train and test model inputs with label and fold, landed; ``linear`` standardises numbers, trees take them as they are."""
+
+    def ready(rows: DataFrame) -> DataFrame:
+        x = enrich.prepare_features(rows)
+        if linear:
+            x = models.standardize(enrich.prepare_features(p.train), x, enrich.NAMES, ("organization_utilization", "age_at_index_years"))
         y = split.grouped_folds(rows, FOLDS).select("encounter_id", "patient_id", F.col("is_readmitted").cast("double").alias("label"), "fold")
-        ready.append(x.na.fill(0.0).join(y, "encounter_id"))
-    return ready
+        return x.na.fill(0.0).join(y, "encounter_id")
+
+    kind = "linear" if linear else "tree"
+    return [p.landed(f"{kind}-{side}", lambda rows=rows: ready(rows)) for side, rows in (("train", p.train), ("test", p.test))]
 
 
 @query("train_lr")
 def train_lr(p):
     train, test = _prepared(p)
-    return models.score_logistic(models.fit_logistic(train.cache(), NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
+    return models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
 
 
 def _boosted(p, train: DataFrame) -> list:
@@ -162,15 +179,15 @@ def _boosted(p, train: DataFrame) -> list:
 
 @query("train_gbt_cal")
 def train_gbt_cal(p):
-    train, test = _prepared(p)
-    return models.score_boosted(_boosted(p, train.cache()), test, "encounter_id")
+    train, test = _prepared(p, linear=False)
+    return models.score_boosted(_boosted(p, train), test, "encounter_id")
 
 
 @query("score_batch")
 def score_batch(p):
     """Counts that a scored batch must satisfy, beside the batch's size."""
     train, test = _prepared(p)
-    scored = models.score_logistic(models.fit_logistic(train.cache(), NUMBERS, enrich.CATEGORICAL, "label"), test.drop("label"), "encounter_id")
+    scored = models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test.drop("label"), "encounter_id")
     return scored.agg(F.count("*").alias("n"), F.count_if(~F.col("risk_score").between(0, 1) | F.isnan("risk_score")).alias("bad"))
 
 
@@ -204,9 +221,9 @@ def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rat
 def train_report(p):
     """Both models fitted on train, their metrics on test and the paired intervals."""
     train, test = _prepared(p)
-    train = train.cache()
+    trees = _prepared(p, linear=False)
     linear = models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
-    boosted = models.score_boosted(_boosted(p, train), test, "encounter_id")
+    boosted = models.score_boosted(_boosted(p, trees[0]), trees[1], "encounter_id")
     names = ("logistic_regression", "boosted_calibrated")
     scored = linear.withColumnRenamed("risk_score", names[0]).join(boosted.withColumnRenamed("risk_score", names[1]), "encounter_id")
     rows = test.select("encounter_id", "patient_id", F.col("label").cast("int").alias("y")).join(scored, "encounter_id")

@@ -65,10 +65,16 @@ class Plans(registry.Plans):
 registry.Plans = Plans  # queries below and in other modules get the tables that are defined here
 
 
-@query("scan_typed", "SELECT count(*)::BIGINT AS n, sum(o_totalprice)::DECIMAL(38,2) AS total, min(o_orderdate) AS first FROM orders")
+@query("scan_typed", """SELECT count(*)::BIGINT AS n, sum(o_totalprice)::DECIMAL(38,2) AS total, min(o_orderdate) AS first, count(DISTINCT o_custkey) AS n_entities,
+(SELECT count(*) FROM nation)::BIGINT AS n_nations FROM orders""")
 def scan_typed(p):
-    o = p.raw("orders")
-    return o.agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"), F.min("o_orderdate").alias("first"))
+    """Tables as CSV, read by position with their declared schemas; a missing or an empty one would be refused."""
+    folder, wanted = p.shared_path("csv"), ("orders", "nation")
+    for name in wanted:
+        p.raw(name).write.option("header", True).csv(f"{folder}/{name}.csv")
+    found = tables.load_tables(p.spark, folder, {n: p.raw(n).schema for n in wanted}, set(wanted))
+    totals = found["orders"].agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"), F.min("o_orderdate").alias("first"), F.countDistinct("o_custkey").alias("n_entities"))
+    return totals.crossJoin(F.broadcast(found["nation"].agg(F.count("*").alias("n_nations"))))  # one row each
 
 
 @query("source_audit", """SELECT 'orders' AS table_name, count(*)::BIGINT AS n, 'ok' AS status FROM orders UNION ALL SELECT 'lineitem', count(*), 'ok' FROM lineitem
@@ -191,10 +197,24 @@ def split_summary(p):
 
 @query("split_consistency", """SELECT count_if(partition = 'test' AND index_start < TIMESTAMP '2000-01-01')::BIGINT AS n_test_early,
 count_if(partition = 'train' AND index_start >= TIMESTAMP '2000-01-01')::BIGINT AS n_train_late,
-(SELECT count(*) FROM (SELECT patient_id FROM spl WHERE partition IN ('train', 'test') GROUP BY 1 HAVING count(DISTINCT partition) > 1))::BIGINT AS n_entities_both
-FROM spl WHERE partition IN ('train', 'test')""")
+(SELECT count(*) FROM (SELECT patient_id FROM spl WHERE partition IN ('train', 'test') GROUP BY 1 HAVING count(DISTINCT partition) > 1))::BIGINT AS n_entities_both,
+(SELECT count_if(encounter_id % 11 = 0) FROM spl)::BIGINT AS n_absent FROM spl WHERE partition IN ('train', 'test')""")
 def split_consistency(p):
-    return split.split_consistency(p.split, instant(TEST_START))
+    """The split as it is, and an assignment some of whose ids the feature table lacks (moved to negative numbers)."""
+    stored = p.split.select(F.when(F.col("encounter_id") % 11 == 0, -F.col("encounter_id") - 1).otherwise(F.col("encounter_id")).alias("encounter_id"), "partition")
+    absent = split.absent_ids(stored, p.gold)
+    return split.split_consistency(p.split, instant(TEST_START)).crossJoin(F.broadcast(absent))  # one row each
+
+
+@query("assignment_parity", """SELECT count_if(encounter_id % 13 = 0)::BIGINT AS only_stored, count_if(encounter_id % 17 = 0 AND encounter_id % 13 <> 0)::BIGINT AS only_computed,
+count_if(encounter_id % 13 <> 0 AND encounter_id % 17 <> 0 AND partition = 'train' AND encounter_id % 2 = 0)::BIGINT AS other_side FROM spl WHERE partition IN ('train', 'test')
+AND NOT (encounter_id % 13 = 0 AND encounter_id % 17 = 0)""")
+def assignment_parity(p):
+    """A stored assignment against a computed one; each lacks some ids, and some stored ids are on the other side."""
+    computed = p.split.where("partition in ('train', 'test')").select("encounter_id", "partition")
+    moved = F.when((F.col("partition") == "train") & (F.col("encounter_id") % 2 == 0), "test").otherwise(F.col("partition"))
+    stored = computed.where("encounter_id % 17 <> 0").select("encounter_id", moved.alias("partition"))
+    return split.assignment_parity(stored, computed.where("encounter_id % 13 <> 0"))
 
 
 @query("grouped_folds", "SELECT encounter_id, (('0x' || substr(md5(patient_id::VARCHAR), 1, 8))::BIGINT % 5)::INT AS fold FROM spl WHERE partition = 'train'")
@@ -226,6 +246,9 @@ def table_diff(p):
     return fingerprint.table_diff(g.where("encounter_id % 3 <> 0"), other, "encounter_id")
 
 
-@query("score_parity", "SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS n_missing, 0.0::DOUBLE AS max_difference FROM scr")
+@query("score_parity", """SELECT count(*)::BIGINT AS n_rows, count_if(encounter_id % 19 = 0)::BIGINT AS n_missing, round(max(CASE WHEN encounter_id % 19 <> 0 THEN abs(r) ELSE 0 END), 9) AS max_difference
+FROM (SELECT encounter_id, round(p, 3) - p AS r FROM scr)""")
 def score_parity(p):
-    return fingerprint.score_parity(p.scored, p.scored.repartition("encounter_id"), "encounter_id", "p")
+    """Scores against a copy that is rounded and lacks some rows."""
+    other = p.scored.where("encounter_id % 19 <> 0").select("encounter_id", F.round("p", 3).alias("p"))
+    return fingerprint.score_parity(p.scored, other, "encounter_id", "p").withColumn("max_difference", F.round("max_difference", 9))

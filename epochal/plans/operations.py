@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from functools import cached_property, reduce
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.poisson import garwood, garwood_interval
-from ..operators import assertions, evaluate
+from ..operators import assertions, evaluate, scoring
+from ..operators.enrich import GOLD
 from ..operators.fingerprint import table_diff, union_all
 from ..sources import tables
 from ..sources.adapter import FIRST_DATE, LAST_DATE, REFERENCE_END, STEP, TEST_START, TOP_N, WINDOW
@@ -18,12 +20,18 @@ from .evaluation import rounded
 from .registry import query
 
 
+#: Fingerprint definitions that predictions may carry; the floor and band of the monitoring rule.
+DEFINITIONS, FLOOR, BAND = ("rowhash-1", "rowhash-2"), 10, (0.8, 1.25)
+
+
 class Plans(registry.Plans):
     @cached_property
     def grid(self) -> DataFrame:
+        """Weekly dates of the registered range whose windows can hold stays of the feature table, numbered from the first."""
         day = lambda t: F.lit(t).cast("date")
+        seen = self.split.agg(F.to_date(F.min("index_stop")).alias("lo"), F.date_add(F.to_date(F.max("index_stop")), STEP - 1).alias("hi"))  # one row
         dates = F.sequence(day(FIRST_DATE), day(LAST_DATE), F.expr(f"INTERVAL {STEP} DAYS"))
-        return self.spark.range(1).select(F.posexplode(dates).alias("i", "d"))
+        return self.landed("grid", lambda: seen.select("lo", "hi", F.posexplode(dates).alias("i", "d")).where("d between lo and hi").select("i", "d"))
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -34,11 +42,17 @@ class Plans(registry.Plans):
         rank = F.row_number().over(W.partitionBy("d").orderBy(F.desc("p"), "encounter_id"))
         ranked = self.test.join(g, inside).select(
             F.col("d").alias("as_of_date"), rank.alias("rank"), (rank <= TOP_N).alias("is_top_n"), "patient_id", "encounter_id", F.col("index_stop").alias("discharge_time"),
-            "admission_reason_code", F.col("p").alias("risk_score"), F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"),
+            "admission_reason_code", "admission_reason_description", F.lit("unplanned_30d").alias("label_definition"), F.lit("gold-1").alias("gold_fingerprint"),
+            F.lit(DEFINITIONS[0]).alias("gold_fingerprint_definition"), F.lit("2001-06-30").cast("date").alias("gold_reference_date"), F.lit("model-1").alias("model_run_id"), F.lit("score").alias("model_name"), F.col("p").alias("risk_score"), F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"),
             F.concat(F.lit("run-"), F.date_format("d", "yyyyMMdd")).alias("scoring_run_id"), F.lit(TOP_N).alias("top_n"), F.lit(WINDOW).alias("scoring_window_days"), "partition",
         )
         return self.landed("predictions", lambda: ranked)
 
+    @cached_property
+    def metadata(self) -> dict:
+        """What the feature table must hold, counted from the index stays that it is made of."""
+        return self.index.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("n_positive")).first().asDict()
+
     @cached_property
     def runs(self) -> DataFrame:
         g = self.grid.select("i", "d", F.explode(F.when(F.col("i") % 9 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
@@ -82,7 +96,7 @@ class Plans(registry.Plans):
         runs = self.found.select("scoring_run_id")
         rows = self.predictions.join(runs, "scoring_run_id", "left_semi").select("encounter_id", "discharge_time", "risk_score")
         labels = self.gold.select("encounter_id", "is_readmitted", "label_horizon")
-        rows = rows.join(labels, "encounter_id", "left")
+        rows = scoring.with_labels(rows, labels, "encounter_id", "is_readmitted")
         end = F.date_add("d", 1)
         at = lambda n: F.date_sub(end, n).cast("timestamp_ntz")
         g = F.broadcast(self.grid.select("d"))
@@ -102,6 +116,17 @@ class Plans(registry.Plans):
         rows = out.select("d", *zero, F.coalesce("expected", F.lit(0.0)).alias("expected"), F.coalesce("n_label_after_sim", F.lit(0)).alias("n_label_after_sim"), "coverage_required", "coverage_found", "auc", verdict.alias("coverage"))
         return self.landed("cohorts", lambda: rows)
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Every date's cohort under the rule: an alert needs enough events, an interval off 1 and a ratio outside the band."""
+        e, o = F.col("expected"), F.col("observed")
+        rows = self.cohorts.withColumn("ci", garwood_interval(o))
+        rows = rows.withColumns({"oe_ratio": F.when(e > 0, o / e), "oe_ci_low": F.when(e > 0, F.col("ci.low") / e), "oe_ci_high": F.when(e > 0, F.col("ci.high") / e)}).drop("ci")
+        outside = ((F.col("oe_ci_high") < 1) | (F.col("oe_ci_low") > 1)) & ((F.col("oe_ratio") < BAND[0]) | (F.col("oe_ratio") > BAND[1]))
+        rule = F.when(e <= 0, F.lit(None)).when(o < FLOOR, "insufficient_data").when(outside, "alert").otherwise("ok")
+        verdict = F.when(F.col("coverage") == "incomplete_cohort", F.col("coverage")).otherwise(F.coalesce(rule, F.lit("insufficient_data")))
+        return self.landed("judged", lambda: rows.withColumns({"rule": rule, "verdict": verdict}))
+
     @cached_property
     def ticks(self) -> DataFrame:
         """One monitoring row per grid date."""
@@ -109,18 +134,22 @@ class Plans(registry.Plans):
         start = F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 8 HOURS")
         kept = lambda c: F.when(good, F.col(c)).alias(c)
         last = self.runs.groupBy(F.col("run_date").alias("d")).agg(F.max_by("scoring_run_id", F.struct("started_at", "scoring_run_id")).alias("scoring_run_id"))
-        rows = self.grid.join(self.cohorts, "d").join(last, "d").select(
+        rows = self.grid.join(self.judged, "d").join(last, "d").select(
             F.concat(F.lit("tick-"), F.date_format("d", "yyyyMMdd")).alias("monitoring_run_id"), F.col("d").alias("sim_date"), start.alias("started_at"), (start + F.expr("INTERVAL 10 MINUTES")).alias("finished_at"),
             F.when(good, "succeeded").otherwise("failed").alias("status"), F.when(~good, "evaluate").alias("failed_stage"), F.lit("weekly").alias("cadence"), "scoring_run_id",
-            F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"), F.when(good, F.when(F.col("coverage") == "incomplete_cohort", F.col("coverage")).otherwise("insufficient_data")).alias("verdict"),
-            kept("n_matured"), kept("observed"), kept("expected"), kept("coverage_required"), kept("coverage_found"), F.lit(True).alias("history_tests_passed"),
+            F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"), kept("verdict"),
+            kept("n_matured"), kept("observed"), kept("expected"), kept("coverage_required"), kept("coverage_found"), kept("oe_ratio"), kept("oe_ci_low"), kept("oe_ci_high"),
+            F.lit(FLOOR).alias("min_positives_floor"), F.lit(BAND[0]).alias("band_low"), F.lit(BAND[1]).alias("band_high"), F.lit(True).alias("history_tests_passed"),
         )
         return self.landed("ticks", lambda: rows)
 
 
 registry.Plans = Plans
 
-COH = """pub AS MATERIALIZED (SELECT as_of_date, scoring_run_id, count(*)::BIGINT AS n_rows FROM prd WHERE scoring_run_id IN (SELECT scoring_run_id FROM runs WHERE published) GROUP BY ALL),
+#: The SQL counterpart holds the intervals as a literal table, made by the function that the query uses.
+_CI = ", ".join(f"({k}, {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for k in range(400) for lo, hi in [garwood(k)])
+COH = f"""cis(k, lo, hi) AS (VALUES {_CI}),
+""" + """pub AS MATERIALIZED (SELECT as_of_date, scoring_run_id, count(*)::BIGINT AS n_rows FROM prd WHERE scoring_run_id IN (SELECT scoring_run_id FROM runs WHERE published) GROUP BY ALL),
 fnd AS MATERIALIZED (SELECT as_of_date AS d, scoring_run_id FROM pub JOIN runs USING (scoring_run_id) WHERE status = 'succeeded' AND published AND run_date = as_of_date AND runs.model_bundle_id = 'bundle-1' AND n_predictions = n_rows
   AND as_of_date IN (SELECT as_of_date FROM pub GROUP BY 1 HAVING count(*) = 1)),
 req AS MATERIALIZED (SELECT d, (d - (7 * k)::INT)::DATE AS tick, kind FROM grid, range(21) r(k), (SELECT unnest([{'kind': 'matured', 'a': 121, 'b': 30}, {'kind': 'immature', 'a': 30, 'b': 0}], recursive := true))
@@ -133,15 +162,20 @@ cov AS (SELECT r.d, count(*) AS coverage_required, count(f.d) AS coverage_found
 coh AS MATERIALIZED (SELECT i, d, coalesce(n_matured, 0)::BIGINT AS n_matured, coalesce(observed, 0)::BIGINT AS observed, coalesce(expected, 0) AS expected, coalesce(n_label_after_sim, 0)::BIGINT AS n_label_after_sim,
   coverage_required::BIGINT AS coverage_required, coverage_found::BIGINT AS coverage_found, auc, CASE WHEN coverage_found < coverage_required THEN 'incomplete_cohort' ELSE 'complete' END AS coverage
   FROM grid LEFT JOIN sta USING (d) JOIN cov USING (d) LEFT JOIN arc USING (d)),
+jud AS MATERIALIZED (SELECT *, CASE WHEN coverage <> 'complete' THEN coverage ELSE coalesce(rule, 'insufficient_data') END AS verdict FROM (SELECT *, CASE WHEN expected <= 0 THEN NULL WHEN observed < 10 THEN 'insufficient_data'
+  WHEN (oe_ci_high < 1 OR oe_ci_low > 1) AND (oe_ratio < 0.8 OR oe_ratio > 1.25) THEN 'alert' ELSE 'ok' END AS rule FROM (SELECT coh.*, CASE WHEN expected > 0 THEN observed / expected END AS oe_ratio,
+  CASE WHEN expected > 0 THEN lo / expected END AS oe_ci_low, CASE WHEN expected > 0 THEN hi / expected END AS oe_ci_high FROM coh LEFT JOIN cis ON k = observed))),
 tik AS MATERIALIZED (SELECT 'tick-' || strftime(d, '%Y%m%d') AS monitoring_run_id, d AS sim_date, d::TIMESTAMP + INTERVAL 8 HOUR AS started_at, d::TIMESTAMP + INTERVAL '8 hours 10 minutes' AS finished_at,
   CASE WHEN i % 9 = 4 THEN 'failed' ELSE 'succeeded' END AS status, CASE WHEN i % 9 = 4 THEN 'evaluate' END AS failed_stage, 'weekly' AS cadence, 'run-' || strftime(d, '%Y%m%d') || CASE WHEN i % 9 = 5 THEN 'b' ELSE '' END AS scoring_run_id,
-  CASE WHEN i % 20 = 19 THEN 'bundle-2' ELSE 'bundle-1' END AS model_bundle_id, CASE WHEN i % 9 <> 4 THEN CASE WHEN coverage = 'complete' THEN 'insufficient_data' ELSE coverage END END AS verdict,
+  CASE WHEN i % 20 = 19 THEN 'bundle-2' ELSE 'bundle-1' END AS model_bundle_id, CASE WHEN i % 9 <> 4 THEN verdict END AS verdict, CASE WHEN i % 9 <> 4 THEN oe_ratio END AS oe_ratio, CASE WHEN i % 9 <> 4 THEN oe_ci_low END AS oe_ci_low, CASE WHEN i % 9 <> 4 THEN oe_ci_high END AS oe_ci_high,
+  10 AS min_positives_floor, 0.8::DOUBLE AS band_low, 1.25::DOUBLE AS band_high,
   CASE WHEN i % 9 <> 4 THEN n_matured END AS n_matured, CASE WHEN i % 9 <> 4 THEN observed END AS observed, CASE WHEN i % 9 <> 4 THEN expected END AS expected,
-  CASE WHEN i % 9 <> 4 THEN coverage_required END AS coverage_required, CASE WHEN i % 9 <> 4 THEN coverage_found END AS coverage_found, true AS history_tests_passed FROM coh)"""
+  CASE WHEN i % 9 <> 4 THEN coverage_required END AS coverage_required, CASE WHEN i % 9 <> 4 THEN coverage_found END AS coverage_found, true AS history_tests_passed FROM jud)"""
 
 # --- scoring
-query("run_window", "SELECT d, d::TIMESTAMP - INTERVAL 6 DAY AS start, d::TIMESTAMP + INTERVAL 1 DAY AS stop FROM grid")(
-    lambda p: p.grid.select("d", (F.date_sub("d", WINDOW - 1)).cast("timestamp_ntz").alias("start"), F.date_add("d", 1).cast("timestamp_ntz").alias("stop"))
+query("run_window", """SELECT d, d::TIMESTAMP - INTERVAL 6 DAY AS start, d::TIMESTAMP + INTERVAL 1 DAY AS stop, d::TIMESTAMP + INTERVAL 1 DAY <= TIMESTAMP '2001-06-01' AS observable,
+(SELECT count(*) FROM gold WHERE index_stop >= d::TIMESTAMP - INTERVAL 6 DAY AND index_stop < d::TIMESTAMP + INTERVAL 1 DAY)::BIGINT AS n_rows FROM grid""")(
+    lambda p: scoring.windows(p.grid, p.gold, WINDOW, F.lit(REFERENCE_END).cast("timestamp_ntz"))
 )
 query("sim_grid", "SELECT i, d FROM grid")(lambda p: p.grid)
 _R = "SELECT * REPLACE (round(risk_score, 8) AS risk_score) FROM prd"
@@ -156,7 +190,7 @@ query("top_n_sample", "SELECT as_of_date, rank, encounter_id FROM prd WHERE rank
 @query("observed_summary", """SELECT as_of_date, count(*)::BIGINT AS n, round(avg(is_readmitted), 8) AS batch_rate, round(avg(is_readmitted) FILTER (is_top_n), 8) AS precision_top,
 round(avg(is_readmitted) FILTER (is_top_n) / nullif(avg(is_readmitted), 0), 8) AS lift FROM prd JOIN gold USING (encounter_id) GROUP BY 1""")
 def observed_summary(p):
-    rows = p.predictions.join(p.gold.select("encounter_id", "is_readmitted"), "encounter_id", "left")
+    rows = scoring.with_labels(p.predictions, p.gold.select("encounter_id", "is_readmitted"), "encounter_id", "is_readmitted")
     top = F.avg(F.when(F.col("is_top_n"), F.col("is_readmitted")))
     base = F.avg("is_readmitted")
     return rounded(rows.groupBy("as_of_date").agg(F.count("*").alias("n"), base.alias("batch_rate"), top.alias("precision_top"), F.when(base > 0, top / base).alias("lift")))
@@ -214,17 +248,24 @@ query("wap_predictions_dates", "SELECT as_of_date, count(*)::BIGINT AS n FROM pr
 )
 
 
-@query("wap_gold", "SELECT count(*)::BIGINT AS n_rows, sum(is_readmitted)::BIGINT AS n_positive FROM gold")
+@query("wap_gold", "SELECT count(*)::BIGINT AS n_rows, sum(is_readmitted)::BIGINT AS n_positive, 1::BIGINT AS n_versions FROM gold")
 def wap_gold(p):
-    staged = tables.write_once(p.gold, p.shared_path("gold-staged"))
-    passed = assertions.verdict(assertions.run(staged, gold_rules())).first()["passed"]
-    served = tables.write_once(staged if passed else staged.limit(0), p.shared_path("gold-served"))
-    stats = served.agg(F.count("*").alias("n_rows"), F.sum("is_readmitted").alias("n_positive"))
-    tables.write_marker(stats, p.shared_path("gold-marker"))
-    return stats
+    """The table is staged, audited and published; a bad one that follows is refused, and the first stays served."""
+    root = p.shared_path("gold-served")
+    bad = p.gold.withColumn("is_readmitted", F.when(F.col("encounter_id") % 7 == 0, 2).otherwise(F.col("is_readmitted")))
+    for rows in (p.gold, bad):
+        staged = tables.write_once(rows, p.shared_path("gold-staged"))
+        passed = assertions.verdict(judge_gold(p, staged)).first()["passed"]
+        tables.publish(staged, root, passed, ("is_readmitted",))
+    served, n = tables.served(p.spark, root)
+    return served.agg(F.count("*").alias("n_rows"), F.sum("is_readmitted").alias("n_positive"), F.lit(n).cast("long").alias("n_versions"))
 
 
 # --- assertions
+# fixed values: columns that one run's predictions share
+CONSTANTS = ("model_bundle_id", "top_n", "scoring_window_days", "gold_fingerprint", "label_definition", "gold_reference_date")
+
+
 def prediction_rules():
     c, bad = F.col, assertions.bad
     return {
@@ -233,7 +274,8 @@ def prediction_rules():
         "PRED-03": F.count("*") - F.countDistinct("encounter_id"),
         "PRED-04": bad(c("risk_score").between(0, 1)),
         "PRED-05": bad(c("is_top_n") == (c("rank") <= c("top_n"))),
-        "PRED-06": sum((assertions.constant(x) for x in ("model_bundle_id", "top_n", "scoring_window_days")), F.lit(0)),
+        "PRED-06": sum((assertions.constant(x) for x in CONSTANTS), F.lit(0)),
+        "PRED-11": assertions.constant("gold_fingerprint_definition") + bad(c("gold_fingerprint_definition").isin(*DEFINITIONS)),
         "PRED-08": bad(c("partition") == "test"),
         "PRED-09": bad((c("discharge_time") >= F.date_sub("as_of_date", WINDOW - 1).cast("timestamp_ntz")) & (c("discharge_time") < F.date_add("as_of_date", 1).cast("timestamp_ntz"))),
         "PRED-10": bad(c("scoring_run_id") == F.concat(F.lit("run-"), F.date_format("as_of_date", "yyyyMMdd"))),
@@ -270,6 +312,11 @@ def tick_rules():
         "MON-04": bad((c("status") == "succeeded") == c("verdict").isNotNull()),
         "MON-05": bad((c("status") != "succeeded") | (c("scoring_run_id").isNotNull() & c("n_matured").isNotNull() & c("coverage_found").isNotNull() & c("history_tests_passed"))),
         "MON-06": bad(F.pmod(F.datediff("sim_date", first), F.lit(STEP)) == 0),
+        "MON-07": bad(c("oe_ratio").isNull() | c("oe_ratio").between(c("oe_ci_low"), c("oe_ci_high"))),
+        "MON-08": bad(
+            c("verdict").isNull() | (c("verdict") != "alert") | ((c("observed") >= c("min_positives_floor")) & ((c("oe_ci_high") < 1) | (c("oe_ci_low") > 1))
+            & ((c("oe_ratio") < c("band_low")) | (c("oe_ratio") > c("band_high"))) & (c("coverage_found") == c("coverage_required")))
+        ),
         "MON-09": bad(c("verdict").isNull() | c("verdict").isin("ok", "alert", "insufficient_data", "incomplete_cohort")),
         "MON-10": bad(c("sim_date").between(first, last)),
         "MON-11": bad(c("cadence").isin("burn_in", "weekly", "dispatch", "catch_up")),
@@ -277,17 +324,33 @@ def tick_rules():
     }
 
 
-def gold_rules():
+# fixed values: columns that the loader requires, beside the two keys
+REQUIRED = (
+    "patient_id", "index_start", "is_readmitted", "label_horizon", "prior_encounter_count", "prior_inpatient_count", "prior_emergency_count",
+    "active_condition_count", "active_medication_count", "procedure_count_window", "active_careplan_count", "observation_count_window", "age_at_index_years",
+)
+
+
+def gold_rules(metadata: dict):
+    """Rules of the feature table; ``metadata`` has the n_rows and n_positive that its maker has counted."""
     c, bad = F.col, assertions.bad
-    required = ("patient_id", "index_start", "is_readmitted", "label_horizon", "prior_encounter_count", "age_at_index_years")
     return {
         "GOLD-01": bad(c("index_stop").isNotNull()),
+        "GOLD-02": F.abs(F.count("*") - metadata["n_rows"]),
+        "GOLD-03": F.abs(F.coalesce(F.sum("is_readmitted"), F.lit(0)) - metadata["n_positive"]),
         "GOLD-04": F.count("*") - F.countDistinct("encounter_id"),
-        "GOLD-05": bad(reduce(lambda a, b: a & b, (c(x).isNotNull() for x in required))),
+        "GOLD-05": bad(reduce(lambda a, b: a & b, (c(x).isNotNull() for x in REQUIRED))),
         "GOLD-06": bad(c("is_readmitted").isin(0, 1)),
     }
 
 
+def judge_gold(p, rows: DataFrame) -> DataFrame:
+    """All GOLD rules; GOLD-07: there are predictions, and each is of a row that the table holds."""
+    missing = p.predictions.join(rows.select("encounter_id").distinct().withColumn("_held", F.lit(True)), "encounter_id", "left")
+    absent = F.when(F.count("*") == 0, 1).otherwise(F.count_if(F.col("_held").isNull()))
+    return assertions.run(rows, gold_rules(p.metadata)).unionByName(assertions.run(missing, {"GOLD-07": absent}))
+
+
 def _rules_sql(table: str, rules: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{k}' AS rule, ({v})::BIGINT AS n_bad, ({v}) = 0 AS passed FROM {table}" for k, v in rules.items())
 
@@ -296,7 +359,8 @@ _PRED = "(SELECT * FROM prd WHERE as_of_date = DATE '2000-05-01')"
 PRED_SQL = {
     "PRED-01": "CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END", "PRED-02": "CASE WHEN min(rank) = 1 AND max(rank) = count(*) AND count(DISTINCT rank) = count(*) THEN 0 ELSE 1 END",
     "PRED-03": "count(*) - count(DISTINCT encounter_id)", "PRED-04": "count_if((risk_score BETWEEN 0 AND 1) IS NOT TRUE)", "PRED-05": "count_if((is_top_n = (rank <= top_n)) IS NOT TRUE)",
-    "PRED-06": "CASE WHEN count(DISTINCT model_bundle_id) = 1 AND count(DISTINCT top_n) = 1 THEN 0 ELSE 1 END", "PRED-08": "count_if((partition = 'test') IS NOT TRUE)",
+    "PRED-06": " + ".join(f"CASE WHEN count(DISTINCT {x}) = 1 AND count({x}) = count(*) THEN 0 ELSE 1 END" for x in CONSTANTS),
+    "PRED-11": "CASE WHEN count(DISTINCT gold_fingerprint_definition) = 1 THEN 0 ELSE 1 END + count_if((gold_fingerprint_definition IN ('rowhash-1', 'rowhash-2')) IS NOT TRUE)", "PRED-08": "count_if((partition = 'test') IS NOT TRUE)",
     "PRED-09": "count_if((discharge_time >= as_of_date::TIMESTAMP - INTERVAL 6 DAY AND discharge_time < as_of_date::TIMESTAMP + INTERVAL 1 DAY) IS NOT TRUE)",
     "PRED-10": "count_if((scoring_run_id = 'run-20000501') IS NOT TRUE)",
 }
@@ -323,27 +387,38 @@ RUNS_SQL = {
 query("dq_scoring_runs", _rules_sql("runs", RUNS_SQL))(lambda p: assertions.run(p.runs, run_rules()))
 TICK_SQL = {
     "MON-01": "count(*) - count(DISTINCT monitoring_run_id)", "MON-02": "count_if(status NOT IN ('succeeded', 'refused', 'failed'))", "MON-03": "count_if(finished_at < started_at)", "MON-04": "count_if((status = 'succeeded') <> (verdict IS NOT NULL))",
-    "MON-05": "count_if(status = 'succeeded' AND (scoring_run_id IS NULL OR n_matured IS NULL OR coverage_found IS NULL))", "MON-06": "count_if(date_diff('day', DATE '2000-01-10', sim_date) % 7 <> 0)", "MON-09": "count_if(verdict NOT IN ('ok', 'alert', 'insufficient_data', 'incomplete_cohort'))",
+    "MON-05": "count_if(status = 'succeeded' AND (scoring_run_id IS NULL OR n_matured IS NULL OR coverage_found IS NULL))", "MON-06": "count_if(date_diff('day', DATE '2000-01-10', sim_date) % 7 <> 0)", "MON-07": "count_if(NOT (oe_ratio BETWEEN oe_ci_low AND oe_ci_high))",
+    "MON-08": "count_if(verdict = 'alert' AND NOT (observed >= 10 AND (oe_ci_high < 1 OR oe_ci_low > 1) AND (oe_ratio < 0.8 OR oe_ratio > 1.25) AND coverage_found = coverage_required))",
+    "MON-09": "count_if(verdict NOT IN ('ok', 'alert', 'insufficient_data', 'incomplete_cohort'))",
     "MON-10": "count_if(sim_date NOT BETWEEN DATE '2000-01-10' AND DATE '2001-05-28')", "MON-11": "count_if(cadence <> 'weekly')", "MON-12": "count_if((status = 'succeeded') <> (failed_stage IS NULL))",
 }
 query("dq_monitoring", _rules_sql("tik", TICK_SQL), COH)(lambda p: assertions.run(p.ticks, tick_rules()))
 GOLD_SQL = {
-    "GOLD-01": "count_if(index_stop IS NULL)", "GOLD-04": "count(*) - count(DISTINCT encounter_id)", "GOLD-05": "count_if(patient_id IS NULL OR index_start IS NULL OR is_readmitted IS NULL OR label_horizon IS NULL OR prior_encounter_count IS NULL OR age_at_index_years IS NULL)",
-    "GOLD-06": "count_if(is_readmitted NOT IN (0, 1))",
+    "GOLD-01": "count_if(index_stop IS NULL)", "GOLD-02": "abs(count(*) - (SELECT count(*) FROM obs))", "GOLD-03": "abs(coalesce(sum(is_readmitted), 0) - (SELECT coalesce(sum(label), 0) FROM obs))",
+    "GOLD-04": "count(*) - count(DISTINCT encounter_id)", "GOLD-05": f"count_if({' OR '.join(f'{x} IS NULL' for x in REQUIRED)})", "GOLD-06": "count_if(is_readmitted NOT IN (0, 1))",
 }
-_REF = " UNION ALL SELECT 'GOLD-07', count(*)::BIGINT, count(*) = 0 FROM prd WHERE encounter_id NOT IN (SELECT encounter_id FROM gold)"
+_REF = " UNION ALL SELECT 'GOLD-07', n, n = 0 FROM (SELECT (CASE WHEN count(*) = 0 THEN 1 ELSE count_if(encounter_id NOT IN (SELECT encounter_id FROM gold)) END)::BIGINT AS n FROM prd)"
 
+query("dq_gold", _rules_sql("gold", GOLD_SQL) + _REF)(lambda p: judge_gold(p, p.gold))
 
-@query("dq_gold", _rules_sql("gold", GOLD_SQL) + _REF)
-def dq_gold(p):
-    missing = p.predictions.join(p.gold.select("encounter_id"), "encounter_id", "left_anti")
-    return assertions.run(p.gold, gold_rules()).unionByName(assertions.run(missing, {"GOLD-07": F.count("*")}))
 
+@query("gold_validate", _rules_sql("gold", GOLD_SQL | {"COLUMNS": "count_if(false)", "EMPTY": "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END", "STOP": "count_if(index_stop < index_start)"}))
+def gold_validate(p):
+    """The written feature table as its reader checks it: exact columns in order, rows, keys, values and the maker's counts."""
+    read = tables.write_once(p.gold, p.shared_path("gold-read"))
+    more = {"COLUMNS": F.lit(int(tuple(read.columns) != GOLD)) + F.count_if(F.lit(False)), "EMPTY": F.when(F.count("*") == 0, 1).otherwise(0), "STOP": assertions.bad(F.col("index_stop") >= F.col("index_start"))}
+    return assertions.run(read, gold_rules(p.metadata) | more)
 
-query("gold_validate", _rules_sql("gold", GOLD_SQL | {"STOP": "count_if(index_stop < index_start)"}))(
-    lambda p: assertions.run(p.gold, gold_rules() | {"STOP": assertions.bad(F.col("index_stop") >= F.col("index_start"))})
-)
-query("dq_runner", "SELECT true AS passed, NULL::VARCHAR AS first_failure FROM (SELECT count(*) FROM gold)")(lambda p: assertions.verdict(assertions.run(p.gold, gold_rules())))
+
+@query("dq_runner", """SELECT t.copy, f IS NULL AS passed, f AS first_failure FROM (SELECT 'clean' AS copy UNION ALL SELECT 'changed') t LEFT JOIN (SELECT 'changed' AS copy,
+CASE WHEN count_if(index_stop IS NULL) > 0 THEN 'GOLD-01' WHEN count(DISTINCT encounter_id) < count(*) THEN 'GOLD-04' WHEN count_if(is_readmitted NOT IN (0, 1)) > 0 THEN 'GOLD-06' END AS f
+FROM (SELECT encounter_id, index_stop, CASE WHEN encounter_id % 2 = 0 THEN is_readmitted ELSE 7 - is_readmitted END AS is_readmitted FROM gold UNION ALL SELECT encounter_id, index_stop, is_readmitted FROM gold WHERE encounter_id % 5 = 0)) c USING (copy)""")
+def dq_runner(p):
+    """(copy, passed, first_failure) of the table and of a copy that breaks several rules: the first in order is the verdict."""
+    g = p.gold
+    changed = g.withColumn("is_readmitted", F.when(F.col("encounter_id") % 2 == 0, F.col("is_readmitted")).otherwise(7 - F.col("is_readmitted"))).unionByName(g.where("encounter_id % 5 = 0"))
+    rules = {k: v for k, v in gold_rules(p.metadata).items() if k not in ("GOLD-02", "GOLD-03")}  # these would see the doubled rows first
+    return union_all([assertions.verdict(assertions.run(f, rules)).select(F.lit(n).alias("copy"), "passed", "first_failure") for n, f in (("clean", g), ("changed", changed))])
 
 
 @query("dq_mutations", "SELECT unnest(['clean', 'label', 'stop', 'twice']) AS mutation, unnest([NULL, 'GOLD-06', 'GOLD-01', 'GOLD-04']) AS first_failure FROM (SELECT count(*) FROM gold)")
@@ -359,7 +434,8 @@ def dq_mutations(p):
         "stop": marked.withColumn("index_stop", F.when(~at, F.col("index_stop"))),
         "twice": marked.unionByName(marked.where(at)),
     }
-    return union_all([assertions.verdict(assertions.run(f, gold_rules())).select(F.lit(n).alias("mutation"), "first_failure") for n, f in changed.items()])
+    rules = {k: v for k, v in gold_rules(p.metadata).items() if k not in ("GOLD-02", "GOLD-03")}  # counts change with rows and labels
+    return union_all([assertions.verdict(assertions.run(f, rules)).select(F.lit(n).alias("mutation"), "first_failure") for n, f in changed.items()])
 
 
 def mutations(p) -> dict[str, tuple[DataFrame, DataFrame]]:
@@ -380,25 +456,27 @@ def mutations(p) -> dict[str, tuple[DataFrame, DataFrame]]:
         for rule, make in (add or {}).items():
             out[rule] = judge(make(rows, keep(marked.where(at))))
 
-    def judge_gold(rows: DataFrame) -> DataFrame:
-        missing = p.predictions.join(rows.select("encounter_id"), "encounter_id", "left_anti")
-        return assertions.run(rows, gold_rules()).unionByName(assertions.run(missing, {"GOLD-07": F.count("*")}))
-
+    whole = lambda rows: judge_gold(p, rows)
+    sized = lambda rows: judge_gold(SimpleNamespace(predictions=p.predictions, metadata=rows.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("is_readmitted"), F.lit(0)).alias("n_positive")).first().asDict()), rows)
     twice = lambda rows, one: rows.unionByName(one)
     known = p.predictions.agg(F.min("encounter_id").alias("encounter_id"))
-    suite("gold", p.gold, ["encounter_id"], judge_gold, {"GOLD-01": {"index_stop": None}, "GOLD-05": {"patient_id": None}, "GOLD-06": {"is_readmitted": 2}},
-          {"GOLD-04": twice, "GOLD-07": lambda rows, one: rows.join(F.broadcast(known), "encounter_id", "left_anti")})
+    unseen = p.gold.join(p.predictions, "encounter_id", "left_anti").where("is_readmitted = 0").agg(F.min("encounter_id").alias("encounter_id"))
+    flip = lambda rows, one: rows.withColumn("is_readmitted", F.when(c("encounter_id") == one.first()["encounter_id"], 1 - c("is_readmitted")).otherwise(c("is_readmitted")))
+    suite("gold", p.gold, ["encounter_id"], whole, {"GOLD-01": {"index_stop": None}, "GOLD-05": {"patient_id": None}},
+          {"GOLD-02": lambda rows, one: rows.join(F.broadcast(unseen), "encounter_id", "left_anti"), "GOLD-03": flip})
+    # changes of rows or labels, with metadata that has counted them
+    suite("gold-sized", p.gold, ["encounter_id"], sized, {"GOLD-06": {"is_readmitted": 2}}, {"GOLD-04": twice, "GOLD-07": lambda rows, one: rows.join(F.broadcast(known), "encounter_id", "left_anti")})
 
     dated = p.predictions.where("as_of_date = date'2000-05-01'")  # one date is enough to fire a rule
     judge = lambda rows: assertions.run(rows.withColumn("prev", F.lag("risk_score").over(W.orderBy("rank"))), prediction_rules() | {"PRED-07": bad(c("prev").isNull() | (c("risk_score") <= c("prev")))})
     suite("predictions", dated, ["rank"], judge, {"PRED-02": {"rank": 0}, "PRED-04": {"risk_score": 2.0}, "PRED-05": {"is_top_n": False}, "PRED-06": {"model_bundle_id": "other"},
-          "PRED-07": {"risk_score": 0.0}, "PRED-08": {"partition": "train"}, "PRED-09": {"discharge_time": F.lit("1999-01-01").cast("timestamp_ntz")}, "PRED-10": {"scoring_run_id": "other"}},
+          "PRED-07": {"risk_score": 0.0}, "PRED-08": {"partition": "train"}, "PRED-09": {"discharge_time": F.lit("1999-01-01").cast("timestamp_ntz")}, "PRED-10": {"scoring_run_id": "other"}, "PRED-11": {"gold_fingerprint_definition": "unknown"}},
           {"PRED-01": lambda rows, one: rows.limit(0), "PRED-03": lambda rows, one: rows.withColumn("encounter_id", F.when(c("rank") == 2, F.first("encounter_id").over(W.orderBy("rank"))).otherwise(c("encounter_id")))})
 
     suite("runs", p.runs.where("status = 'succeeded'"), ["scoring_run_id"], lambda rows: assertions.run(rows, run_rules()), {"RUNS-02": {"status": "other", "error_message": "x"}, "RUNS-03": {"finished_at": c("started_at") - F.expr("INTERVAL 1 HOUR")},
           "RUNS-04": {"n_predictions": 0}, "RUNS-05": {"status": "failed"}, "RUNS-06": {"status": "failed", "error_message": "x", "predictions_tests_passed": False}, "RUNS-07": {"status": "refused", "error_message": "x"}}, {"RUNS-01": twice})
-    suite("ticks", p.ticks.where("status = 'succeeded'"), ["monitoring_run_id"], lambda rows: assertions.run(rows, tick_rules()), {"MON-02": {"status": "other", "verdict": None, "failed_stage": "clock"}, "MON-03": {"finished_at": c("started_at") - F.expr("INTERVAL 1 HOUR")},
-          "MON-04": {"verdict": None}, "MON-05": {"n_matured": None}, "MON-06": {"sim_date": F.date_add("sim_date", 1)}, "MON-09": {"verdict": "other"}, "MON-10": {"sim_date": F.date_sub("sim_date", 70000)},
+    suite("ticks", p.ticks.where("status = 'succeeded' and oe_ratio is not null"), ["monitoring_run_id"], lambda rows: assertions.run(rows, tick_rules()), {"MON-02": {"status": "other", "verdict": None, "failed_stage": "clock"}, "MON-03": {"finished_at": c("started_at") - F.expr("INTERVAL 1 HOUR")},
+          "MON-04": {"verdict": None}, "MON-05": {"n_matured": None}, "MON-06": {"sim_date": F.date_add("sim_date", 1)}, "MON-07": {"oe_ratio": c("oe_ci_high") + 1, "verdict": "ok"}, "MON-08": {"verdict": "alert", "observed": 1}, "MON-09": {"verdict": "other"}, "MON-10": {"sim_date": F.date_sub("sim_date", 70000)},
           "MON-11": {"cadence": "other"}, "MON-12": {"failed_stage": "clock"}}, {"MON-01": twice})
     return out
 
@@ -477,28 +555,26 @@ query("published_runs", "SELECT as_of_date, scoring_run_id, n_rows FROM pub", CO
 query("found_ticks", "SELECT d, scoring_run_id FROM fnd", COH)(lambda p: p.found)
 _COHORT = "SELECT d, n_matured, observed, round(expected, 8) AS expected, n_label_after_sim, coverage_required, coverage_found, round(auc, 8) AS auc, coverage FROM coh"
 query("cohort_eval", _COHORT, COH)(lambda p: rounded(p.cohorts))
-query("monitor_replay", "SELECT coverage, count(*)::BIGINT AS n, sum(n_matured)::BIGINT AS n_matured, sum(observed)::BIGINT AS observed FROM coh GROUP BY 1", COH)(
-    lambda p: p.cohorts.groupBy("coverage").agg(F.count("*").alias("n"), F.sum("n_matured").alias("n_matured"), F.sum("observed").alias("observed"))
+query("monitor_replay", "SELECT d, n_matured, observed, round(expected, 8) AS expected, round(oe_ratio, 6) AS oe_ratio, coverage, verdict FROM jud", COH)(
+    lambda p: rounded(p.judged.select("d", "n_matured", "observed", "expected", F.round("oe_ratio", 6).alias("oe_ratio"), "coverage", "verdict"))
+)
+query("oe_rule", "SELECT d, round(oe_ratio, 6) AS ratio, round(oe_ci_low, 6) AS ci_low, round(oe_ci_high, 6) AS ci_high, rule AS verdict FROM jud", COH)(
+    lambda p: rounded(p.judged.select("d", F.col("oe_ratio").alias("ratio"), F.col("oe_ci_low").alias("ci_low"), F.col("oe_ci_high").alias("ci_high"), F.col("rule").alias("verdict")), 6)
 )
-#: The SQL counterpart holds the intervals as a literal table; counts at its scale stay far below 60.
-_CI = ", ".join(f"({k}, {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for k in range(60) for lo, hi in [garwood(k)])
 
 
-@query("oe_rule", """SELECT d, round(observed / expected, 6) AS ratio, round(lo / expected, 6) AS ci_low, round(hi / expected, 6) AS ci_high, CASE WHEN expected <= 0 THEN NULL WHEN observed < 10 THEN 'insufficient_data'
-WHEN (hi / expected < 1 OR lo / expected > 1) AND (observed / expected < 0.8 OR observed / expected > 1.25) THEN 'alert' ELSE 'ok' END AS verdict FROM (SELECT * REPLACE (CASE WHEN expected > 0 THEN expected END AS expected) FROM coh) JOIN cis ON k = observed WHERE expected IS NOT NULL
-UNION ALL SELECT d, NULL, NULL, NULL, NULL FROM coh WHERE expected <= 0""", COH, f"cis(k, lo, hi) AS (VALUES {_CI})")
-def oe_rule(p):
-    e, o = F.col("expected"), F.col("observed")
-    rows = p.cohorts.select("d", "observed", "expected", garwood_interval(F.col("observed")).alias("ci"))
-    rows = rows.withColumns({"ratio": F.when(e > 0, o / e), "ci_low": F.when(e > 0, F.col("ci.low") / e), "ci_high": F.when(e > 0, F.col("ci.high") / e)})
-    outside = ((F.col("ci_high") < 1) | (F.col("ci_low") > 1)) & ((F.col("ratio") < 0.8) | (F.col("ratio") > 1.25))
-    verdict = F.when(e <= 0, F.lit(None)).when(o < 10, "insufficient_data").when(outside, "alert").otherwise("ok")
-    return rounded(rows.select("d", "ratio", "ci_low", "ci_high", verdict.alias("verdict")), 6)
+@query("tick_gate", """SELECT r.run_date, n = 1 AND good AND coalesce(one, false) AS ok FROM (SELECT run_date, count(*) AS n, min(scoring_run_id) AS scoring_run_id,
+bool_and(status = 'succeeded' AND published AND model_bundle_id = 'bundle-1' AND window_days = 7 AND top_n = 10) AS good FROM runs GROUP BY 1) r
+LEFT JOIN (SELECT scoring_run_id, count(DISTINCT gold_fingerprint_definition) = 1 AND bool_and(gold_fingerprint = 'gold-1') AND count(DISTINCT as_of_date) = 1 AS one FROM prd GROUP BY 1) c USING (scoring_run_id)""")
+def tick_gate(p):
+    """A date may be evaluated if its one run is as configured and its predictions carry one definition and the labels' fingerprint."""
+    as_set = (F.col("status") == "succeeded") & F.col("published") & (F.col("model_bundle_id") == "bundle-1") & (F.col("window_days") == WINDOW) & (F.col("top_n") == TOP_N)
+    runs = p.runs.groupBy("run_date").agg(F.count("*").alias("n"), F.min("scoring_run_id").alias("scoring_run_id"), F.bool_and(as_set).alias("good"))
+    one = (F.countDistinct("gold_fingerprint_definition") == 1) & F.bool_and(F.col("gold_fingerprint") == "gold-1") & (F.countDistinct("as_of_date") == 1)
+    carried = p.predictions.groupBy("scoring_run_id").agg(one.alias("one"))
+    return runs.join(carried, "scoring_run_id", "left").select("run_date", ((F.col("n") == 1) & F.col("good") & F.coalesce("one", F.lit(False))).alias("ok"))
 
 
-query("tick_gate", "SELECT run_date, count(*) = 1 AND bool_and(status = 'succeeded' AND published AND model_bundle_id = 'bundle-1') AS ok FROM runs GROUP BY 1")(
-    lambda p: p.runs.groupBy("run_date").agg(((F.count("*") == 1) & F.bool_and((F.col("status") == "succeeded") & F.col("published") & (F.col("model_bundle_id") == "bundle-1"))).alias("ok"))
-)
 _CLOCK = """bnd AS (SELECT model_bundle_id FROM tik WHERE status = 'succeeded' ORDER BY started_at DESC, monitoring_run_id DESC LIMIT 1), clk AS (SELECT max(sim_date) AS sim_date, any_value(model_bundle_id) AS bundle FROM tik JOIN bnd USING (model_bundle_id) WHERE status = 'succeeded')"""
 
 
@@ -536,6 +612,12 @@ query("recent_runs", "SELECT scoring_run_id, started_at, status FROM runs ORDER
 )
 
 
+def visible(runs: DataFrame, clock_date: Column, fingerprint: str) -> DataFrame:
+    """``runs`` without published ones that are after the clock or of another table, and how many these are (``n_hidden``)."""
+    hidden = F.coalesce(F.col("published") & ((F.col("run_date") > clock_date) | (F.col("gold_fingerprint") != fingerprint)), F.lit(False))
+    return runs.where(~hidden).crossJoin(F.broadcast(runs.agg(F.count_if(hidden).alias("n_hidden"))))  # one row
+
+
 def latest(p) -> DataFrame:
     newest = W.partitionBy("run_date").orderBy(F.desc("started_at"), F.desc("scoring_run_id"))
     return p.runs.where("published").withColumn("rn", F.row_number().over(newest)).where("rn = 1").drop("rn")
@@ -546,8 +628,9 @@ WHERE rn = 1 AND run_date <= c.sim_date ORDER BY run_date DESC LIMIT 500""", COH
     lambda p: latest(p).crossJoin(F.broadcast(clock(p).select(F.col("sim_date").alias("clock_sim_date")))).where("run_date <= clock_sim_date").orderBy(F.desc("run_date")).limit(500)
     .select("run_date", "scoring_run_id", "n_predictions", "clock_sim_date")
 )
-query("visible_runs", "SELECT scoring_run_id, run_date FROM runs WHERE NOT (published AND run_date > DATE '2001-03-01')")(
-    lambda p: p.runs.where(~(F.col("published") & (F.col("run_date") > F.lit("2001-03-01").cast("date")))).select("scoring_run_id", "run_date")
+query("visible_runs", """SELECT scoring_run_id, run_date, (SELECT count_if(published AND (run_date > DATE '2001-03-01' OR gold_fingerprint <> 'gold-1')) FROM runs)::BIGINT AS n_hidden FROM runs
+WHERE NOT (published AND (run_date > DATE '2001-03-01' OR gold_fingerprint <> 'gold-1'))""")(
+    lambda p: visible(p.runs, F.lit("2001-03-01").cast("date"), "gold-1").select("scoring_run_id", "run_date", "n_hidden")
 )
 _SHEET = """rat AS (SELECT coalesce(admission_reason_code, 'MISSING') AS k, count(*)::BIGINT AS n, avg(is_readmitted) AS r FROM gold WHERE index_stop < TIMESTAMP '2000-01-01' AND label_horizon < TIMESTAMP '2000-01-01' GROUP BY 1),
 sht AS (SELECT as_of_date, rank, is_top_n, p.encounter_id, g.index_stop AS discharge_time, p.admission_reason_code, round(risk_score, 8) AS risk_score, round((epoch_us(g.index_stop) - epoch_us(g.index_start)) / 86400000000.0, 8) AS length_of_stay_days,

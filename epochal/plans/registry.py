@@ -46,6 +46,8 @@ class Plans(Roles):
     def shared_path(self, name: str) -> str:
         base = self.spark.conf.get("spark.checkpoint.dir", None)
         if not base:  # a local session without a shared folder
+            if self.spark.sparkContext.master.partition("[")[0] != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             base = "file://" + tempfile.mkdtemp(prefix="epochal-")
             self.spark.conf.set("spark.checkpoint.dir", base)
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -161,10 +161,12 @@ rgh AS (SELECT *, CASE WHEN NOT (index_stop + INTERVAL 30 DAY < TIMESTAMP '2001-
 spl AS MATERIALIZED (SELECT * EXCLUDE (p0), CASE WHEN p0 = 'train' AND patient_id IN (SELECT patient_id FROM rgh WHERE p0 = 'test') THEN 'patient_overlap' ELSE p0 END AS partition FROM rgh),
 scr AS MATERIALIZED (SELECT *, ((encounter_id * 7919) % 1000 + 0.5::DOUBLE) / 1000 * 0.11 AS p FROM spl),
 tst AS MATERIALIZED (SELECT * FROM scr WHERE partition = 'test'),
-grid AS MATERIALIZED (SELECT i, (DATE '2000-01-10' + i * 7)::DATE AS d FROM range(73) r(i0), LATERAL (SELECT i0::INT AS i)),
+grid AS MATERIALIZED (SELECT i, d FROM (SELECT i0::INT AS i, (DATE '2000-01-10' + i0::INT * 7)::DATE AS d FROM range(73) r(i0)),
+  (SELECT min(index_stop)::DATE AS lo, max(index_stop)::DATE AS hi FROM spl) WHERE d BETWEEN lo AND hi + 6),
 prd AS MATERIALIZED (SELECT d AS as_of_date, (row_number() OVER (PARTITION BY d ORDER BY p DESC, encounter_id))::INT AS rank,
   row_number() OVER (PARTITION BY d ORDER BY p DESC, encounter_id) <= 10 AS is_top_n, patient_id, encounter_id, index_stop AS discharge_time,
-  admission_reason_code, p AS risk_score, CASE WHEN i % 20 = 19 THEN 'bundle-2' ELSE 'bundle-1' END AS model_bundle_id,
+  admission_reason_code, admission_reason_description, 'unplanned_30d' AS label_definition, 'gold-1' AS gold_fingerprint, 'rowhash-1' AS gold_fingerprint_definition,
+  DATE '2001-06-30' AS gold_reference_date, 'model-1' AS model_run_id, 'score' AS model_name, p AS risk_score, CASE WHEN i % 20 = 19 THEN 'bundle-2' ELSE 'bundle-1' END AS model_bundle_id,
   'run-' || strftime(d, '%Y%m%d') AS scoring_run_id, 10 AS top_n, 7 AS scoring_window_days, partition
   FROM grid JOIN tst ON index_stop >= d::TIMESTAMP - INTERVAL 6 DAY AND index_stop < d::TIMESTAMP + INTERVAL 1 DAY),
 run0 AS (SELECT i, d, strftime(d, '%Y%m%d') AS s, d::TIMESTAMP + INTERVAL 8 HOUR AS at0, 0 AS again FROM grid

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
@@ -9,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.fingerprint import fingerprint
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A Parquet table. Timestamps stay without a zone, so no session setting can shift them."""
@@ -65,6 +69,32 @@ def append_rows(frame: DataFrame, path: str) -> None:
     frame.write.mode("append").parquet(path)
 
 
-def write_marker(frame: DataFrame, path: str) -> None:
-    """A one-row JSON file that is written last: readers take a table without it as incomplete."""
-    frame.coalesce(1).write.mode("errorifexists").json(path)
+def publish(staged: DataFrame, root: str, passed: bool, summed: tuple[str, ...] = ()) -> bool:
+    """Serve a new version of a table below ``root`` if its audit ``passed``; else what is served stays.
+
+    A version is written, read back and held against the staged table (schema, rows, sums, content fingerprint)
+    before a marker row names it; readers take the newest marker, so a version without one is never seen.
+    """
+    if not passed:
+        return False
+    spark = staged.sparkSession
+    facts = lambda f: f.agg(F.count("*").alias("n_rows"), *(F.sum(c).cast("double").alias(c) for c in summed)).crossJoin(fingerprint(f).select("fingerprint")).first().asDict()
+    path, wanted = f"{root}/version-{uuid.uuid4().hex[:12]}", facts(staged)
+    version = write_once(staged, path)
+    if version.dtypes != staged.dtypes or facts(version) != wanted:
+        raise ValueError("the written version differs from the staged table")
+    columns = ",".join(version.columns)
+    marker = [(path, time.time_ns(), wanted["n_rows"], wanted["fingerprint"], columns)]
+    append_rows(spark.createDataFrame(marker, "path string, at long, n_rows long, fingerprint string, columns string"), f"{root}/markers")
+    return True
+
+
+def served(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
+    """The newest published version, held against its marker, and how many there are."""
+    markers = spark.read.parquet(f"{root}/markers")
+    n = markers.count()
+    newest = markers.orderBy(F.desc("at")).first()  # one short row for each publication
+    found = spark.read.parquet(newest["path"])
+    if found.columns != newest["columns"].split(",") or found.count() != newest["n_rows"] or fingerprint(found).first()["fingerprint"] != newest["fingerprint"]:
+        raise ValueError("the served version differs from its marker")
+    return found, n

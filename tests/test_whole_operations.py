@@ -25,7 +25,7 @@ def test_a_bad_date_fails_and_is_not_published(p):
 
 def test_every_mutation_fires_its_rule(p):
     got = {r["mutation"]: r["fired"].split(",") for r in operations.dq_mutations_all(p).collect()}
-    rules = operations.gold_rules() | operations.prediction_rules() | operations.run_rules() | operations.tick_rules()
+    rules = operations.gold_rules(p.metadata) | operations.prediction_rules() | operations.run_rules() | operations.tick_rules()
     assert set(rules) | {"GOLD-07", "PRED-07"} == {m for m in got if not m.startswith("clean")}
     for m, fired in got.items():
         if m == "PRED-01":  # an empty table has no ranks and no constants either
