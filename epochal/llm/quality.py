@@ -29,8 +29,18 @@ from .common import ship_package
 SYMBOLS = "#*$%&|<>"
 TERMINAL = ".!?…。！？"
 CLOSING = "\"'”’»)]"
-NAVIGATION = ("home", "menu", "next", "previous", "back to top", "skip to content", "read more", "sign in", "log in", "share this", "contact us", "about us")
-BOILERPLATE = ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies", "enable javascript", "lorem ipsum", "subscribe to our newsletter")
+NAVIGATION = (
+    "home", "menu", "next", "previous", "back to top", "skip to content", "read more", "sign in", "log in", "share this", "contact us", "about us",
+    "startseite", "weiter", "zurück", "nach oben", "zum inhalt springen", "weiterlesen", "anmelden", "kontakt", "über uns",
+    "accueil", "suivant", "précédent", "haut de page", "aller au contenu", "lire la suite", "se connecter", "contactez-nous", "qui sommes-nous",
+    "inicio", "menú", "siguiente", "anterior", "volver arriba", "ir al contenido", "leer más", "iniciar sesión", "contacto", "quiénes somos",
+)
+BOILERPLATE = (
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies", "enable javascript", "lorem ipsum", "subscribe to our newsletter",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookie-richtlinie", "verwendet cookies", "javascript aktivieren", "newsletter abonnieren",
+    "tous droits réservés", "conditions générales", "politique de confidentialité", "politique de cookies", "utilise des cookies", "activer javascript",
+    "todos los derechos reservados", "términos de uso", "política de privacidad", "política de cookies", "utiliza cookies", "activar javascript",
+)
 MAX_LOST_PERCENT, MIN_WORDS, MAX_REPEAT_PERCENT, MAX_SYMBOLS_PER_10_WORDS = 30, 50, 50, 3
 
 _SYMBOL = str.maketrans("", "", SYMBOLS)

@@ -21,8 +21,17 @@ from pyspark.sql import functions as F
 from .common import ship_package
 
 # fixed values: the vocabulary of the production query
-STRICT = ("porn", "porno", "xxx", "hentai", "camgirls", "sexcam", "nudes", "escorts")
-SOFT = ("adult", "sexy", "nude", "dating", "casino", "betting", "poker", "viagra", "cialis", "torrent", "warez", "crack", "keygen", "payday", "loans")
+STRICT = (
+    "porn", "porno", "pornos", "pornstar", "pornographie", "xxx", "xvideos", "hentai", "camgirl", "camgirls", "sexcam", "sexcams", "nudes", "milf", "milfs",
+    "escorts", "escortgirls", "escorte", "putas", "hookers", "blowjob", "creampie", "gangbang", "deepthroat", "fetisch", "bdsm", "upskirt", "incest",
+    "sexchat", "sexshop", "sextreff", "sexkontakte", "erotik", "erotikfilme", "erotica", "erotique", "striptease", "swinger", "bangbros", "livesex",
+)
+SOFT = (
+    "adult", "adults", "sex", "sexy", "nude", "naked", "nackt", "desnudas", "dating", "flirt", "singles", "hookup", "casino", "casinos", "kasino", "betting",
+    "bet", "bets", "wetten", "apuestas", "paris-sportifs", "poker", "roulette", "blackjack", "slots", "jackpot", "bingo", "lottery", "lotto", "loteria", "gambling",
+    "viagra", "cialis", "levitra", "kamagra", "steroids", "pharmacy", "apotheke", "farmacia", "pills", "torrent", "torrents", "warez", "crack", "cracked", "keygen",
+    "serials", "nulled", "payday", "loan", "loans", "kredit", "prestamos", "forex", "crypto", "bitcoin", "replica", "replicas", "freebies", "giveaway", "proxy",
+)
 MIN_SOFT = 2
 RULES = (
     ("allow", "org", "/"),

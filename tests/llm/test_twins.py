@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from epochal.llm import ann, language_id, queries, token_store, toxicity, url_filter, warc
+from epochal.llm import ann, language_id, quality, queries, token_store, toxicity, url_filter, warc
 from epochal.llm.common import work_dir
 
 SMALL = "/root/testdata/sf0.001"
@@ -207,3 +207,32 @@ def test_url_filter_on_empty_long_and_repeated(spark):
     got = sorted((r["page_id"] or 0, r["verdict"]) for r in url_filter.judge(frame).collect())
     assert got == [(0, "block"), (1, "allow"), (1, "allow"), (1, "block")]
     assert url_filter.judge(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("line", "rule"),
+    [("Alle Rechte vorbehalten 2020.", "boilerplate"), ("Nous utilise des cookies ici.", "boilerplate"), ("Leer más.", "navigation"), ("Back to top.", "navigation"),
+     ("Home | About | Contact.", "labels"), ("no mark at the end", "punctuation"), ("# $ % a b c.", "symbols")],
+)
+def test_each_line_rule_decides(line, rule):
+    n = len(line.split())
+    assert not quality.line_passes(line, n), rule
+    assert quality.line_passes("A plain sentence that ends well.", 6) and quality.line_passes(line, 0)
+
+
+def test_quality_counts_ties_long_texts_and_clashing_columns(spark):
+    text = "one two three four.\none two three four.\n\n" + "word " * 60 + "."
+    rows = [(1, text), (1, text), (2, None), (3, " ".join(f"w{i}" for i in range(200_000)) + ".")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"kept": F.lit("mine"), "n_words": F.lit(-1)})
+    got = sorted(tuple(r) for r in quality.judge(frame).collect())
+    # 9 words in repeated windows of the two equal lines (8) and the run of one word
+    assert got[0] == got[1] and got[0][:6] == (1, 69, 16 * 2 + 60 * 4 + 1, 0, 1, 68) and got[0][6]
+    assert got[2] == (2, 0, 0, 0, 0, 0, True, False) and got[3][1:] == (200_000, got[3][2], 0, 0, 0, False, True)
+    assert [r["kept"] for r in quality.clean(frame).collect()] == ["mine"]
+
+
+def test_words_decide_where_no_rule_fits(spark):
+    urls = ["http://a.net/porn/", "http://a.net/casino-bonus/poker", "http://a.net/casino/casino", "http://apotheke.net/viagra", "http://a.net/sexton-adulthood", "http://x.org/porn/"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"], r["n_strict"], r["n_soft"]) for r in url_filter.judge(frame).collect()}
+    assert got == {0: (None, "block", 1, 0), 1: (None, "block", 0, 2), 2: (None, "allow", 0, 1), 3: (None, "block", 0, 2), 4: (None, "allow", 0, 0), 5: ("org/", "allow", 1, 0)}
