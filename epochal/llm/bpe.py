@@ -4,7 +4,8 @@ A word's merges are found in linear time without merging: an Aho-Corasick automa
 the longest token at each place; the encoder takes it if it is *compatible* with the token before it and
 else falls back to the token's longest proper prefix, or steps back. Two adjacent tokens are compatible
 if byte-pair merging could leave just this border between them, which a walk down their two split
-trees decides with the table of pairs. The one compatible sequence is what merging would have produced.
+trees decides with the table of pairs. The one compatible sequence is what merging would have produced. (The
+method is a published one, known from open-source linear-time BPE encoders.)
 
 Texts are cut at white space first; since no token crosses it, a bounded memo maps each piece to its ids.
 
