@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-CHUNK_DAYS = 91
+CHUNK_DAYS = 365
 _DAY = 86_400_000_000
 
 

@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from ..operators import enrich, fingerprint, intervals, lookback, split
 from ..operators.fingerprint import union_all
 from ..sources import tables
-from ..sources.adapter import PLANNED_CODES, REFERENCE_END, TEST_START, instant
+from ..sources.adapter import PLANNED_CODES, REFERENCE_END, TEST_START, Roles, instant
 from . import registry
 from .registry import query
 
 
 class Plans(registry.Plans):
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Order lines with their entity: five roles are made of them, so the join runs once."""
+        return self.landed("lines", lambda: Roles.lines.func(self))
+
     @cached_property
     def flagged(self) -> DataFrame:
         return self.landed("flagged", lambda: intervals.flag_stays(self.stays, self.procedures, PLANNED_CODES, reference_end=instant(REFERENCE_END)))
