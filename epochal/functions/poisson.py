@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.package import ship_package
+
 
 def _below(k: int, mean: float) -> float:
     """P(X <= k), summed from the largest term's logarithm."""
@@ -32,6 +34,7 @@ def garwood(observed: int, alpha: float = 0.05) -> tuple[float, float]:
 
 def garwood_interval(observed: Column) -> Column:
     """struct(low, high); for the handful of rows that hold cohort counts."""
+    ship_package(SparkSession.active())
 
     @F.pandas_udf("low double, high double")
     def interval(n: pd.Series) -> pd.DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..sources.package import ship_package
+
 EPSILON = 1e-15
 
 
@@ -170,6 +172,7 @@ def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples:
     of the two, so no draws are stored or joined. Rows lie in blocks of neighbouring scores. A block gives, for each
     resample, its weighted sums and the pairs it orders by itself; sums over blocks give the rest.
     """
+    ship_package(rows.sparkSession)
     long = _long(rows, y, arms, entity)
     places = ranked(long, "p", {"n": F.count("*")}, ("arm",)).select("arm", "p", "n", F.floor(F.col("below_n") / BLOCK_ROWS).alias("block"), (F.col("n") > BLOCK_ROWS).alias("tied"))
     part = F.when(F.col("tied"), F.pmod(F.xxhash64("e1", "e2"), F.ceil(F.col("n") / BLOCK_ROWS))).otherwise(0)
@@ -206,6 +209,7 @@ def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples:
 
 def bootstrap_ece(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int, bins: int = 10) -> DataFrame:
     """(b, arm, ece) over each resample's own quantile bins, for the resamples of :func:`bootstrap`."""
+    ship_package(rows.sparkSession)
 
     def counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Weighted counts of a batch's scores in each resample."""

@@ -171,16 +171,19 @@ def train_lr(p):
     return models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
 
 
-def _boosted(p, train: DataFrame) -> list:
-    if p.spark.sparkContext.getCheckpointDir() is None:  # rounds cut their lineage there
-        p.spark.sparkContext.setCheckpointDir(p.shared_path("boosting"))
-    return models.fit_boosted(train, NUMBERS, enrich.CATEGORICAL, "label", "fold", FOLDS, ROUNDS)
+def _boosted(p) -> DataFrame:
+    """Calibrated scores of the test rows, landed: models of hundreds of rounds are fitted once."""
 
+    def scores() -> DataFrame:
+        train, test = _prepared(p, linear=False)
+        if p.spark.sparkContext.getCheckpointDir() is None:  # rounds cut their lineage there
+            p.spark.sparkContext.setCheckpointDir(p.shared_path("boosting"))
+        return models.score_boosted(models.fit_boosted(train, NUMBERS, enrich.CATEGORICAL, "label", "fold", FOLDS, ROUNDS), test, "encounter_id")
 
-@query("train_gbt_cal")
-def train_gbt_cal(p):
-    train, test = _prepared(p, linear=False)
-    return models.score_boosted(_boosted(p, train), test, "encounter_id")
+    return p.landed(f"boosted-{FOLDS}-{ROUNDS}", scores)
+
+
+query("train_gbt_cal")(_boosted)
 
 
 @query("score_batch")
@@ -221,9 +224,8 @@ def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rat
 def train_report(p):
     """Both models fitted on train, their metrics on test and the paired intervals."""
     train, test = _prepared(p)
-    trees = _prepared(p, linear=False)
     linear = models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
-    boosted = models.score_boosted(_boosted(p, trees[0]), trees[1], "encounter_id")
+    boosted = _boosted(p)
     names = ("logistic_regression", "boosted_calibrated")
     scored = linear.withColumnRenamed("risk_score", names[0]).join(boosted.withColumnRenamed("risk_score", names[1]), "encounter_id")
     rows = test.select("encounter_id", "patient_id", F.col("label").cast("int").alias("y")).join(scored, "encounter_id")
