@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
+from . import ann, bpe, filter_audit, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
 from .common import id_remainder, work_dir
 
 
@@ -90,6 +90,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.run(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_ann": op2_ann,
@@ -101,7 +105,8 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_near_dup": op10_near_dup,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 #: The rest has no SQL: learned models, exact encodings, connected components and binary formats.
-ORACLES: dict[str, str] = {"op1_warc": warc.sql(), "op3_quality": quality.sql(), "op4_url": url_filter.sql(), "op6_mixing": mixing.sql()}
+ORACLES: dict[str, str] = {"op1_warc": warc.sql(), "op3_quality": quality.sql(), "op4_url": url_filter.sql(), "op6_mixing": mixing.sql(), "op11_filter_audit": filter_audit.sql()}
