@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, filter_audit, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
+from . import ann, bpe, filter_audit, fingerprints, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
 from .common import id_remainder, work_dir
 
 
@@ -94,6 +94,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.run(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_ann": op2_ann,
@@ -106,6 +110,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_near_dup": op10_near_dup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_fingerprints": op12_fingerprints,
 }
 
 #: The rest has no SQL: learned models, exact encodings, connected components and binary formats.
