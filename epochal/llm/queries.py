@@ -8,14 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, filter_audit, fingerprints, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
+from . import alignment, ann, bpe, filter_audit, fingerprints, language_id, mixing, near_dup, quality, token_store, toxicity, url_filter, warc
 from .common import id_remainder, work_dir
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,10 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.compare(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_ann": op2_ann,
@@ -111,6 +115,7 @@ QUERIES = {
     "op10_near_dup": op10_near_dup,
     "op11_filter_audit": op11_filter_audit,
     "op12_fingerprints": op12_fingerprints,
+    "op13_alignment": op13_alignment,
 }
 
 #: The rest has no SQL: learned models, exact encodings, connected components and binary formats.
