@@ -148,7 +148,11 @@ def fit_router(x: np.ndarray, n_rows: int, k: int, aim: float = AIM) -> Router:
 
 
 def exact_scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Cosines of one vector and rows, each row summed alone, so equal rows get equal scores."""
+    """Cosines of one vector and rows, each row summed alone, so equal rows get equal scores.
+
+    Vectors are first scaled by powers of two to components under 1, which changes no bit of the cosine and lets no square overflow or vanish.
+    """
+    query, rows = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=-1, keepdims=True))[1]) for v in (query, rows))
     return (rows * query).sum(axis=1) / (np.sqrt((query * query).sum()) * np.sqrt((rows * rows).sum(axis=1)))
 
 

@@ -204,6 +204,25 @@ def test_ann_against_brute_force(spark):
     assert few.count() == 2
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e308, 5e-324])
+def test_ann_scores_of_very_large_and_very_small_vectors(spark, size):
+    """Components whose squares aren't doubles: order and scores are those of the vectors at their usual size."""
+    x = np.random.default_rng(8).integers(-9, 10, (120, 16)).astype(float)
+    x[:, 0] = 1.0
+    scale = size / 16 if size > 1 else size
+    frame = spark.createDataFrame([(i, (v * scale).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(frame, query=F.col("id") % 50 == 0, k=5).orderBy("query_id", "rank").collect()
+    u = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    hits = 0
+    for q in (0, 50, 100):
+        own = [r for r in got if r["query_id"] == q]
+        cosine = u @ u[q]
+        assert [r["score"] for r in own] == pytest.approx([cosine[r["vec_id"]] for r in own], abs=1e-12)
+        cosine[q] = -9
+        hits += len({r["vec_id"] for r in own} & set(np.lexsort((np.arange(120), -np.round(cosine, 12)))[:5]))
+    assert len(got) == 15 and hits >= 14
+
+
 def test_warc_round_trip_in_small_ranges(spark):
     rnd = random.Random(9)
     big = "".join(rnd.choice("abcdef<>") for _ in range(200_000))
