@@ -3,13 +3,11 @@
 The window of a stay that starts at t is [add_months(date of t, -12 * years), t). Whether a fact counts for t
 is a condition on t alone: from a first instant on, and up to the last date whose window still reaches it.
 So a fact is a span of instants, a count is the number of spans that cover t, and a count of distinct codes
-is that of each code's merged spans.
+is that of each code's merged spans; a null code counts for nothing.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +53,7 @@ def started(facts: DataFrame, name: str) -> DataFrame:
 def active_codes(facts: DataFrame, name: str, by_day: bool) -> DataFrame:
     """Codes with a record that began before t and had not ended before the window; ``by_day``: before the day of t."""
     begins = micros(F.date_add(F.to_date("start"), 1).cast("timestamp_ntz")) if by_day else after("start")
-    spans = facts.select("entity", "code", begins.alias("lo"), reached_until("stop").alias("hi"))
-    return timeline.merged(spans, ["entity", "code"]).select("entity", F.lit(name).alias("name"), "lo", "hi")
+    return facts.where("code is not null").select("entity", F.lit(name).alias("name"), "code", begins.alias("lo"), reached_until("stop").alias("hi"))
 
 
 def spans_of(roles: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -71,10 +68,10 @@ def spans_of(roles: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def counts(index: DataFrame, spans: DataFrame, names: tuple[str, ...] = NAMES) -> DataFrame:
+def counts(index: DataFrame, spans: DataFrame | list[DataFrame], names: tuple[str, ...] = NAMES) -> DataFrame:
     """(id, one column per name) for index rows (id, entity, start), 0 where nothing is covered."""
     return timeline.count_covering(index.select("id", "entity", micros("start").alias("at")), spans, names)
 
 
 def all_counts(index: DataFrame, roles: dict[str, DataFrame]) -> DataFrame:
-    return counts(index, reduce(DataFrame.unionByName, spans_of(roles).values()))
+    return counts(index, list(spans_of(roles).values()))

@@ -1,20 +1,26 @@
 """Sums and maxima along each entity's time line, without comparing its rows pairwise.
 
-Questions and facts of an entity meet in one order of time. Time lines are cut into chunks, and what a chunk
-needs to know of the earlier ones enters it as one row of pre-aggregated values, so a window never holds
-more than a chunk of an entity, however long its history is.
+Questions and facts of an entity meet in one order of time, and what a question wants is a running sum or maximum.
+Most keys have few rows and are scanned by a window. A *hot* key, one of the thousand with the most rows over
+``CHUNK_ROWS``, is scanned in chunks: its rows are range-partitioned by key and order (Spark cuts at sampled
+quantiles, so a chunk is bounded by rows, not by years), each chunk is summed up, and what a chunk needs of earlier ones
+enters it as one pre-aggregated row. A key that isn't hot has at most ``CHUNK_ROWS`` rows or a thousandth of all.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-CHUNK_DAYS = 365
+from ..sources.package import shared_path
+
+#: Rows of a chunk, about; the most keys that are scanned in chunks.
+CHUNK_ROWS, MOST_HOT = 16_384, 1_000
 _DAY = 86_400_000_000
+_NEVER = 2**63 - 1
 
 
 def micros(c: Column | str) -> Column:
@@ -23,65 +29,135 @@ def micros(c: Column | str) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def running(rows: DataFrame, order: list[str], values: dict[str, Column], chunk_days: int = CHUNK_DAYS, inclusive: bool = True) -> DataFrame:
-    """``rows`` (entity, at in microseconds, ...) with aggregates over all rows of the entity up to each row.
+def hot_keys(rows: DataFrame, keys: list[str]) -> list[Row]:
+    """(*keys, n) of the keys with the most rows, if over ``CHUNK_ROWS``; at most ``MOST_HOT``, the largest first."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > CHUNK_ROWS)
+    return counts.orderBy(F.desc("n")).limit(MOST_HOT).collect()
 
-    ``values`` are sums, maxima or minima by result name, over rows in the order of (at, *order). Rows
-    before a row count, and the row itself if ``inclusive``.
-    """
-    rows = rows.withColumn("_chunk", F.floor(F.col("at") / (chunk_days * _DAY)))
+
+def _apart(rows: DataFrame, keys: list[str], hot: list[Row]) -> tuple[DataFrame, DataFrame]:
+    """Rows of other keys, and rows of hot keys; nulls are keys like others."""
+    kinds = dict(rows.dtypes)
+    few = rows.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], ", ".join(f"_{k} {kinds[k]}" for k in keys))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    few = F.broadcast(few)  # at most MOST_HOT rows
+    return rows.join(few, same, "left_anti"), rows.join(few, same, "left_semi")
+
+
+def chunked(rows: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
+    """``rows`` with ``_chunk``: ranges of (*keys, *order) of about ``CHUNK_ROWS`` rows each, of ``n`` rows in all; written once, so that all uses agree."""
+    dealt = rows.repartitionByRange(max(1, -(-n // CHUNK_ROWS)), *keys, *order).withColumn("_chunk", F.spark_partition_id())
+    path = shared_path(rows.sparkSession, "chunks")
+    dealt.write.parquet(path)
+    return rows.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
+def _scan(rows: DataFrame, keys: list[str], order: list[Column | str], values: dict[str, tuple], inclusive: bool) -> DataFrame:
+    until = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+    return rows.select("*", *(f(c).over(until).alias(n) for n, (f, c) in values.items()))
+
+
+def _scan_chunks(rows: DataFrame, keys: list[str], order: list[str], values: dict[str, tuple], inclusive: bool) -> DataFrame:
+    """``rows`` have ``_chunk``; an earlier chunk's rows enter as one, before the chunk's own."""
+    parts = rows.select("*", *(c.alias(f"_v_{n}") for n, (_, c) in values.items()))
     kinds = {n: f for n, (f, _) in values.items()}
-    parts = rows.withColumns({n: c for n, (_, c) in values.items()}).select(*rows.columns, *values)
-    own = parts.groupBy("entity", "_chunk").agg(*(f(n).alias(n) for n, f in kinds.items()))
-    before = W.partitionBy("entity").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    carried = own.select("entity", "_chunk", *(kinds[n](n).over(before).alias(n) for n in values))
-    both = parts.withColumn("_carried", F.lit(False)).unionByName(carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True)
-    ordered = W.partitionBy("entity", "_chunk").orderBy(F.desc("_carried"), "at", *order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
-    out = both.select(*rows.columns, "_carried", *(kinds[n](n).over(ordered).alias(n) for n in values))
-    return out.where(~F.col("_carried")).drop("_carried", "_chunk")
+    own = parts.groupBy(*keys, "_chunk").agg(*(f(f"_v_{n}").alias(n) for n, f in kinds.items()))
+    before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)  # a row for each chunk
+    carried = own.select(*keys, "_chunk", *(f(n).over(before).alias(f"_v_{n}") for n, f in kinds.items()), F.lit(0).alias("_own"))
+    both = parts.withColumn("_own", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    out = _scan(both, [*keys, "_chunk"], ["_own", *order], {n: (f, F.col(f"_v_{n}")) for n, f in kinds.items()}, inclusive)
+    return out.where("_own = 1").drop("_own", "_chunk", *(f"_v_{n}" for n in values))
 
 
-def count_covering(questions: DataFrame, spans: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def running(rows: DataFrame, keys: list[str], order: list[str], values: dict[str, tuple], inclusive: bool = True, hot: list[Row] | None = None) -> DataFrame:
+    """``rows`` with aggregates over all rows of the key up to each row, in ascending ``order``.
+
+    ``values`` are (aggregate, column) of sums, maxima or minima by result name. Rows before a row count, and the row
+    itself if ``inclusive``. ``hot`` are the hot keys where they are known; rows of a hot key that tie in ``order`` share a chunk.
+    """
+    hot = hot_keys(rows, keys) if hot is None else hot
+    if not hot:
+        return _scan(rows, keys, order, values, inclusive)
+    few, many = _apart(rows, keys, hot)
+    cut = chunked(many, keys, order, sum(r["n"] for r in hot))
+    return _scan(few, keys, order, values, inclusive).unionByName(_scan_chunks(cut, keys, order, values, inclusive))
+
+
+def _ends(spans: DataFrame) -> DataFrame:
+    """(entity, name, at, d): +1 where a span starts, -1 where it ends; one that ends before it starts is undone at its start."""
+    end = F.when(F.col("hi").isNotNull(), F.greatest("lo", "hi"))
+    return _steps(spans.where("lo is not null"), (F.col("lo"), 1), (end, -1))
+
+
+def _steps(rows: DataFrame, *steps: tuple[Column, int]) -> DataFrame:
+    each = F.explode(F.array(*(F.struct(at.alias("at"), F.lit(d).alias("d")) for at, d in steps)))
+    return rows.select("entity", "name", each.alias("x")).select("entity", "name", "x.*").where("at is not null")
+
+
+def _merged_ends(spans: DataFrame, look: bool) -> DataFrame:
+    """The same for spans (entity, name, code, lo, hi), those of one code that overlap or touch made one.
+
+    In the order of starts, a span opens a new one if it starts after all earlier ones of its code have ended; it
+    tells then where the one before ended, and a code's last row where the last one ends. ``look`` for hot codes.
+    """
+    keys = ["entity", "name", "code"]
+    rows = spans.where("lo is not null and (hi is null or lo < hi)").select(*keys, "lo", F.coalesce("hi", F.lit(_NEVER)).alias("hi"))
+    hot = hot_keys(rows, keys) if look else []
+    if hot:  # one row for each start, so that a chunk ends anywhere
+        rows = rows.groupBy(*keys, "lo").agg(F.max("hi").alias("hi"))
+        last = rows.groupBy(*keys).agg(F.max("hi").alias("lo"))
+        closes = F.lit(None).cast("long")
+    else:
+        rows = rows.withColumn("last", F.lead("lo").over(W.partitionBy(*keys).orderBy("lo")).isNull())
+        closes = F.when(F.col("last"), F.nullif(F.greatest("until", "hi"), F.lit(_NEVER)))
+    seen = running(rows, keys, ["lo"], {"until": (F.max, F.col("hi"))}, inclusive=False, hot=hot)
+    opens = F.col("until").isNull() | (F.col("lo") > F.col("until"))
+    out = _steps(seen, (F.when(opens, F.col("lo")), 1), (F.when(opens, F.col("until")), -1), (closes, -1))
+    return out.unionByName(_steps(last, (F.nullif(F.col("lo"), F.lit(_NEVER)), -1))) if hot else out
+
+
+def count_covering(questions: DataFrame, spans: DataFrame | list[DataFrame], names: tuple[str, ...]) -> DataFrame:
     """(id, one count per name): spans [lo, hi) of the entity that hold a question's instant ``at``.
 
-    ``questions`` are (id, entity, at), ``spans`` (entity, name, lo, hi) with a null hi for no end, all
-    instants in microseconds. A span is +1 at its start and -1 at its end, so a count is a running sum.
+    ``questions`` are (id, entity, at), ``spans`` tables of (entity, name, lo, hi) with a null hi for no end, all
+    instants in microseconds; one without a start holds nothing. A table may have a ``code``: spans of one name and code
+    count once. A span is +1 at its start and -1 at its end, so a count is a running sum.
     """
-    ends = F.explode(F.array(F.struct(F.col("lo").alias("at"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("at"), F.lit(-1).alias("d"))))
-    steps = spans.where("hi is null or lo < hi").select("entity", "name", ends.alias("x")).where("x.at is not null")
-    steps = steps.groupBy("entity", F.col("x.at").alias("at")).agg(*(F.sum(F.when(F.col("name") == n, F.col("x.d")).otherwise(0)).alias(f"_{n}") for n in names))
+    tables = [spans] if isinstance(spans, DataFrame) else spans
+    both = lambda frames: reduce(DataFrame.unionByName, frames)
+    plain, coded = ([t for t in tables if ("code" in t.columns) == kind] for kind in (False, True))
+    hot = hot_keys(both([t.select("entity") for t in tables]), ["entity"])
+    steps = both([*([_ends(both(plain))] if plain else []), *([_merged_ends(both(coded), bool(hot))] if coded else [])])
+    own = {f"_{n}": F.when(F.col("name") == n, F.col("d")).otherwise(0) for n in names}
+    if hot:  # one row for each instant, so that a chunk ends anywhere
+        steps = steps.groupBy("entity", "at").agg(*(F.sum(c).alias(n) for n, c in own.items()))
+        own = {n: F.coalesce(n, F.lit(0)) for n in own}
+    else:
+        number = reduce(lambda c, n: c.when(F.col("name") == n, F.lit(names.index(n)).cast("byte")), names[1:], F.when(F.col("name") == names[0], F.lit(0).cast("byte")))
+        steps = steps.select("entity", "at", number.alias("which"), F.col("d").cast("byte").alias("d"))
+        own = {n: F.when(F.col("which") == i, F.col("d")).otherwise(0) for i, n in enumerate(own)}
     asked = questions.select("entity", "at", "id", F.lit(1).alias("kind"))
     rows = steps.withColumn("kind", F.lit(0)).unionByName(asked, allowMissingColumns=True)
-    out = running(rows, ["kind"], {n: (F.sum, F.coalesce(f"_{n}", F.lit(0))) for n in names})
+    out = running(rows, ["entity"], ["at", "kind", "id"], dict(zip(names, ((F.sum, c) for c in own.values()), strict=True)), hot=hot)
     return out.where("kind = 1").select("id", *(F.col(n).cast("long").alias(n) for n in names))
 
 
-def merged(spans: DataFrame, keys: list[str]) -> DataFrame:
-    """Spans (*keys, lo, hi) with those of equal keys that overlap or touch made one; a null hi has no end."""
-    never = F.lit(2**63 - 1)
-    rows = spans.where("hi is null or lo < hi").withColumn("_hi", F.coalesce("hi", never))
-    order = W.partitionBy(*keys).orderBy("lo", "_hi")
-    opens = F.coalesce(F.col("lo") > F.max("_hi").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(True))
-    rows = rows.withColumn("_opens", opens.cast("int")).withColumn("_part", F.sum("_opens").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    out = rows.groupBy(*keys, "_part").agg(F.min("lo").alias("lo"), F.max("_hi").alias("_hi"))
-    return out.select(*keys, "lo", F.when(F.col("_hi") < never, F.col("_hi")).alias("hi"))
-
-
 def latest_within(questions: DataFrame, facts: DataFrame, width_days: int) -> DataFrame:
     """(id, value): the largest ``value`` of the entity's facts in (at, at + width], null without one.
 
-    With chunks as long as the width, such a range is the rest of one chunk and the head of the next: two
-    maxima along a time line, one of them backwards.
+    With time cut into stretches as long as the width, such a range is the rest of one and the head of the next: two
+    running maxima, one of them backwards.
     """
-    width = width_days * _DAY
-    chunk = F.floor(F.col("at") / width)
-    f = facts.select("entity", "at", "value", F.lit(None).cast(dict(questions.dtypes)["id"]).alias("id"), F.lit(0).alias("kind"))
-    q = questions.select("entity", "at", F.lit(None).cast(dict(facts.dtypes)["value"]).alias("value"), "id", F.lit(1).alias("kind"))
+    width, keys = width_days * _DAY, ["entity", "stretch", "back"]
+    stretch = F.floor(F.col("at") / width)
+    f = facts.groupBy("entity", "at").agg(F.max("value").alias("value")).withColumn("kind", F.lit(0))
+    q = questions.select("entity", "at", "id", F.lit(1).alias("kind"))
     ahead = q.withColumn("at", F.col("at") + width)
     sides = [
-        f.unionByName(ahead).select("*", chunk.alias("chunk"), F.lit(False).alias("back")),  # facts up to the end count
-        f.unionByName(q).select("entity", (-F.col("at")).alias("at"), "value", "id", (-F.col("kind")).alias("kind"), chunk.alias("chunk"), F.lit(True).alias("back")),
+        f.unionByName(ahead, allowMissingColumns=True).select("*", stretch.alias("stretch"), F.lit(False).alias("back")),  # facts up to the end count
+        f.unionByName(q, allowMissingColumns=True).select("entity", (-F.col("at")).alias("at"), "value", (-F.col("kind")).alias("kind"), "id", stretch.alias("stretch"), F.lit(True).alias("back")),
     ]
-    own = W.partitionBy("entity", "chunk", "back").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
-    seen = reduce(DataFrame.unionByName, sides).withColumn("best", F.max("value").over(own)).where("kind <> 0")
+    hot = hot_keys(facts.unionByName(questions, allowMissingColumns=True).select("entity", stretch.alias("stretch")), ["entity", "stretch"])
+    hot = [Row(**r.asDict(), back=b) for r in hot for b in (False, True)][:MOST_HOT]
+    seen = running(reduce(DataFrame.unionByName, sides), keys, ["at", "kind", "id"], {"best": (F.max, F.col("value"))}, hot=hot).where("kind <> 0")
     return seen.groupBy("id").agg(F.max("best").alias("value"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import enrich, fingerprint, intervals, lookback, split
-from ..operators.fingerprint import union_all
 from ..sources import tables
 from ..sources.adapter import PLANNED_CODES, REFERENCE_END, TEST_START, Roles, instant
 from . import registry
@@ -47,7 +46,7 @@ class Plans(registry.Plans):
 
     @cached_property
     def counts(self) -> DataFrame:
-        return lookback.counts(self.index, union_all(list(self.spans.values())))
+        return lookback.counts(self.index, list(self.spans.values()))
 
     @cached_property
     def gold(self) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import package
 from ..sources.adapter import SQL, Roles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,13 +43,7 @@ class Plans(Roles):
     """
 
     def shared_path(self, name: str) -> str:
-        base = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not base:  # a local session without a shared folder
-            if self.spark.sparkContext.master.partition("[")[0] != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            base = "file://" + tempfile.mkdtemp(prefix="epochal-")
-            self.spark.conf.set("spark.checkpoint.dir", base)
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        return package.shared_path(self.spark, name)
 
     def landed(self, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)

@@ -1,8 +1,9 @@
-"""Sends this package to the executors."""
+"""Sends this package to the executors, and names folders that they share with the driver."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -24,3 +25,14 @@ def ship_package(spark: SparkSession) -> None:
             z.write(path, path.relative_to(root.parent))
     sc.addPyFile(str(archive))
     sc._epochal_shipped = True
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below ``spark.checkpoint.dir``; only a local session without that setting gets a folder of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="epochal-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
