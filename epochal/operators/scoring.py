@@ -11,11 +11,26 @@ from .intervals import WINDOW_DAYS, days
 LABEL_SIDE = ("is_readmitted", "label_horizon")
 
 
+def window_days(dates: DataFrame, back: int, until: int = 0) -> DataFrame:
+    """(..., day): one row for each day from ``d - back`` to ``d - until`` of each date's window."""
+    return dates.withColumn("day", F.explode(F.sequence(F.date_sub("d", back), F.date_sub("d", until))))
+
+
+def in_windows(rows: DataFrame, at: str, dates: DataFrame, back: int, until: int = 0) -> DataFrame:
+    """``rows`` once for each date whose window, whole days from ``d - back`` to ``d - until``, holds their instant ``at``.
+
+    Windows of any distance and overlap are days that a row's own day equals, so no row is compared with a date that
+    it isn't in. Dates are a calendar, hence broadcast.
+    """
+    days = window_days(dates, back, until).withColumnRenamed("day", "_day")
+    return rows.join(F.broadcast(days), F.to_date(at) == F.col("_day")).drop("_day")
+
+
 def windows(dates: DataFrame, rows: DataFrame, window_days: int, reference_end: Column, outcome_days: int = WINDOW_DAYS) -> DataFrame:
     """(d, start, stop, observable, n_rows): each date's scoring window [start, stop), whether the outcomes of all that stop in
-    it have been observed by the reference end, and how many rows stop in it. Dates are few, so they are broadcast."""
+    it have been observed by the reference end, and how many rows stop in it."""
     at = dates.select("d", F.date_sub("d", window_days - 1).cast("timestamp_ntz").alias("start"), F.date_add("d", 1).cast("timestamp_ntz").alias("stop"))
-    hits = rows.select("index_stop").join(F.broadcast(at), (F.col("index_stop") >= F.col("start")) & (F.col("index_stop") < F.col("stop"))).groupBy("d").agg(F.count("*").alias("n_rows"))
+    hits = in_windows(rows.select("index_stop"), "index_stop", dates.select("d"), window_days - 1).groupBy("d").agg(F.count("*").alias("n_rows"))
     seen = (F.col("stop") <= reference_end - days(outcome_days)).alias("observable")
     return at.join(hits, "d", "left").select("d", "start", "stop", seen, F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 

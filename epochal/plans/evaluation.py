@@ -138,9 +138,18 @@ FROM (SELECT quantile_cont(auc, 0.025) AS a, quantile_cont(oe, 0.025) AS l, quan
 )
 
 
-query("category_encode", """SELECT encounter_id, CASE WHEN k IS NULL THEN '__infrequent__' ELSE coalesce(provider_specialty, 'MISSING') END AS provider_specialty FROM tst
-LEFT JOIN (SELECT coalesce(provider_specialty, 'MISSING') AS k FROM spl WHERE partition = 'train' GROUP BY 1 HAVING count(*) >= 20) ON k = coalesce(provider_specialty, 'MISSING')""")(
-    lambda p: models.encode_category(enrich.prepare_features(p.train), enrich.prepare_features(p.test), "provider_specialty").select("encounter_id", "provider_specialty")
+_ENCODED = ("provider_specialty", "gender", "admission_reason_code")
+
+
+def _encode_sql(c: str) -> str:
+    """A frequent value of train stays, others are the rare one if train has one."""
+    counts = f"(SELECT coalesce({c}, 'MISSING') AS k, count(*) AS n FROM spl WHERE partition = 'train' GROUP BY 1)"
+    return f"""CASE WHEN coalesce({c}, 'MISSING') IN (SELECT k FROM {counts} WHERE n >= 20) THEN coalesce({c}, 'MISSING')
+WHEN (SELECT count_if(n < 20) FROM {counts}) > 0 THEN '__infrequent__' END AS {c}"""
+
+
+query("category_encode", f"SELECT encounter_id, {', '.join(map(_encode_sql, _ENCODED))} FROM tst")(
+    lambda p: models.encode_categories(enrich.prepare_features(p.train), enrich.prepare_features(p.test), _ENCODED).select("encounter_id", *_ENCODED)
 )
 query("prep_linear", """SELECT encounter_id, round((ln(1 + prior_encounter_count) - m) / CASE WHEN s > 0 THEN s ELSE 1 END, 6) AS prior_encounter_count, round((age_at_index_years - ma) / CASE WHEN sa > 0 THEN sa ELSE 1 END, 6) AS age_at_index_years
 FROM tst, (SELECT avg(ln(1 + prior_encounter_count)) AS m, stddev_pop(ln(1 + prior_encounter_count)) AS s, avg(age_at_index_years) AS ma, stddev_pop(age_at_index_years) AS sa FROM spl WHERE partition = 'train')""")(

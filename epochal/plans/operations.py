@@ -35,12 +35,12 @@ class Plans(registry.Plans):
 
     @cached_property
     def predictions(self) -> DataFrame:
-        """Test rows ranked within each run date's window; the short grid meets the rows by a range join."""
-        g = F.broadcast(self.grid)  # a calendar of run dates
-        at = F.col("d").cast("timestamp_ntz")
-        inside = (F.col("index_stop") >= at - F.expr(f"INTERVAL {WINDOW - 1} DAYS")) & (F.col("index_stop") < at + F.expr("INTERVAL 1 DAY"))
+        """Test rows, without what is only known later, ranked within each run date's window; a window that can't be judged stops the query."""
+        stop = scoring.require_observable(F.date_add("d", 1).cast("timestamp_ntz"), F.lit(REFERENCE_END).cast("timestamp_ntz"))
+        dates = self.grid.withColumn("d", F.date_sub(F.to_date(stop), 1))
+        inputs = scoring.require_label_free(scoring.label_free(self.test))
         rank = F.row_number().over(W.partitionBy("d").orderBy(F.desc("p"), "encounter_id"))
-        ranked = self.test.join(g, inside).select(
+        ranked = scoring.in_windows(inputs, "index_stop", dates, WINDOW - 1).select(
             F.col("d").alias("as_of_date"), rank.alias("rank"), (rank <= TOP_N).alias("is_top_n"), "patient_id", "encounter_id", F.col("index_stop").alias("discharge_time"),
             "admission_reason_code", "admission_reason_description", F.lit("unplanned_30d").alias("label_definition"), F.lit("gold-1").alias("gold_fingerprint"),
             F.lit(DEFINITIONS[0]).alias("gold_fingerprint_definition"), F.lit("2001-06-30").cast("date").alias("gold_reference_date"), F.lit("model-1").alias("model_run_id"), F.lit("score").alias("model_name"), F.col("p").alias("risk_score"), F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"),
@@ -99,8 +99,8 @@ class Plans(registry.Plans):
         rows = scoring.with_labels(rows, labels, "encounter_id", "is_readmitted")
         end = F.date_add("d", 1)
         at = lambda n: F.date_sub(end, n).cast("timestamp_ntz")
-        g = F.broadcast(self.grid.select("d"))
-        hit = g.join(rows, (F.col("discharge_time") >= at(121)) & (F.col("discharge_time") < at(30)))
+        rows = rows.select("discharge_time", "risk_score", "is_readmitted", "label_horizon")
+        hit = self.landed("hits", lambda: scoring.in_windows(rows, "discharge_time", self.grid.select("d"), 120, 30).drop("discharge_time"))
         stats = hit.groupBy("d").agg(
             F.count("*").alias("n_matured"),
             F.sum("is_readmitted").alias("observed"),
@@ -198,7 +198,7 @@ def observed_summary(p):
 
 query("preflight", """SELECT d, count(encounter_id)::BIGINT AS n, count_if(partition = 'train')::BIGINT AS n_train, CASE WHEN count(encounter_id) = 0 THEN 'empty' WHEN count_if(partition NOT IN ('train', 'test')) > 0 THEN 'unassigned' WHEN count_if(partition = 'train') > 0 THEN 'train' ELSE 'ok' END AS state
 FROM grid LEFT JOIN spl ON index_stop >= d::TIMESTAMP - INTERVAL 6 DAY AND index_stop < d::TIMESTAMP + INTERVAL 1 DAY GROUP BY d""")(
-    lambda p: p.split.join(F.broadcast(p.grid), (F.col("index_stop") >= F.date_sub("d", WINDOW - 1).cast("timestamp_ntz")) & (F.col("index_stop") < F.date_add("d", 1).cast("timestamp_ntz")))
+    lambda p: scoring.in_windows(p.split.select("index_stop", "partition"), "index_stop", p.grid.select("d"), WINDOW - 1)
     .groupBy("d").agg(F.count("*").alias("n"), F.count_if(F.col("partition") == "train").alias("n_train"), F.count_if(~F.col("partition").isin("train", "test")).alias("u"))
     .join(p.grid.select("d"), "d", "right")
     .select("d", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_train", F.lit(0)).alias("n_train"), F.when(F.col("n").isNull(), "empty").when(F.col("u") > 0, "unassigned").when(F.col("n_train") > 0, "train").otherwise("ok").alias("state"))
@@ -236,16 +236,10 @@ def publish_predictions(p, rows: DataFrame) -> DataFrame:
     return p.spark.read.schema(staged.schema).parquet(path)
 
 
-@query("wap_predictions", "SELECT as_of_date, count(*)::BIGINT AS n FROM prd WHERE as_of_date = DATE '2000-05-01' GROUP BY 1")
-def wap_predictions(p):
-    """All dates are staged, audited and published; the SQL holds this one date, wap_predictions_dates all."""
-    served = publish_predictions(p, p.predictions).where("as_of_date = date'2000-05-01'")
-    return served.groupBy("as_of_date").agg(F.count("*").alias("n"))
-
-
-query("wap_predictions_dates", "SELECT as_of_date, count(*)::BIGINT AS n FROM prd GROUP BY 1")(
-    lambda p: publish_predictions(p, p.predictions).groupBy("as_of_date").agg(F.count("*").alias("n"))
-)
+for _name in ("wap_predictions", "wap_predictions_dates"):  # all dates are staged, audited and published
+    query(_name, "SELECT as_of_date, count(*)::BIGINT AS n FROM prd GROUP BY 1")(
+        lambda p: publish_predictions(p, p.predictions).groupBy("as_of_date").agg(F.count("*").alias("n"))
+    )
 
 
 @query("wap_gold", "SELECT count(*)::BIGINT AS n_rows, sum(is_readmitted)::BIGINT AS n_positive, 1::BIGINT AS n_versions FROM gold")
@@ -467,11 +461,15 @@ def mutations(p) -> dict[str, tuple[DataFrame, DataFrame]]:
     # changes of rows or labels, with metadata that has counted them
     suite("gold-sized", p.gold, ["encounter_id"], sized, {"GOLD-06": {"is_readmitted": 2}}, {"GOLD-04": twice, "GOLD-07": lambda rows, one: rows.join(F.broadcast(known), "encounter_id", "left_anti")})
 
-    dated = p.predictions.where("as_of_date = date'2000-05-01'")  # one date is enough to fire a rule
-    judge = lambda rows: assertions.run(rows.withColumn("prev", F.lag("risk_score").over(W.orderBy("rank"))), prediction_rules() | {"PRED-07": bad(c("prev").isNull() | (c("risk_score") <= c("prev")))})
-    suite("predictions", dated, ["rank"], judge, {"PRED-02": {"rank": 0}, "PRED-04": {"risk_score": 2.0}, "PRED-05": {"is_top_n": False}, "PRED-06": {"model_bundle_id": "other"},
+    def judge(rows: DataFrame) -> DataFrame:
+        """A rule passes if it does on every date, and there is one."""
+        one = prediction_verdicts(rows).groupBy("rule").agg(F.sum("n_bad").alias("n_bad"), F.bool_and("passed").alias("passed"))
+        empty = assertions.run(rows, {"PRED-01": F.when(F.count("*") == 0, 1).otherwise(0)})
+        return one.where("rule <> 'PRED-01'").unionByName(empty)
+
+    suite("predictions", p.predictions, ["as_of_date", "rank"], judge, {"PRED-02": {"rank": 0}, "PRED-04": {"risk_score": 2.0}, "PRED-05": {"is_top_n": False}, "PRED-06": {"model_bundle_id": "other"},
           "PRED-07": {"risk_score": 0.0}, "PRED-08": {"partition": "train"}, "PRED-09": {"discharge_time": F.lit("1999-01-01").cast("timestamp_ntz")}, "PRED-10": {"scoring_run_id": "other"}, "PRED-11": {"gold_fingerprint_definition": "unknown"}},
-          {"PRED-01": lambda rows, one: rows.limit(0), "PRED-03": lambda rows, one: rows.withColumn("encounter_id", F.when(c("rank") == 2, F.first("encounter_id").over(W.orderBy("rank"))).otherwise(c("encounter_id")))})
+          {"PRED-01": lambda rows, one: rows.limit(0), "PRED-03": lambda rows, one: rows.withColumn("encounter_id", F.when(c("rank") == 2, F.first("encounter_id").over(W.partitionBy("as_of_date").orderBy("rank"))).otherwise(c("encounter_id")))})
 
     suite("runs", p.runs.where("status = 'succeeded'"), ["scoring_run_id"], lambda rows: assertions.run(rows, run_rules()), {"RUNS-02": {"status": "other", "error_message": "x"}, "RUNS-03": {"finished_at": c("started_at") - F.expr("INTERVAL 1 HOUR")},
           "RUNS-04": {"n_predictions": 0}, "RUNS-05": {"status": "failed"}, "RUNS-06": {"status": "failed", "error_message": "x", "predictions_tests_passed": False}, "RUNS-07": {"status": "refused", "error_message": "x"}}, {"RUNS-01": twice})

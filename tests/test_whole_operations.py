@@ -38,3 +38,38 @@ def test_population_checks_are_whole(p):
     got = {r["check_name"]: r["status"] for r in operations.population_checks_all(p).collect()}
     assert {"ids", "posthumous", "power", "label", "structure", "latest", "horizon", "disjoint"} <= set(got)
     assert got["disjoint"] == got["horizon"] == "PASS"
+
+
+@pytest.mark.parametrize("name", ["predictions", "preflight", "run_window", "cohort_eval"])
+def test_windows_are_joined_by_day(p, monkeypatch, capsys, name):
+    """No row is compared with dates that it isn't in: neither of the plans has a nested loop."""
+    from epochal.plans import QUERIES
+
+    joined, plans, land = ("predictions", "hits", "cohorts"), [], registry.Plans.landed
+
+    def spy(self, table, frame):
+        if table in joined:
+            plans.append(frame())
+        return land(self, table, frame)
+
+    monkeypatch.setattr(registry, "_LANDED", {k: v for k, v in registry._LANDED.items() if k[2] not in joined})
+    monkeypatch.setattr(registry.Plans, "landed", spy)
+    for frame in (QUERIES[name](p.spark, SMALL), *plans):
+        frame.explain()
+    shown = capsys.readouterr().out
+    assert "BroadcastHashJoin" in shown
+    assert all("Cross" in line for line in shown.splitlines() if "NestedLoop" in line)  # the one row of score ranges that the ranked metrics use
+
+
+def test_days_of_windows(spark):
+    """Windows that overlap, touch, or leave days out; instants at midnight and just before."""
+    from datetime import date, datetime, timedelta
+
+    from epochal.operators import scoring
+
+    dates = [date(2000, 3, 1), date(2000, 3, 3), date(2000, 3, 20)]
+    rows = [(i, datetime(2000, 2, 20) + timedelta(hours=7 * i)) for i in range(120)] + [(500, datetime(2000, 3, 2)), (501, datetime(2000, 3, 1, 23, 59, 59)), (502, None)]
+    frame = spark.createDataFrame(rows, "id long, at timestamp_ntz")
+    for back, until in ((6, 0), (0, 0), (9, 4)):
+        got = {(r["id"], r["d"]) for r in scoring.in_windows(frame, "at", spark.createDataFrame([(d,) for d in dates], "d date"), back, until).collect()}
+        assert got == {(i, d) for i, t in rows for d in dates if t and d - timedelta(days=back) <= t.date() <= d - timedelta(days=until)}
