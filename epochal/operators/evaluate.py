@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -165,23 +164,35 @@ def _long(rows: DataFrame, y: str, arms: list[str], entity: str) -> DataFrame:
     return rows.select(F.col(y).cast("double").alias("y"), e1.alias("e1"), e2.alias("e2"), kinds.alias("x")).select("x.arm", "x.p", "y", "e1", "e2")
 
 
-def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int) -> DataFrame:
-    """(b, arm, auc, brier, oe, gap): every arm on the same entity resamples; auc is null where one class is missing.
+def block_rows(rows: DataFrame, y: str, arms: list[str], entity: str) -> DataFrame:
+    """(arm, p, y, e1, e2, block, tied, part): a row of each arm, dealt into blocks of neighbouring scores.
 
-    An entity's weight in a resample is Poisson(1), the limit of drawing with replacement: it follows from a hash
-    of the two, so no draws are stored or joined. Rows lie in blocks of neighbouring scores. A block gives, for each
-    resample, its weighted sums and the pairs it orders by itself; sums over blocks give the rest.
+    All rows of a score are in one block of at most twice ``BLOCK_ROWS`` rows. A score with more rows than that is
+    ``tied``: it comes after the others of its block, and its rows lie in several parts.
     """
-    ship_package(rows.sparkSession)
     long = _long(rows, y, arms, entity)
     places = ranked(long, "p", {"n": F.count("*")}, ("arm",)).select("arm", "p", "n", F.floor(F.col("below_n") / BLOCK_ROWS).alias("block"), (F.col("n") > BLOCK_ROWS).alias("tied"))
     part = F.when(F.col("tied"), F.pmod(F.xxhash64("e1", "e2"), F.ceil(F.col("n") / BLOCK_ROWS))).otherwise(0)
-    blocks = long.join(places, ["arm", "p"]).select("arm", "p", "y", "e1", "e2", "block", "tied", part.alias("part"))
+    return long.join(places, ["arm", "p"]).select("arm", "p", "y", "e1", "e2", "block", "tied", part.alias("part"))
+
+
+def _words(frame: pd.DataFrame) -> list[np.ndarray]:
+    return [frame[c].to_numpy().astype(np.uint32) for c in ("e1", "e2")]
+
+
+def block_sums(blocks: DataFrame, resamples: int) -> DataFrame:
+    """(arm, b, block, tied, p, pos, neg, within, wp, wsq): weighted sums of a block in each resample.
+
+    ``within`` counts the pairs that the block orders by itself; ``p`` is its lowest score. An entity's weight in a
+    resample is Poisson(1), the limit of drawing with replacement: it follows from a hash of the two, so no draws
+    are stored or joined.
+    """
+    ship_package(blocks.sparkSession)
 
     def sums(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("p", kind="stable")
         p, y = frame["p"].to_numpy(), frame["y"].to_numpy()
-        e1, e2 = (frame[c].to_numpy().astype(np.uint32) for c in ("e1", "e2"))
+        e1, e2 = _words(frame)
         first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))  # of each distinct score
         found = []
         for start in range(0, resamples, 256):
@@ -191,15 +202,20 @@ def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples:
             within = (pos * (np.cumsum(neg, axis=0) - neg / 2)).sum(axis=0)
             found.append(np.column_stack([b, pos.sum(axis=0), neg.sum(axis=0), within, p @ w, ((p - y) ** 2) @ w]))
         out = pd.DataFrame(np.vstack(found), columns=["b", "pos", "neg", "within", "wp", "wsq"]).astype({"b": "int64"})
-        return out.assign(arm=frame["arm"].iloc[0], block=frame["block"].iloc[0], tied=frame["tied"].iloc[0])
+        return out.assign(p=p[0], arm=frame["arm"].iloc[0], block=frame["block"].iloc[0], tied=frame["tied"].iloc[0])
 
-    kinds = "b long, pos double, neg double, within double, wp double, wsq double, arm string, block long, tied boolean"
+    kinds = "b long, pos double, neg double, within double, wp double, wsq double, p double, arm string, block long, tied boolean"
     g = blocks.groupBy("arm", "block", "tied", "part").applyInPandas(sums, kinds)
-    g = g.groupBy("arm", "b", "block", "tied").agg(*(F.sum(c).alias(c) for c in ("pos", "neg", "within", "wp", "wsq")))
+    totals = [F.sum(c).alias(c) for c in ("pos", "neg", "within", "wp", "wsq")]
+    return g.groupBy("arm", "b", "block", "tied").agg(F.min("p").alias("p"), *totals)
+
+
+def resampled_metrics(sums: DataFrame) -> DataFrame:
+    """(b, arm, auc, brier, oe, gap) from :func:`block_sums`; auc is null where one class is missing."""
     before = W.partitionBy("arm", "b").orderBy("block", "tied").rowsBetween(W.unboundedPreceding, -1)
     pairs = F.when(F.col("tied"), F.col("pos") * F.col("neg") / 2).otherwise(F.col("within")) + F.col("pos") * F.coalesce(F.col("below"), F.lit(0.0))
     n, both = F.sum(F.col("pos") + F.col("neg")), F.sum("pos") * F.sum("neg")
-    return g.withColumn("below", F.sum("neg").over(before)).groupBy("b", "arm").agg(
+    return sums.withColumn("below", F.sum("neg").over(before)).groupBy("b", "arm").agg(
         F.when(both > 0, F.sum(pairs) / both).alias("auc"),
         F.try_divide(F.sum("wsq"), n).alias("brier"),
         F.try_divide(F.sum("pos"), F.sum("wp")).alias("oe"),
@@ -207,33 +223,85 @@ def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples:
     )
 
 
+def bootstrap(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int) -> DataFrame:
+    """(b, arm, auc, brier, oe, gap): every arm on the same entity resamples (see :func:`block_sums`)."""
+    return resampled_metrics(block_sums(block_rows(rows, y, arms, entity), resamples))
+
+
+def _quantile_places(sums: DataFrame, bins: int) -> DataFrame:
+    """Where the quantiles i / bins of each resample lie: the block, and the place among its weighted rows.
+
+    Two rows for each arm, resample and i: the places on both sides of the quantile (``upper``). With them come what
+    lies below the block: its weighted count is taken off the place, its excess of scores over labels is ``below_d``.
+    """
+    own = W.partitionBy("arm", "b")
+    before = own.orderBy("block", "tied").rowsBetween(W.unboundedPreceding, -1)
+    g = sums.select("arm", "b", "block", "tied", "p", (F.col("pos") + F.col("neg")).cast("long").alias("n"), (F.col("wp") - F.col("pos")).alias("d"))
+    g = g.withColumns({f"below_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("n", "d")} | {f"total_{c}": F.sum(c).over(own) for c in ("n", "d")})
+    place = lambda i: (F.col("total_n") - 1) * i / bins
+
+    def side(rounded, upper: bool) -> Column:
+        one = lambda i: F.struct(i.alias("i"), F.lit(upper).alias("upper"), rounded(place(i)).alias("k"), (place(i) - F.floor(place(i))).alias("share"))
+        return F.transform(F.sequence(F.lit(0), F.lit(bins)), one)
+
+    here = F.filter(F.concat(side(F.floor, False), side(F.ceil, True)), lambda x: (F.col("below_n") <= x["k"]) & (x["k"] < F.col("below_n") + F.col("n")))
+    found = g.where("n > 0").withColumn("x", F.explode(here))
+    return found.select("arm", "b", "block", "tied", "p", "d", "below_d", "total_n", "total_d", "x.i", "x.upper", "x.share", (F.col("x.k") - F.col("below_n")).alias("k"))
+
+
+def resampled_ece(blocks: DataFrame, sums: DataFrame, bins: int = 10) -> DataFrame:
+    """(b, arm, ece) over each resample's own quantile bins; a resample without any weight has no row.
+
+    A bin's part is a difference of sums of (score - label) below its two edges. An edge lies in one block, or between
+    two neighbours: sums of whole blocks give what is below it, and only blocks that hold an edge of some resample are
+    opened again. Their number, as that of the places looked up, is bounded by arms, resamples and bins, not by rows.
+    """
+    ship_package(blocks.sparkSession)
+    places = _quantile_places(sums, bins)
+    opened = F.broadcast(places.where("not tied").select("arm", "block").distinct())
+
+    def look_up(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        """Scores at the wanted places of a block, and the sums of its rows below (``lt``) and up to (``le``) them."""
+        rows = rows.sort_values("p", kind="stable")
+        p, y = rows["p"].to_numpy(), rows["y"].to_numpy()
+        e1, e2 = _words(rows)
+        wanted = wanted.sort_values("b", kind="stable")
+        numbers, starts = np.unique(wanted["b"].to_numpy(), return_index=True)
+        groups = np.split(wanted["k"].to_numpy(), starts[1:])
+        found = []
+        for start in range(0, len(numbers), 256):
+            w = poisson_weights(e1, e2, numbers[start : start + 256].astype(np.uint32))
+            reached = np.cumsum(w, axis=0)
+            excess = np.vstack([np.zeros(w.shape[1]), np.cumsum(w * (p - y)[:, None], axis=0)])
+            for j, places_of_one in enumerate(groups[start : start + 256]):
+                value = p[np.searchsorted(reached[:, j], places_of_one, side="right")]
+                low, high = (np.searchsorted(p, value, side=s) for s in ("left", "right"))
+                found.append(np.column_stack([value, excess[low, j], excess[high, j]]))
+        value, lt, le = np.vstack(found).T
+        names = ["arm", "b", "i", "upper", "share", "total_n", "total_d"]
+        return wanted[names].assign(value=value, lt=lt + wanted["below_d"].to_numpy(), le=le + wanted["below_d"].to_numpy())
+
+    kinds = "arm string, b long, i int, upper boolean, share double, total_n long, total_d double, value double, lt double, le double"
+    rows = blocks.where("not tied").join(opened, ["arm", "block"], "left_semi")
+    by = lambda f: f.groupBy("arm", "block")
+    inside = by(rows).cogroup(by(places.where("not tied"))).applyInPandas(lambda r, x: look_up(r, x) if len(x) else pd.DataFrame(columns=[c.split()[0] for c in kinds.split(", ")]), kinds)
+    ties = places.where("tied").select("arm", "b", "i", "upper", "share", "total_n", "total_d", F.col("p").alias("value"), F.col("below_d").alias("lt"), (F.col("below_d") + F.col("d")).alias("le"))
+
+    at = lambda c, upper: F.max(F.when(F.col("upper") == upper, F.col(c)))
+    one = inside.unionByName(ties).groupBy("arm", "b", "i", "total_n", "total_d", "share").agg(at("value", False).alias("low"), at("value", True).alias("high"), at("lt", False).alias("lt"), at("le", False).alias("le"))
+    one = one.withColumn("edge", F.col("low") + (F.col("high") - F.col("low")) * F.col("share"))
+    one = one.withColumn("cut", F.when(F.col("edge") > F.col("low"), F.col("le")).otherwise(F.col("lt")))  # no row weighs anything between low and high
+    g = one.groupBy("b", "arm", "total_n", "total_d").agg(F.min("edge").alias("first"), F.max("edge").alias("last"), F.array_sort(F.collect_list(F.struct("i", "edge", "cut"))).alias("cuts"))  # bins + 1 each
+    inner = F.filter("cuts", lambda x: (x["edge"] > F.col("first")) & (x["edge"] < F.col("last")))  # equal edges make one bin
+    cuts = F.concat(F.transform(inner, lambda x: x["cut"]), F.array("total_d"))
+    off = F.aggregate(cuts, F.struct(F.lit(0.0).alias("at"), F.lit(0.0).alias("off")), lambda a, x: F.struct(x.alias("at"), (a["off"] + F.abs(x - a["at"])).alias("off")), lambda a: a["off"])
+    return g.select("b", "arm", (off / F.col("total_n")).alias("ece"))
+
+
 def bootstrap_ece(rows: DataFrame, y: str, arms: list[str], entity: str, resamples: int, bins: int = 10) -> DataFrame:
     """(b, arm, ece) over each resample's own quantile bins, for the resamples of :func:`bootstrap`."""
-    ship_package(rows.sparkSession)
-
-    def counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Weighted counts of a batch's scores in each resample."""
-        for frame in frames:
-            frame = frame.sort_values(["arm", "p"], kind="stable")
-            e1, e2 = (frame[c].to_numpy().astype(np.uint32) for c in ("e1", "e2"))
-            y, kinds = frame["y"].to_numpy(), frame[["arm", "p"]].drop_duplicates()
-            first = np.flatnonzero(~frame[["arm", "p"]].duplicated().to_numpy())
-            for start in range(0, resamples, 64):
-                b = np.arange(start, min(start + 64, resamples), dtype=np.uint32)
-                w = poisson_weights(e1, e2, b)
-                n, pos = (np.add.reduceat(x, first, axis=0) for x in (w, w * y[:, None].astype(np.int64)))
-                at, k = np.nonzero(n)
-                yield pd.DataFrame({"b": b[k].astype(np.int64), "arm": kinds["arm"].to_numpy()[at], "p": kinds["p"].to_numpy()[at], "n": n[at, k], "pos": pos[at, k]})
-
-    g = _long(rows, y, arms, entity).mapInPandas(counts, "b long, arm string, p double, n long, pos long")
-    g = g.groupBy("b", "arm", "p").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    own = W.partitionBy("b", "arm")
-    below = F.coalesce(F.sum("n").over(own.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    g = g.withColumns({"below_n": below, "total_n": F.sum("n").over(own)})
-    edges = quantile_edges(g, "p", bins, ("b", "arm"))
-    binned = g.join(edges, ["b", "arm"]).groupBy("b", "arm", bin_of(F.col("p"), F.col("edges")).alias("bin"))
-    off = binned.agg(F.abs(F.sum(F.col("n") * F.col("p") - F.col("pos"))).alias("off"), F.sum("n").alias("n"))
-    return off.groupBy("b", "arm").agg((F.sum("off") / F.sum("n")).alias("ece"))
+    blocks = block_rows(rows, y, arms, entity)
+    return resampled_ece(blocks, block_sums(blocks, resamples), bins)
 
 
 def interval(samples: DataFrame, value: Column, alpha: float = 0.05) -> tuple[Column, Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich, evaluate, models, split
 from ..operators.fingerprint import union_all
-from ..sources import tables
+from ..sources import package, tables
 from . import registry
 from .registry import query
 
@@ -28,9 +28,17 @@ class Plans(registry.Plans):
         q = (F.col("encounter_id") * 104729 % 1000 + F.lit(0.5)) / 1000 * 0.11
         return self.landed("arms", lambda: evaluate.reason_lookup(self.train, self.test.withColumn("q", q), "is_readmitted", "admission_reason_code"))
 
+    @cached_property
+    def blocks(self) -> DataFrame:
+        return self.landed("blocks", lambda: evaluate.block_rows(self.arms, "is_readmitted", ["p", "q", "lookup"], "patient_id"))
+
+    @cached_property
+    def sums(self) -> DataFrame:
+        return self.landed("sums", lambda: evaluate.block_sums(self.blocks, RESAMPLES))
+
     @cached_property
     def samples(self) -> DataFrame:
-        return self.landed("samples", lambda: evaluate.bootstrap(self.arms, "is_readmitted", ["p", "q", "lookup"], "patient_id", RESAMPLES))
+        return self.landed("samples", lambda: evaluate.resampled_metrics(self.sums))
 
     @cached_property
     def curve(self) -> DataFrame:
@@ -111,6 +119,24 @@ def bootstrap_ci(p):
     return rounded(s.groupBy("arm").agg(*ends, F.count("auc").alias("n_used")))
 
 
+_ECE = """rcn AS (SELECT b, arm, p, sum(w)::BIGINT AS n, sum(w * (p - y)) AS d FROM lng GROUP BY ALL),
+rcu AS MATERIALIZED (SELECT *, sum(n) OVER w - n AS below, sum(n) OVER (PARTITION BY b, arm) AS total FROM rcn WINDOW w AS (PARTITION BY b, arm ORDER BY p)),
+rqt AS (SELECT b, arm, i, min(CASE WHEN below <= floor(place) AND floor(place) < below + n THEN p END) AS low, min(CASE WHEN below <= ceil(place) AND ceil(place) < below + n THEN p END) AS high,
+max(place - floor(place)) AS share FROM (SELECT b, arm, p, n, below, i, (total - 1) * i / 10 AS place FROM rcu, range(11) r(i)) GROUP BY ALL),
+red AS (SELECT b, arm, list_sort(list_distinct(list(low + (high - low) * share))) AS e FROM rqt GROUP BY ALL),
+ees AS (SELECT b, arm, sum(abs(d)) / sum(n) AS ece FROM (SELECT b, arm, sum(n) AS n, sum(d) AS d
+FROM (SELECT rcu.*, greatest(0, least(len(list_filter(e, lambda x: x <= p)) - 1, len(e) - 2)) AS bin FROM rcu JOIN red USING (b, arm)) GROUP BY b, arm, bin) GROUP BY ALL)"""
+
+
+@query("bootstrap_ece", """SELECT arm, round(quantile_cont(ece, 0.025), 8) AS ece_low, round(quantile_cont(ece, 0.975), 8) AS ece_high, round(avg(ece), 8) AS ece_mean, count(ece) AS n_used
+FROM ees GROUP BY arm""", *_BOOT, _ECE)
+def bootstrap_ece(p):
+    """Intervals of the calibration error, over each resample's own quantile bins."""
+    s = evaluate.resampled_ece(p.blocks, p.sums)
+    low, high = evaluate.interval(s, F.col("ece"))
+    return rounded(s.groupBy("arm").agg(low.alias("ece_low"), high.alias("ece_high"), F.avg("ece").alias("ece_mean"), F.count("ece").alias("n_used")))
+
+
 @query("promotion_gate", """SELECT round(a, 8) AS auc_gain_low, round(b, 8) AS auc_over_lookup_low, round(c, 8) AS brier_loss_high, n_used, CASE WHEN a > 0 AND b > 0 AND c <= 0.05 * (SELECT avg((q - is_readmitted) ** 2) FROM lok) THEN 'PROMOTE' ELSE 'REFUSE' END AS decision
 FROM (SELECT quantile_cont(p.auc - q.auc, 0.025) AS a, quantile_cont(p.auc - l.auc, 0.025) AS b, quantile_cont(p.brier - q.brier, 0.975) AS c, count(p.auc - q.auc) AS n_used
 FROM smp p JOIN smp q ON q.b = p.b AND q.arm = 'q' JOIN smp l ON l.b = p.b AND l.arm = 'lookup' WHERE p.arm = 'p')""", *_BOOT)
@@ -218,8 +244,10 @@ def report(rows: DataFrame, y: str, arms: tuple[str, str], entity: str, base_rat
     points.append(pair.select(F.lit("difference").alias("model"), *((F.col(f"y.{c}") - F.col(f"x.{c}")).alias(c) for c in metrics if c not in ("n", "n_positive", "prevalence"))))
     value = union_all([f.unpivot("model", [c for c in f.columns if c != "model"], "metric", "value") for f in points])
 
-    samples = evaluate.bootstrap(rows, y, list(arms), entity, resamples).where("auc is not null")
-    samples = samples.join(evaluate.bootstrap_ece(rows, y, list(arms), entity, resamples), ["b", "arm"])
+    land = lambda name, frame: tables.write_once(frame, package.shared_path(rows.sparkSession, name))
+    blocks = land("report-blocks", evaluate.block_rows(rows, y, list(arms), entity))
+    sums = land("report-sums", evaluate.block_sums(blocks, resamples))
+    samples = evaluate.resampled_metrics(sums).where("auc is not null").join(evaluate.resampled_ece(blocks, sums), ["b", "arm"])
     samples = samples.select("b", F.col("arm").alias("model"), "auc", "brier", F.col("oe").alias("oe_ratio"), "gap", F.abs("gap").alias("abs_gap"), "ece")
     drawn = samples.unpivot(["b", "model"], ["auc", "brier", "oe_ratio", "gap", "abs_gap", "ece"], "metric", "v")
     paired = drawn.groupBy("b", "metric").pivot("model", list(arms)).agg(F.first("v"))

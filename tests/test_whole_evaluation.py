@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from epochal.operators import evaluate, models
 from epochal.plans import evaluation
@@ -44,7 +45,7 @@ def metrics(y, p):
     return {"auc": area, "brier": np.mean((p - y) ** 2), "oe": y.sum() / p.sum(), "gap": p.mean() - y.mean(), "ece": ece}
 
 
-@pytest.mark.parametrize("block", [4096, 5])
+@pytest.mark.parametrize("block", [4096, 9, 5])
 def test_bootstrap_equals_brute_force(spark, monkeypatch, block):
     """Also where a block holds few rows and ties of one score lie in several tasks."""
     monkeypatch.setattr(evaluate, "BLOCK_ROWS", block)
@@ -102,3 +103,16 @@ def test_boosted_folds(spark):
     fitted = models.fit_boosted(frame, ("x",), ("c",), "label", "fold", rounds=2)
     assert len(fitted) == 5
     assert models.score_boosted(fitted, frame, "id").where("risk_score between 0 and 1").count() == 200
+
+
+def test_places_of_quantiles_are_bounded_by_parameters(spark):
+    """22 places for each resample, whatever the rows; sums by block; and most blocks stay closed."""
+    n, resamples = 60_000, 40
+    score = F.pmod(F.xxhash64("id"), F.lit(10**9)) / 10**9
+    frame = spark.range(n).select("id", (F.col("id") % 9000).alias("e"), (F.col("id") % 7 == 0).cast("int").alias("y"), score.alias("p"))
+    blocks = evaluate.block_rows(frame, "y", ["p"], "e").cache()
+    sums = evaluate.block_sums(blocks, resamples).cache()
+    places = evaluate._quantile_places(sums, 4).cache()
+    assert places.count() == resamples * 10 and sums.count() == resamples * math.ceil(n / evaluate.BLOCK_ROWS)
+    assert places.select("block").distinct().count() < blocks.select("block").distinct().count()
+    assert blocks.groupBy("block").count().agg(F.max("count")).first()[0] <= 2 * evaluate.BLOCK_ROWS
