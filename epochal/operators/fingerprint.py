@@ -49,6 +49,50 @@ def table_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return counts.select(F.explode(named).alias("x"), "n_only_left", "n_only_right").select("x.column_name", "x.n_different", "n_only_left", "n_only_right")
 
 
+def ordered_bits(value: Column) -> Column:
+    """A double's place among all doubles, as a whole number: neighbours differ by 1, both zeros are 0, NaN has none.
+
+    The bits are read from the hexadecimal text, so everything stays an expression.
+    """
+    text = F.format_string("%a", F.abs(value))
+    lead, digits, power = (F.regexp_extract(text, r"^0x([01])\.([0-9a-f]+)p(-?\d+)$", i) for i in (1, 2, 3))
+    field = F.when(lead == "1", power.try_cast("long") + 1023).otherwise(0)
+    size = F.when(text == "Infinity", F.lit(2047 * 2**52)).when(lead != "", field * 2**52 + F.conv(F.rpad(digits, 13, "0"), 16, 10).try_cast("long"))
+    return F.when(value < 0, -size).otherwise(size)
+
+
+def table_verdict(left: DataFrame, right: DataFrame, key: str, allowed_ulp: int = 2) -> DataFrame:
+    """(column_name, n_different, max_ulp, n_beyond, n_only_left, n_only_right, kind): all columns of two tables by key.
+
+    Cells differ where they aren't equal (nulls equal each other, and so do NaNs). Two doubles that differ are
+    ``max_ulp`` representable steps apart at most, and count in ``n_beyond`` if that is more than ``allowed_ulp``; so does
+    every other difference. ``kind`` is ``equal``, ``serialisation`` (only steps that are allowed) or ``content``; rows
+    on one side only make every column's kind ``content``. Columns of one side only are refused, and so are keys that
+    are null or repeated, as their rows can't be told apart.
+    """
+    if set(left.columns) != set(right.columns) or dict(left.dtypes) != dict(right.dtypes):
+        raise ValueError("the tables have different columns or types")
+    refused = F.raise_error(F.lit(f"null or repeated {key}")).cast("int")
+    kinds, columns = dict(left.dtypes), [c for c in left.columns if c != key]
+    pack = lambda f, side: f.groupBy(key).agg(F.first(F.struct(*columns)).alias(side), F.count("*").alias(f"n_{side}"))
+    both = pack(left, "l").join(pack(right, "r"), key, "full")
+    once = F.when(F.col(key).isNull() | (F.coalesce("n_l", F.lit(0)) > 1) | (F.coalesce("n_r", F.lit(0)) > 1), refused).otherwise(1)
+    out = []
+    for c in columns:
+        l, r = F.col("l")[c], F.col("r")[c]
+        off = F.col("n_l").isNotNull() & F.col("n_r").isNotNull() & ~l.eqNullSafe(r)
+        steps = F.lit(None).cast("decimal(20,0)")
+        if kinds[c] == "double":  # the texts of doubles are only made where they differ
+            steps = F.when(off, F.abs(ordered_bits(l).cast("decimal(20,0)") - ordered_bits(r).cast("decimal(20,0)")).cast("decimal(20,0)"))
+        beyond = off & ~F.coalesce(steps <= allowed_ulp, F.lit(False))
+        out.append(F.struct(F.lit(c).alias("column_name"), F.count_if(off).alias("n_different"), F.max(steps).alias("max_ulp"), F.count_if(beyond).alias("n_beyond")))
+    sides = [F.count_if(F.col("n_r").isNull()).alias("n_only_left"), F.count_if(F.col("n_l").isNull()).alias("n_only_right")]
+    counts = both.agg(F.sum(once).alias("_checked"), *sides, F.array(*out).alias("x"))
+    flat = counts.where("_checked >= 0 or _checked is null").select(F.explode("x").alias("x"), "n_only_left", "n_only_right").select("x.*", "n_only_left", "n_only_right")
+    kind = F.when(F.col("n_beyond") + F.col("n_only_left") + F.col("n_only_right") > 0, "content").when(F.col("n_different") > 0, "serialisation").otherwise("equal")
+    return flat.withColumn("kind", kind)
+
+
 def score_parity(left: DataFrame, right: DataFrame, key: str, score: str) -> DataFrame:
     both = left.select(key, F.col(score).alias("a")).join(right.select(key, F.col(score).alias("b")), key, "full")
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("n_missing"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_difference"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .intervals import WINDOW_DAYS, days
+from .timeline import running
 
 
 def chronological_split(gold: DataFrame, test_start: Column, reference_end: Column, window_days: int = WINDOW_DAYS, train_start: Column | None = None) -> DataFrame:
@@ -78,6 +79,58 @@ def grouped_folds(rows: DataFrame, k: int, group: str = "patient_id") -> DataFra
     return rows.withColumn("fold", F.pmod(number, F.lit(k)).cast("int"))
 
 
+def _deal(sizes: list[tuple[int, int]], k: int) -> list[tuple[int, list[int]]]:
+    """(size, counts): how many entities of a size each fold gets if, largest first, each goes to the lightest fold.
+
+    The entities of one size aren't dealt one by one: folds are filled up to the highest level that they suffice for.
+    """
+    loads, dealt = [0] * k, []
+    for n, m in sorted(sizes, reverse=True):
+        filled = lambda level: [max(0, -((w - level) // n)) for w in loads]  # noqa: B023, E731
+        low, high = min(loads), max(loads) + n * m + 1
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if sum(filled(middle)) <= m else (low, middle)
+        counts = filled(low)
+        after = [w + n * c for w, c in zip(loads, counts, strict=True)]
+        for f in sorted(range(k), key=lambda f: (after[f], f))[: m - sum(counts)]:  # noqa: B023
+            counts[f] += 1
+        loads = [w + n * c for w, c in zip(loads, counts, strict=True)]
+        dealt.append((n, counts))
+    return dealt
+
+
+def balanced_folds(rows: DataFrame, k: int, group: str = "patient_id") -> DataFrame:
+    """``rows`` with ``fold``: entities are whole, and folds have about equally many rows.
+
+    Entities are counted by size, and only that histogram (one row for each distinct size, hence under sqrt(2 n) for n rows)
+    is packed. An entity's place among those of its size, by a hash, then gives its fold. Rows without an entity have
+    none. Repeated rows count as rows.
+    """
+    entity = F.col(group)
+    sizes = rows.where(entity.isNotNull()).groupBy(group).agg(F.count("*").alias("_size")).withColumn("_h", F.md5(entity.cast("string").cast("binary")))
+    histogram = [(r["_size"], r["m"]) for r in sizes.groupBy("_size").agg(F.count("*").alias("m")).collect()]  # distinct sizes
+    upto = [(n, [sum(counts[: f + 1]) for f in range(k)]) for n, counts in _deal(histogram, k)]
+    dealt = rows.sparkSession.createDataFrame(upto, "_size long, _upto array<long>")
+    placed = running(sizes, ["_size"], ["_h", group], {"_place": (F.sum, F.lit(1))}, inclusive=False).withColumn("_place", F.coalesce("_place", F.lit(0)))
+    fold = F.size(F.filter("_upto", lambda n: n <= F.col("_place")))
+    return rows.join(placed.join(dealt, "_size").select(group, fold.alias("fold")), group, "left")
+
+
+def require_folds(rows: DataFrame, fold: str, label: str, k: int) -> None:
+    """Refuses folds that aren't 0 to k - 1 for every row, or of which one, or all others, hold one class only."""
+    at = lambda i: F.col(fold) == i
+    inside = F.coalesce(F.col(fold).between(0, k - 1), F.lit(False))
+    counts = [c for i in range(k) for c in (F.count_if(at(i)).alias(f"n{i}"), F.count_if(at(i) & (F.col(label) == 1)).alias(f"pos{i}"))]
+    r = rows.agg(F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("pos"), F.count_if(~inside).alias("outside"), *counts).first()
+    if r["outside"]:
+        raise ValueError(f"{r['outside']} rows are in no fold")
+    for i in range(k):
+        n, pos = r[f"n{i}"], r[f"pos{i}"]
+        if not 0 < pos < n or not 0 < r["pos"] - pos < r["n"] - n:
+            raise ValueError(f"fold {i} has {pos} positive of {n} rows, the others {r['pos'] - pos} of {r['n'] - n}: both need two classes")
+
+
 def held_out_window(split: DataFrame, start: Column, end: Column) -> tuple[DataFrame, DataFrame]:
     """(rows, gate): test rows that stop in [start, end); the gate counts rows that forbid their use."""
     inside = split.where((F.col("index_stop") >= start) & (F.col("index_stop") < end))

@@ -193,29 +193,40 @@ def _prepared(p, linear: bool = True) -> list[DataFrame]:
         x = enrich.prepare_features(rows)
         if linear:
             x = models.standardize(enrich.prepare_features(p.train), x, enrich.NAMES, ("organization_utilization", "age_at_index_years"))
-        y = split.grouped_folds(rows, FOLDS).select("encounter_id", "patient_id", F.col("is_readmitted").cast("double").alias("label"), "fold")
+        y = split.balanced_folds(rows, FOLDS).select("encounter_id", "patient_id", F.col("is_readmitted").cast("double").alias("label"), "fold")
         return x.na.fill(0.0).join(y, "encounter_id")
 
     kind = "linear" if linear else "tree"
     return [p.landed(f"{kind}-{side}", lambda rows=rows: ready(rows)) for side, rows in (("train", p.train), ("test", p.test))]
 
 
+@query("isotonic_calibration", """SELECT encounter_id, round(CASE WHEN a.x IS NULL THEN b.f WHEN b.x IS NULL OR a.x = b.x THEN a.f ELSE a.f + (b.f - a.f) * (p - a.x) / (b.x - a.x) END, 8) AS calibrated
+FROM tst ASOF LEFT JOIN isf a ON tst.p >= a.x ASOF LEFT JOIN isf b ON tst.p <= b.x""",
+"""iso AS MATERIALIZED (SELECT x, k, s, n, sum(s) OVER (ORDER BY k) AS cs, sum(n) OVER (ORDER BY k) AS cn FROM (SELECT p AS x, sum(is_readmitted)::DOUBLE AS s, count(*) AS n, row_number() OVER (ORDER BY p) AS k FROM scr WHERE partition = 'train' GROUP BY p)),
+ism AS (SELECT a.k AS i, b.k, min((b.cs - a.cs + a.s) / (b.cn - a.cn + a.n)) OVER (PARTITION BY a.k ORDER BY b.k DESC) AS m FROM iso a JOIN iso b ON a.k <= b.k),
+isf AS MATERIALIZED (SELECT x, f FROM iso JOIN (SELECT k, max(m) AS f FROM ism GROUP BY k) USING (k))""")
+def isotonic_calibration(p):
+    """Test scores through the non-decreasing function fitted on train."""
+    model = models.fit_isotonic(p.train, "p", "is_readmitted")
+    return rounded(model.transform(p.test.select("encounter_id", "p")).select("encounter_id", "calibrated"))
+
+
 @query("train_lr")
 def train_lr(p):
     train, test = _prepared(p)
     return models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
 
 
-def _boosted(p) -> DataFrame:
+def _boosted(p, method: str = "sigmoid") -> DataFrame:
     """Calibrated scores of the test rows, landed: models of hundreds of rounds are fitted once."""
 
     def scores() -> DataFrame:
         train, test = _prepared(p, linear=False)
         if p.spark.sparkContext.getCheckpointDir() is None:  # rounds cut their lineage there
             p.spark.sparkContext.setCheckpointDir(p.shared_path("boosting"))
-        return models.score_boosted(models.fit_boosted(train, NUMBERS, enrich.CATEGORICAL, "label", "fold", FOLDS, ROUNDS), test, "encounter_id")
+        return models.score_boosted(models.fit_boosted(train, NUMBERS, enrich.CATEGORICAL, "label", "fold", FOLDS, ROUNDS, method=method), test, "encounter_id")
 
-    return p.landed(f"boosted-{FOLDS}-{ROUNDS}", scores)
+    return p.landed(f"boosted-{method}-{FOLDS}-{ROUNDS}", scores)
 
 
 query("train_gbt_cal")(_boosted)

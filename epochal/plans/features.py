@@ -226,6 +226,18 @@ def grouped_folds(p):
     return split.grouped_folds(p.split.where("partition = 'train'"), 5).select("encounter_id", "fold")
 
 
+@query("balanced_folds", """SELECT encounter_id, len(list_filter(range(5), lambda f: list_sum(counts[1:f + 1]) <= r))::INT AS fold FROM (SELECT * FROM spl WHERE partition = 'train') t
+JOIN (SELECT patient_id, n, row_number() OVER (PARTITION BY n ORDER BY md5(patient_id::VARCHAR)) - 1 AS r FROM bsz) USING (patient_id) JOIN (SELECT n, counts FROM bfd WHERE i > 0) USING (n)""",
+"""bsz AS MATERIALIZED (SELECT patient_id, count(*)::BIGINT AS n FROM spl WHERE partition = 'train' GROUP BY 1),
+bhs AS MATERIALIZED (SELECT n, count(*)::BIGINT AS m, row_number() OVER (ORDER BY n DESC) AS i FROM bsz GROUP BY n),
+bfd AS MATERIALIZED (WITH RECURSIVE st AS (SELECT 0::BIGINT AS i, 0::BIGINT AS n, [0, 0, 0, 0, 0]::BIGINT[] AS counts, [0, 0, 0, 0, 0]::BIGINT[] AS loads
+UNION ALL SELECT i, n, c, list_transform(range(5), lambda f: loads[f + 1] + n * c[f + 1]) FROM (SELECT *, list_transform(range(5), lambda f: len(list_filter(e, lambda x: x.f = f))) AS c
+FROM (SELECT h.i, h.n, loads, list_sort(flatten(list_transform(range(5), lambda f: list_transform(range(h.m), lambda j: {'w': loads[f + 1] + j * h.n, 'f': f}))))[1:h.m] AS e FROM st JOIN bhs h ON h.i = st.i + 1)))
+SELECT * FROM st)""")
+def balanced_folds(p):
+    return split.balanced_folds(p.split.where("partition = 'train'"), 5).select("encounter_id", "fold")
+
+
 @query("held_out_window", """SELECT encounter_id, (SELECT count_if(partition = 'train') FROM spl WHERE index_stop >= TIMESTAMP '2000-12-05' AND index_stop < TIMESTAMP '2000-12-12')::BIGINT AS n_train
 FROM spl WHERE partition = 'test' AND index_stop >= TIMESTAMP '2000-12-05' AND index_stop < TIMESTAMP '2000-12-12'""")
 def held_out_window(p):
@@ -250,6 +262,22 @@ def table_diff(p):
     return fingerprint.table_diff(g.where("encounter_id % 3 <> 0"), other, "encounter_id")
 
 
+_VERDICT = """SELECT column_name, n_different, max_ulp, n_beyond, l AS n_only_left, r AS n_only_right,
+CASE WHEN n_beyond + l + r > 0 THEN 'content' WHEN n_different > 0 THEN 'serialisation' ELSE 'equal' END AS kind FROM (
+SELECT 'p' AS column_name, count_if(p <> p2)::BIGINT AS n_different, max(CASE WHEN p <> p2 THEN abs(p2 - p) / pow(2, floor(log2(p)) - 52) END)::BIGINT AS max_ulp, count_if(p <> p2)::BIGINT AS n_beyond FROM vcl
+UNION ALL SELECT 'q', count_if(p <> q2)::BIGINT, max(CASE WHEN p <> q2 THEN abs(q2 - p) / pow(2, floor(log2(p)) - 52) END)::BIGINT, 0::BIGINT FROM vcl
+UNION ALL SELECT 'is_readmitted', 0::BIGINT, NULL, 0::BIGINT), (SELECT 0::BIGINT AS l, 0::BIGINT AS r)"""
+
+
+@query("table_diff_ulp", _VERDICT, """vcl AS (SELECT p, CASE WHEN encounter_id % 70 = 0 THEN p + 1e-9 ELSE p END AS p2, CASE WHEN encounter_id % 5 = 0 THEN p + p * 2.220446049250313e-16 ELSE p END AS q2 FROM scr)""")
+def table_diff_ulp(p):
+    """Scores against a copy with some changed values, and against one whose last bits moved, as a text format may do."""
+    at = lambda n, c: F.when(F.col("encounter_id") % n == 0, c).otherwise(F.col("p"))
+    left = p.scored.select("encounter_id", "p", F.col("p").alias("q"), "is_readmitted")
+    right = p.scored.select("encounter_id", at(70, F.col("p") + 1e-9).alias("p"), at(5, F.col("p") + F.col("p") * 2.220446049250313e-16).alias("q"), "is_readmitted")
+    return fingerprint.table_verdict(left, right, "encounter_id").withColumn("max_ulp", F.col("max_ulp").cast("long"))
+
+
 @query("score_parity", """SELECT count(*)::BIGINT AS n_rows, count_if(encounter_id % 19 = 0)::BIGINT AS n_missing, round(max(CASE WHEN encounter_id % 19 <> 0 THEN abs(r) ELSE 0 END), 9) AS max_difference
 FROM (SELECT encounter_id, round(p, 3) - p AS r FROM scr)""")
 def score_parity(p):
