@@ -13,7 +13,7 @@ from ..functions.poisson import garwood, garwood_interval
 from ..operators import assertions, evaluate, scoring
 from ..operators.enrich import GOLD
 from ..operators.fingerprint import table_diff, union_all
-from ..sources import tables
+from ..sources import publication, tables
 from ..sources.adapter import FIRST_DATE, LAST_DATE, REFERENCE_END, STEP, TEST_START, TOP_N, WINDOW
 from . import registry
 from .evaluation import rounded
@@ -221,19 +221,39 @@ def predictions_partition(p):
 
 @query("run_log_append", "SELECT count(*)::BIGINT AS n, count(DISTINCT scoring_run_id) AS ids FROM runs")
 def run_log_append(p):
+    """Two attempts append their rows, and one of them once more."""
     path = p.shared_path("runs")
-    tables.append_rows(p.runs.where("status = 'failed'"), path)
-    tables.append_rows(p.runs.where("status <> 'failed'"), path)
+    failed, others = p.runs.where("status = 'failed'"), p.runs.where("status <> 'failed'")
+    for attempt, rows in (("failed", failed), ("others", others), ("failed", failed)):
+        publication.append_once(rows, path, attempt)
     return p.spark.read.parquet(path).agg(F.count("*").alias("n"), F.countDistinct("scoring_run_id").alias("ids"))
 
 
+def publish_run(rows: DataFrame, root: str, run_id: str) -> int:
+    """Stage all dates, audit each, publish those that pass every rule together and mark the others; returns the commit."""
+    staged = publication.stage(rows, root, run_id, "as_of_date")
+    return publication.commit(staged, root, prediction_verdicts(staged.rows).groupBy("as_of_date").agg(F.bool_and("passed").alias("passed")))
+
+
 def publish_predictions(p, rows: DataFrame) -> DataFrame:
-    """Stage all dates, audit each, publish those that pass every rule; returns what is served."""
-    staged = tables.write_once(rows, p.shared_path("staged"))
-    good = prediction_verdicts(staged).groupBy("as_of_date").agg(F.bool_and("passed").alias("passed")).where("passed").select("as_of_date")
-    path = p.shared_path("serving")
-    tables.replace_partition(staged.join(good, "as_of_date", "left_semi"), path, "as_of_date")
-    return p.spark.read.schema(staged.schema).parquet(path)
+    """What is served after one run on an empty log."""
+    root = p.shared_path("serving")
+    publish_run(rows, root, "run-1")
+    return publication.served(p.spark, root, rows, "as_of_date")
+
+
+@query("publication_log", """SELECT as_of_date, CASE i % 3 WHEN 1 THEN 'stale' WHEN 2 THEN 'failed' ELSE 'published' END AS state, CASE WHEN i % 3 = 0 THEN 2 WHEN i % 3 = 1 THEN 1 END::BIGINT AS served_commit,
+CASE i % 3 WHEN 2 THEN 0 ELSE count(*) END::BIGINT AS n_rows, CASE i % 3 WHEN 2 THEN NULL ELSE count(*) END::BIGINT AS n_served, CASE WHEN i % 3 <> 2 THEN round(sum(risk_score), 6) END AS total
+FROM prd JOIN grid ON d = as_of_date GROUP BY as_of_date, i""")
+def publication_log(p):
+    """Two runs over all dates: every third date fails in both, every other third in the second only; the first run is tried again."""
+    root, rows, third = p.shared_path("published"), p.predictions, F.datediff("as_of_date", F.lit(FIRST_DATE).cast("date")) / STEP % 3
+    spoiled = lambda bad: rows.withColumn("risk_score", F.when(bad, F.col("risk_score") + 2).otherwise(F.col("risk_score")))
+    for run_id, bad in (("run-1", third == 2), ("run-2", third > 0), ("run-1", third == 2)):
+        publish_run(spoiled(bad), root, run_id)
+    found = publication.served(p.spark, root, rows, "as_of_date").groupBy("as_of_date").agg(F.count("*").alias("n_served"), F.sum("risk_score").alias("total"))
+    dates = publication.state(p.spark, root).select(F.col("date").cast("date").alias("as_of_date"), "state", "served_commit", "n_rows")
+    return rounded(dates.join(found, "as_of_date", "left"), 6)
 
 
 for _name in ("wap_predictions", "wap_predictions_dates"):  # all dates are staged, audited and published
