@@ -7,8 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import enrich, evaluate, models, split
-from ..operators.fingerprint import union_all
+from ..operators import enrich, evaluate, models, parameters, split
+from ..operators.fingerprint import score_parity, union_all
 from ..sources import package, tables
 from . import registry
 from .registry import query
@@ -217,6 +217,39 @@ def train_lr(p):
     return models.score_logistic(models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label"), test, "encounter_id")
 
 
+_OTHERS = ("organization_utilization", "age_at_index_years")
+_NUMBER_ROWS = ", ".join(f"{{'c': '{c}', 'x': {'ln(1 + ' + c + ')' if c in enrich.NAMES else c + '::DOUBLE'}}}" for c in NUMBERS)
+_VALUE_ROWS = ", ".join(f"{{'c': '{c}', 'v': coalesce({c}, 'MISSING')}}" for c in enrich.CATEGORICAL)
+EVIDENCE = f"""sin AS (SELECT encounter_id, partition, is_readmitted AS y, unnest([{_NUMBER_ROWS}], recursive := true) FROM spl WHERE partition IN ('train', 'test')),
+siv AS (SELECT encounter_id, partition, is_readmitted AS y, unnest([{_VALUE_ROWS}], recursive := true) FROM spl WHERE partition IN ('train', 'test')),
+sba AS MATERIALIZED (SELECT ln((sum(y) + 0.5) / (count(*) - sum(y) + 0.5)) AS base FROM (SELECT is_readmitted AS y FROM spl WHERE partition = 'train')),
+snu AS MATERIALIZED (SELECT c, avg(x) AS m, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS s, covar_pop(x, y) / CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS w FROM sin WHERE partition = 'train' GROUP BY c),
+sct AS (SELECT c, v, count(*) AS n, sum(y) AS pos FROM siv WHERE partition = 'train' GROUP BY c, v),
+sca AS MATERIALIZED (SELECT c, CASE WHEN n >= 20 THEN v ELSE '__infrequent__' END AS v, ln((sum(pos) + 0.5) / (sum(n) - sum(pos) + 0.5)) - any_value(base) AS w FROM sct, sba GROUP BY 1, 2),
+szn AS (SELECT encounter_id, sum(coalesce((x - m) / s, 0) * w) AS z FROM sin JOIN snu USING (c) WHERE partition = 'test' GROUP BY 1),
+szc AS (SELECT encounter_id, sum(coalesce(a.w, b.w, 0)) AS z FROM siv LEFT JOIN sca a ON a.c = siv.c AND a.v = siv.v LEFT JOIN sca b ON b.c = siv.c AND b.v = '__infrequent__' WHERE partition = 'test' GROUP BY 1)"""
+
+
+@query("parameter_score", "SELECT encounter_id, round(1 / (1 + exp(-(base + szn.z + szc.z))), 8) AS risk_score FROM szn JOIN szc USING (encounter_id), sba", EVIDENCE)
+def parameter_score(p):
+    """Test rows scored from a stored scorecard of all columns, made of train."""
+    train = enrich.prepare_features(p.train).join(p.train.select("encounter_id", "is_readmitted"), "encounter_id")
+    made = parameters.evidence_parameters(train, "is_readmitted", enrich.NAMES, _OTHERS, enrich.CATEGORICAL)
+    table = tables.write_once(made, p.shared_path("parameters"))
+    return rounded(enrich.prepare_features(p.test).select("encounter_id", parameters.score(table).alias("risk_score")))
+
+
+@query("parameter_parity")
+def parameter_parity(p):
+    """(n_rows, n_missing, max_difference): the fitted logistic model against its own stored parameters, over the test rows."""
+    train, test = _prepared(p)
+    model = models.fit_logistic(train, NUMBERS, enrich.CATEGORICAL, "label")
+    scaled = parameters.scaling(enrich.prepare_features(p.train), enrich.NAMES, _OTHERS)
+    table = tables.write_once(parameters.fitted_parameters(model, scaled, NUMBERS, enrich.CATEGORICAL), p.shared_path("parameters"))
+    stored = enrich.prepare_features(p.test).select("encounter_id", parameters.score(table).alias("risk_score"))
+    return score_parity(models.score_logistic(model, test, "encounter_id"), stored, "encounter_id", "risk_score")
+
+
 def _boosted(p, method: str = "sigmoid") -> DataFrame:
     """Calibrated scores of the test rows, landed: models of hundreds of rounds are fitted once."""
 
