@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .intervals import WINDOW_DAYS, days
 
@@ -35,6 +38,24 @@ def windows(dates: DataFrame, rows: DataFrame, window_days: int, reference_end:
     return at.join(hits, "d", "left").select("d", "start", "stop", seen, F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
+def ranked(rows: DataFrame, by: str, score: str, key: str, land: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` with ``rank``: 1, 2, ... by descending score (nulls last) within ``by``, ties by ``key``.
+
+    Rows are sorted across tasks by (by, score, key), so a group of any size lies in many of them; a row's rank is its
+    place in its task, less the group's first place there, plus the group's rows in earlier tasks. ``land`` must write
+    the frame and read it back, so that places stay what they are.
+    """
+    order = (F.col(by).asc(), F.desc(score), F.col(key).asc())
+    # the id of a row is its task's number above 33 bits, and its place below
+    dealt = land(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()))
+    task = F.shiftright("_place", 33)
+    parts = dealt.groupBy(by, task.alias("_task")).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))  # tasks plus groups, at most
+    earlier = F.coalesce(F.sum("_n").over(W.partitionBy(by).orderBy("_task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(F.col(by).alias("_by"), "_task", "_first", earlier.alias("_earlier"))
+    joined = dealt.join(parts, F.col(by).eqNullSafe(F.col("_by")) & (task == F.col("_task")))
+    return joined.withColumn("rank", (F.col("_place") - F.col("_first") + F.col("_earlier") + 1).cast("int")).drop("_place", *parts.columns)
+
+
 def require_observable(stop: Column, reference_end: Column, outcome_days: int = WINDOW_DAYS) -> Column:
     """``stop``, or an error at run time where a window ends after the observation horizon."""
     message = F.concat(F.lit("window ends past the observation horizon: "), stop.cast("string"))

@@ -8,6 +8,7 @@ from types import SimpleNamespace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
+from pyspark.sql.window import Window as W
 
 from ..functions.poisson import garwood, garwood_interval
 from ..operators import assertions, evaluate, scoring
@@ -39,9 +40,9 @@ class Plans(registry.Plans):
         stop = scoring.require_observable(F.date_add("d", 1).cast("timestamp_ntz"), F.lit(REFERENCE_END).cast("timestamp_ntz"))
         dates = self.grid.withColumn("d", F.date_sub(F.to_date(stop), 1))
         inputs = scoring.require_label_free(scoring.label_free(self.test))
-        rank = F.row_number().over(W.partitionBy("d").orderBy(F.desc("p"), "encounter_id"))
-        ranked = scoring.in_windows(inputs, "index_stop", dates, WINDOW - 1).select(
-            F.col("d").alias("as_of_date"), rank.alias("rank"), (rank <= TOP_N).alias("is_top_n"), "patient_id", "encounter_id", F.col("index_stop").alias("discharge_time"),
+        hits = scoring.in_windows(inputs, "index_stop", dates, WINDOW - 1)
+        ranked = scoring.ranked(hits, "d", "p", "encounter_id", lambda f: self.landed("dealt", lambda: f)).select(
+            F.col("d").alias("as_of_date"), "rank", (F.col("rank") <= TOP_N).alias("is_top_n"), "patient_id", "encounter_id", F.col("index_stop").alias("discharge_time"),
             "admission_reason_code", "admission_reason_description", F.lit("unplanned_30d").alias("label_definition"), F.lit("gold-1").alias("gold_fingerprint"),
             F.lit(DEFINITIONS[0]).alias("gold_fingerprint_definition"), F.lit("2001-06-30").cast("date").alias("gold_reference_date"), F.lit("model-1").alias("model_run_id"), F.lit("score").alias("model_name"), F.col("p").alias("risk_score"), F.when(F.col("i") % 20 == 19, "bundle-2").otherwise("bundle-1").alias("model_bundle_id"),
             F.concat(F.lit("run-"), F.date_format("d", "yyyyMMdd")).alias("scoring_run_id"), F.lit(TOP_N).alias("top_n"), F.lit(WINDOW).alias("scoring_window_days"), "partition",
@@ -298,9 +299,9 @@ def prediction_rules():
 
 def prediction_verdicts(rows: DataFrame) -> DataFrame:
     """(as_of_date, rule, n_bad, passed): PRED-01 to 10 for each date that ``rows`` hold."""
-    prev = F.lag("risk_score").over(W.partitionBy("as_of_date").orderBy("rank"))
-    order = assertions.bad(F.col("prev").isNull() | (F.col("risk_score") <= F.col("prev")))
-    return assertions.run(rows.withColumn("prev", prev), prediction_rules() | {"PRED-07": order}, ("as_of_date",))
+    order = assertions.not_increasing(rows, ("as_of_date",), "rank", "risk_score")
+    order = order.select("as_of_date", F.lit("PRED-07").alias("rule"), "n_bad", (F.col("n_bad") == 0).alias("passed"))
+    return assertions.run(rows, prediction_rules(), ("as_of_date",)).unionByName(order)
 
 
 def run_rules():
