@@ -98,5 +98,20 @@ def score_parity(left: DataFrame, right: DataFrame, key: str, score: str) -> Dat
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("n_missing"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_difference"))
 
 
+def mismatches(found: DataFrame, wanted: DataFrame, by: str, key: str, tolerance: float = 1e-6) -> DataFrame:
+    """(by, n_found, n_wanted, n_missing, n_extra, n_different): two tables' rows by (``by``, ``key``), over the columns of ``wanted``.
+
+    Doubles differ beyond ``tolerance``, all else where it isn't equal (nulls equal each other). A key that is repeated
+    on a side counts as one that differs, or, alone there, as missing or extra; null keys match nothing.
+    """
+    kinds, columns = dict(wanted.dtypes), [c for c in wanted.columns if c not in (by, key)]
+    pack = lambda f, side: f.groupBy(by, key).agg(F.first(F.struct(*columns)).alias(side), F.count("*").alias(f"n_{side}"))
+    both = pack(found, "l").join(pack(wanted, "r"), [by, key], "full")
+    off = [(F.col("l")[c] - F.col("r")[c]).between(-tolerance, tolerance) if kinds[c] == "double" else F.lit(False) for c in columns]
+    wrong = reduce(lambda a, b: a | b, (~(F.col("l")[c].eqNullSafe(F.col("r")[c]) | F.coalesce(near, F.lit(False))) for c, near in zip(columns, off, strict=True)), F.lit(False))
+    l, r = F.coalesce("n_l", F.lit(0)), F.coalesce("n_r", F.lit(0))
+    return both.groupBy(by).agg(F.sum(l).alias("n_found"), F.sum(r).alias("n_wanted"), F.count_if(l == 0).alias("n_missing"), F.count_if(r == 0).alias("n_extra"), F.count_if((l > 0) & (r > 0) & (wrong | (l > 1) | (r > 1))).alias("n_different"))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window as W
 from ..functions.poisson import garwood, garwood_interval
 from ..operators import assertions, evaluate, scoring
 from ..operators.enrich import GOLD
-from ..operators.fingerprint import table_diff, union_all
+from ..operators.fingerprint import mismatches, table_diff, union_all
 from ..sources import publication, tables
 from ..sources.adapter import FIRST_DATE, LAST_DATE, REFERENCE_END, STEP, TEST_START, TOP_N, WINDOW
 from . import registry
@@ -668,6 +668,41 @@ def call_sheet(p) -> DataFrame:
 
 
 query("call_sheet", "SELECT * FROM sht", _SHEET)(call_sheet)
+def landed_sheet(p) -> DataFrame:
+    """The sheet as its reader finds it, written by date: a filter on ``as_of_date`` opens that date's files only."""
+    path, sheet = p.shared_path("sheet"), call_sheet(p)
+    sheet.repartition("as_of_date").write.partitionBy("as_of_date").parquet(path)
+    return p.spark.read.schema(sheet.schema).parquet(path)
+
+
+def recomputed_sheet(p) -> DataFrame:
+    """What the sheet must hold, not made of predictions: stays, their scores and features, and the date by arithmetic."""
+    from ..operators.enrich import stay_days
+
+    since = F.datediff(F.col("stop"), F.lit(FIRST_DATE).cast("date"))
+    date = F.date_add(F.lit(FIRST_DATE).cast("date"), (F.ceil(since / STEP) * STEP).cast("int"))  # the first run date from the stop's day on
+    stays = p.stays.select(F.col("id").alias("encounter_id"), F.col("start"), F.col("stop"), F.col("reason").alias("admission_reason_code"))
+    more = p.test.select("encounter_id", F.col("p").alias("risk_score"), "prior_inpatient_count")
+    rows = stays.join(more, "encounter_id").withColumn("as_of_date", date).where(F.col("as_of_date").between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")) & (F.datediff("as_of_date", "stop") < WINDOW))
+    return rows.select("as_of_date", "encounter_id", F.col("stop").alias("discharge_time"), "admission_reason_code", "risk_score", stay_days(F.col("start"), F.col("stop")).alias("length_of_stay_days"), "prior_inpatient_count")
+
+
+@query("sheet_check", """SELECT as_of_date, count(*)::BIGINT AS n_rows, 0::BIGINT AS n_wrong, count_if(encounter_id % 7 = 0)::BIGINT AS n_planted, count_if(encounter_id % 5 = 0)::BIGINT AS n_lost,
+((SELECT count(*) FROM prd) - count(*))::BIGINT AS n_unfiltered FROM prd GROUP BY 1""")
+def sheet_check(p):
+    """The landed sheet against its recomputation, by date: what is wrong with it, and what is found wrong with copies
+    that have changed scores or lost rows; ``n_unfiltered`` counts the rows of other dates, which a reader without the filter would get."""
+    sheet, wanted = landed_sheet(p), recomputed_sheet(p)
+    planted = sheet.withColumn("risk_score", F.when(F.col("encounter_id") % 7 == 0, F.col("risk_score") + 1e-3).otherwise(F.col("risk_score")))
+    sides = {"n_planted": planted, "n_lost": sheet.where("encounter_id % 5 <> 0")}
+    faults = F.col("n_missing") + F.col("n_extra") + F.col("n_different")
+    out = mismatches(sheet, wanted, "as_of_date", "encounter_id").select("as_of_date", F.col("n_wanted").alias("n_rows"), F.col("n_found").alias("_found"), faults.alias("n_wrong"))
+    for name in ("n_planted", "n_lost"):
+        out = out.join(mismatches(sides[name], wanted, "as_of_date", "encounter_id").select("as_of_date", faults.alias(name)), "as_of_date")
+    total = sheet.agg(F.count("*").alias("_total"))  # one row
+    return out.crossJoin(F.broadcast(total)).withColumn("n_unfiltered", F.col("_total") - F.col("_found")).drop("_total", "_found")
+
+
 query("call_sheet_parity", "SELECT unnest(['rank', 'risk_score']) AS column_name, 0::BIGINT AS n_different, 0::BIGINT AS n_only_left, 0::BIGINT AS n_only_right FROM (SELECT count(*) FROM prd)")(
     lambda p: table_diff(call_sheet(p).select("encounter_id", "rank", "risk_score"), rounded(p.predictions.select("encounter_id", "rank", "risk_score")), "encounter_id")
 )

@@ -73,3 +73,23 @@ def test_days_of_windows(spark):
     for back, until in ((6, 0), (0, 0), (9, 4)):
         got = {(r["id"], r["d"]) for r in scoring.in_windows(frame, "at", spark.createDataFrame([(d,) for d in dates], "d date"), back, until).collect()}
         assert got == {(i, d) for i, t in rows for d in dates if t and d - timedelta(days=back) <= t.date() <= d - timedelta(days=until)}
+
+
+def test_one_date_of_the_sheet_opens_its_own_files(p, capsys):
+    operations.landed_sheet(p).where("as_of_date = date'2000-05-01'").explain()
+    shown = capsys.readouterr().out
+    assert "2000-05-01" in shown.partition("PartitionFilters: ")[2].split("PushedFilters")[0]
+
+
+def test_mismatches(spark):
+    """Equal, near, off, null, missing, extra and repeated rows; tables without rows."""
+    from epochal.operators.fingerprint import mismatches
+
+    kind = "d string, k long, x double, s string"
+    wanted = spark.createDataFrame([("a", 1, 0.5, "u"), ("a", 2, None, None), ("a", 3, 0.5, "u"), ("b", 1, 0.5, "u"), ("b", 2, 0.5, "u"), (None, 1, 0.5, "u")], kind)
+    found = spark.createDataFrame([("a", 1, 0.5 + 1e-9, "u"), ("a", 2, None, None), ("a", 3, None, "u"), ("b", 1, 0.5, None), ("b", 3, 0.5, "u"), ("b", 3, 0.5, "u")], kind)
+    got = {r["d"]: tuple(r)[1:] for r in mismatches(found, wanted, "d", "k").collect()}
+    assert got == {"a": (3, 3, 0, 0, 1), "b": (3, 2, 1, 1, 1), None: (0, 1, 1, 0, 0)}
+    assert mismatches(wanted, wanted.where("false"), "d", "k").agg(F.sum("n_extra")).first()[0] == 6
+    twice = wanted.where("d = 'a'").unionByName(wanted.where("d = 'a'"))
+    assert mismatches(twice, wanted.where("d = 'a'"), "d", "k").first()["n_different"] == 3
