@@ -671,7 +671,7 @@ query("call_sheet", "SELECT * FROM sht", _SHEET)(call_sheet)
 def landed_sheet(p) -> DataFrame:
     """The sheet as its reader finds it, written by date: a filter on ``as_of_date`` opens that date's files only."""
     path, sheet = p.shared_path("sheet"), call_sheet(p)
-    sheet.repartition("as_of_date").write.partitionBy("as_of_date").parquet(path)
+    sheet.hint("rebalance", F.col("as_of_date")).write.partitionBy("as_of_date").parquet(path)
     return p.spark.read.schema(sheet.schema).parquet(path)
 
 

@@ -36,8 +36,8 @@ def stage(frame: DataFrame, root: str, run_id: str, column: str) -> Staged:
     """Write ``frame`` below ``root`` by ``column``; every attempt has a folder of its own. Null dates are refused."""
     path = f"{root}/data/attempt={uuid.uuid4().hex}"
     whole = F.when(F.col(column).isNotNull(), F.col(column)).otherwise(F.raise_error(F.lit(f"null {column}")).cast(dict(frame.dtypes)[column]))
-    # rows of a date lie in one task or a few (adaptive execution splits large ones), so a date has few files
-    frame.withColumn(column, whole).repartition(column).write.partitionBy(column).parquet(path)
+    # a date has few files; the hint, unlike a repartition, lets adaptive execution split a large one over several tasks
+    frame.withColumn(column, whole).hint("rebalance", F.col(column)).write.partitionBy(column).parquet(path)
     return Staged(run_id, column, path, frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns))
 
 
