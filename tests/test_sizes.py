@@ -1,5 +1,8 @@
 """What look-back counts send."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from epochal.operators import timeline
@@ -32,3 +35,35 @@ def test_spans_are_sent_once(spark):
 
 def test_lines_hold_what_roles_take(spark):
     assert registry.Plans(spark, SMALL).lines.columns == list(LINE)
+
+
+def test_a_line_is_sent_once_for_all_its_roles(spark):
+    """Counts of the feature table send lines, stays and questions, each by entity and once."""
+    p = registry.Plans(spark, SMALL)
+    hashed = [x for x in plan(p.counts).splitlines() if "Exchange hashpartitioning(entity" in x]
+    assert len(hashed) == 3, hashed
+
+
+@pytest.mark.parametrize("chunk", [10**6, 20])
+def test_rows_that_stand_for_several_spans(spark, monkeypatch, chunk):
+    """Spans of one row, with several names, codes, conditions, without end, start or length, as plain Python counts them; with and without hot entities."""
+    monkeypatch.setattr(timeline, "CHUNK_ROWS", chunk)
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, 1, 1, 2, 3, 4]), rnd.choice([None, 5, 6, 7]), rnd.choice([None, *range(0, 90, 3)]), rnd.choice([None, -2, 0, 4, 25]), rnd.random() < 0.5) for _ in range(300)]
+    asked = [(i, i % 6, i * 7 % 110) for i in range(160)]
+    facts = spark.createDataFrame(rows, "entity long, code int, lo long, width long, flag boolean")
+    lo, hi, known = F.col("lo"), F.col("lo") + F.col("width"), F.col("code").isNotNull()
+    spans = [
+        timeline.Span(("p", "q"), lo, hi), timeline.Span(("q",), lo + 1, hi, where=F.col("flag")), timeline.Span(("r",), lo, hi, F.col("code"), known),
+        timeline.Span(("s",), lo, hi, F.col("code"), known & F.col("flag")),
+    ]
+    tables = [timeline.Facts(facts, spans), timeline.Facts(facts.where("flag"), spans[:1])]
+    found = timeline.count_covering(spark.createDataFrame(asked, "id long, entity long, at long"), tables, tuple("pqrs"))
+    got = {r["id"]: tuple(r)[1:] for r in found.collect()}
+    for i, e, at in asked:
+        mine = [r for r in rows if r[0] == e and r[2] is not None]
+        holds = lambda r, by=0: r[2] + by <= at and (r[3] is None or at < r[2] + r[3])  # noqa: B023, E731
+        a = sum(holds(r) * (1 + r[4]) for r in mine)
+        b = a + sum(holds(r, 1) for r in mine if r[4])
+        c, d = (len({r[1] for r in mine if holds(r) and r[1] is not None and (r[4] or not f)}) for f in (False, True))
+        assert got[i] == (a, b, c, d), (i, e, at)
