@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,34 @@ def test_a_line_is_sent_once_for_all_its_roles(spark):
     assert len(hashed) == 3, hashed
 
 
+def test_counts_put_only_questions_in_order(spark):
+    """Rows of an entity are sorted by nothing but the entity, and what spans share is sent once."""
+    found = plan(registry.Plans(spark, SMALL).counts).split("MapInArrow")[1]
+    sorts = [x for x in found.split("Exchange")[0].splitlines() if "Sort [" in x]
+    assert len(sorts) == 1 and sorts[0].split("Sort [")[1].count("ASC") == 1, sorts
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 10**6])
+def test_entities_across_batches(monkeypatch, at_once):
+    """Entities that lie in several batches, or several in one, are counted whole."""
+    monkeypatch.setattr(timeline, "ROWS_AT_ONCE", at_once)
+    rnd, rows, want = random.Random(1), [], {}
+    for e in range(40):
+        spans = [(lo, lo + rnd.randrange(1, 30), rnd.choice("abc")) for lo in (rnd.randrange(60) for _ in range(rnd.randrange(9)))]
+        asked = [(100 * e + i, rnd.randrange(90)) for i in range(rnd.randrange(4))]
+        mine = [{"bits": 6, "t0": lo, "t1": hi, "c0": c} for lo, hi, c in spans] + [{"bits": 1, "t0": at, "id": i} for i, at in asked]
+        rnd.shuffle(mine)
+        rows += [r | {"nth": n + 1} for n, r in enumerate(mine)]
+        for i, at in asked:
+            held = [c for lo, hi, c in spans if lo <= at < hi]
+            want[i] = (len(held), len(set(held)))
+    kinds = pa.schema([("bits", pa.int64()), ("t0", pa.int64()), ("t1", pa.int64()), ("c0", pa.string()), ("id", pa.int64()), ("nth", pa.int64())])
+    layout = [[(2, [0], "t0", "t1", None), (4, [1], "t0", "t1", "c0")]]
+    found = list(timeline._answers(iter(pa.Table.from_pylist(rows, kinds).to_batches(max_chunksize=7)), layout, ("n", "codes")))
+    assert {r["id"]: (r["n"], r["codes"]) for b in found for r in b.to_pylist()} == want
+    assert len(found) > 1 or at_once > len(rows)
+
+
 @pytest.mark.parametrize("chunk", [10**6, 20])
 def test_rows_that_stand_for_several_spans(spark, monkeypatch, chunk):
     """Spans of one row, with several names, codes, conditions, without end, start or length, as plain Python counts them; with and without hot entities."""
