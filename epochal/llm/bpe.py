@@ -93,12 +93,15 @@ class Bpe:
         self.suffix, self.vocab = suffix, model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self._tables([m if isinstance(m, list) else m.split(" ") for m in model["merges"]])
-        self._offsets()
+        self._build(model)
         self.words = Memo(self._coded, self.N_WORDS)
         self.words.fixed = {t: array("I", [i]).tobytes() for t, i in self.special.items()}
         self.memo = Memo(self._pieces, self.N_PIECES)
 
+    def _build(self, model: dict) -> None:
+        self._tables([m if isinstance(m, list) else m.split(" ") for m in model["merges"]])
+        self._offsets()
+
     def _symbols(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix):
             body = token[: -len(self.suffix)]
@@ -233,9 +236,26 @@ class Bpe:
 
 
 class LibraryBpe(Bpe):
-    """The same cuts and memos, with each word's merges made by the tokenizers library's own model."""
+    """The same cuts and memos, with each word's merges made by the tokenizers library's own model.
 
-    N_WORDS, N_PIECES = 250_000, 450_000
+    It only encodes, so it has no tables of tokens and pairs.
+    """
+
+    N_WORDS, N_PIECES = 250_000, 600_000
+
+    def _build(self, model: dict) -> None:
+        self.vocab = None
+        before, letters, _ = self.pattern.pattern.partition(r"[\p{L}]+")
+        self.whole_letters = bool(letters) and all(p.startswith("'") for p in before.split("|")[:-1])
+
+    def _words(self, part: str) -> list[str]:
+        """Letters alone are one word, where no earlier alternative of the pattern begins with a letter."""
+        if self.whole_letters and part.isalpha():
+            if part.isascii():
+                return [part.lower()]
+            if _PLAIN.fullmatch(part) and (word := unicodedata.normalize("NFC", part).lower()).isalpha():
+                return ["".join(map(_STAND_IN.__getitem__, word.encode()))]
+        return super()._words(part)
 
     def _coded(self, words: list[str]) -> list[bytes]:
         tokenize = self.library.model.tokenize

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +26,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     store = token_store.write_store(docs, tokenizer_path(), work_dir(spark, "tokens"), end_id=1, vocabulary=49_408)
-    ids = store.read(docs.select(F.col("doc_id").cast("long").alias("doc_id")))
-
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series, width: pd.Series) -> pd.Series:
-        wide = (token_store.as_u4(b, w) for b, w in zip(ids, width, strict=True))
-        return pd.Series([zlib.crc32(b) for b in wide], dtype="int64")
-
+    # digests without Python: a second worker beside the reading one would come to hold an encoder of its own
+    ids = store.read(docs.select(F.col("doc_id").cast("long").alias("doc_id")), wide=True)
     n = (F.octet_length("ids") / F.col("width")).cast("long")
-    return ids.select("doc_id", "start", n.alias("n_tokens"), crc("ids", "width").alias("ids_crc32"))
+    return ids.select("doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,7 +168,7 @@ def _look_up(frame: pd.DataFrame) -> pd.DataFrame:
     return out[["doc_id", "none", "shard", "record", "records"]]
 
 
-def _read_records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_records(frames: Iterator[pd.DataFrame], wide: bool) -> Iterator[pd.DataFrame]:
     """Rows in order of path and record -> the ids of each record; one open shard, 8 MB read at a time."""
     uri = file = None
     for frame in frames:
@@ -188,7 +188,8 @@ def _read_records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 a, b = _HEAD.size + width * start, _HEAD.size + width * stop
                 if a < low or b > low + len(held):
                     low, held = a, file.read_at(max(_READ, b - a), a)
-                rows.append((key, none, base + start, held[a - low : b - low], width))
+                ids = held[a - low : b - low]
+                rows.append((key, none, base + start, as_u4(ids, width) if wide else ids, 4 if wide else width))
         yield pd.DataFrame(rows, columns=["doc_id", "none", "start", "ids", "width"])
 
 
@@ -209,12 +210,15 @@ class TokenStore:
         )
         return found.select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "shard", "record", "records")
 
-    def read(self, keys: DataFrame) -> DataFrame:
-        """Each stored record of ``keys``: doc_id, start (ids of all records before it), ids (raw), width."""
+    def read(self, keys: DataFrame, *, wide: bool = False) -> DataFrame:
+        """Each stored record of ``keys``: doc_id, start (ids of all records before it), ids (raw), width.
+
+        ``wide``: ids are little-endian unsigned 32-bit integers, whatever the store's width.
+        """
         at = self.locate(keys).join(self.shards, "shard")
         at = at.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.isnull("doc_id").alias("none"), "path", "n_records", "base", "record", "records")
         got = at.repartition("path").sortWithinPartitions("path", "record").mapInPandas(
-            _read_records, "doc_id long, none boolean, start long, ids binary, width int"
+            lambda frames: _read_records(frames, wide), "doc_id long, none boolean, start long, ids binary, width int"
         )
         return got.select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "start", "ids", "width")
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from epochal.llm import ann, language_id, quality, queries, token_store, toxicity, url_filter, warc
+from epochal.llm import ann, bpe, language_id, quality, queries, token_store, toxicity, url_filter, warc
 from epochal.llm.common import work_dir
 
 SMALL = "/root/testdata/sf0.001"
@@ -44,6 +44,24 @@ def test_token_store_tells_wrong_keys_apart_and_grows_by_text(spark):
     assert token_store.shard_count(docs, 2, shard_bytes=100) == -(-sum(len(f"text {i}") for i in range(300)) // 100)
 
 
+def test_token_store_holds_one_encoder_a_core(spark, tmp_path):
+    """No stage runs two Python functions, which are two workers a task that both come to hold an encoder; it has no unused tables."""
+    documents(spark).limit(3).write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries.op7_token_store(spark, f"file://{tmp_path}")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "ArrowEvalPython" not in plan
+    coder = bpe.LibraryBpe(queries.tokenizer_path())
+    assert not hasattr(coder, "automaton") and not hasattr(coder, "cut")
+
+
+def test_library_words_are_cut_as_by_the_library():
+    """Letters alone take a short way: every letter below U+2100 in words, alone, doubled and beside its neighbours."""
+    library, coder = Tokenizer.from_file(queries.tokenizer_path()), bpe.LibraryBpe(queries.tokenizer_path())
+    assert coder.whole_letters
+    letters = [chr(c) for c in range(0x21, 0x2100)]
+    for text in (f(c) for c in letters for f in (str, lambda c: f"a{c}B", lambda c: c + c, lambda c: f"É{c}'s{c}")):
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def out_of_place(text, profiles, top=300):
     """Nearest profile by the rank-order distance, counted in dictionaries."""
     letters = "".join(c.lower() if len(c.lower()) == 1 else c for c in "".join(c if c.isalpha() else " " for c in text or ""))
